@@ -1,8 +1,9 @@
 """Result normalisation for comparisons with the SQL oracle.
 
 Integral columns become ``bigint``; fractional columns become ``double``
-rounded to 6 places (``+ 0.0`` folds negative zero); strings stay.  The
-oracle SQL applies the same rule to its own columns.
+rounded to 6 places as ``round(x * 1e6) / 1e6`` (the same binary operation in
+every engine, so exact-half cases agree; ``+ 0.0`` folds negative zero);
+strings stay.  The oracle SQL applies the same rule to its own columns.
 """
 
 from __future__ import annotations
@@ -22,7 +23,8 @@ def normalize(df: DataFrame, digits: int = 6) -> DataFrame:
         if isinstance(f.dataType, _INTEGRAL):
             cols.append(c.cast("long").alias(f.name))
         elif isinstance(f.dataType, _FRACTIONAL):
-            cols.append((F.round(c.cast("double"), digits) + F.lit(0.0)).alias(f.name))
+            scale = float(10 ** digits)
+            cols.append((F.round(c.cast("double") * scale, 0) / scale + F.lit(0.0)).alias(f.name))
         else:
             cols.append(c)
     return df.select(*cols)

@@ -61,6 +61,9 @@ SINCE_SAME = [
 
 MOVING_AVG_N = [5, 10, 50, 100]
 
+# Exact type for running amount sums (amounts carry at most 6 decimals).
+AMT_DECIMAL = "decimal(28,6)"
+
 
 def _rn(*keys: str) -> Column:
     return F.row_number().over(wk(*keys) if keys else wc())
@@ -129,13 +132,16 @@ def amount_block(df: DataFrame) -> DataFrame:
     amt = F.col("amt")
     idx = F.col("cust_event_idx")
     n_prev = idx - 1
-    s1 = F.coalesce(F.sum(amt).over(w), F.lit(0.0))
-    s2 = F.coalesce(F.sum(amt * amt).over(w), F.lit(0.0))
+    # Exact decimal running sums: a double running sum of squares cancels
+    # badly when the variance is near zero (hard case W11).
+    dec = amt.cast(AMT_DECIMAL)
+    s1 = F.coalesce(F.sum(dec).over(w), F.lit(0)).cast("double")
+    s2 = F.coalesce(F.sum(dec * dec).over(w), F.lit(0)).cast("double")
     df = df.withColumns({
         "_s1": s1, "_s2": s2,
         "_pmax": F.max("amt_abs").over(w),
         "_prev_abs": F.lag("amt_abs", 1).over(wc()),
-        "_desc_sum": F.coalesce(F.sum(amt).over(prior(wk("event_desc"))), F.lit(0.0)),
+        "_desc_sum": F.coalesce(F.sum(dec).over(prior(wk("event_desc"))), F.lit(0)).cast("double"),
     })
     mean = F.when(idx > 1, F.when(amt.isNull(), F.lit(None).cast("double"))
                   .otherwise(F.col("_s1") / n_prev)).otherwise(F.lit(0.0))

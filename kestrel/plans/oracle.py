@@ -71,3 +71,8 @@ def with_base(body: str, extra_ctes: str = "") -> str:
     if extra_ctes.strip():
         ctes += ",\n" + extra_ctes.strip()
     return ctes + "\n" + body.strip()
+
+
+def r6(expr: str) -> str:
+    """Oracle side of the rounding rule in ``kestrel.functions.output``."""
+    return f"(round(CAST({expr} AS DOUBLE) * 1000000) / 1000000 + 0.0)"
