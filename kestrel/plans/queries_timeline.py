@@ -418,3 +418,138 @@ def q_moving_avg(spark, sf_dir):
     df = C.customer_features(_timeline(spark, sf_dir), blocks=("moving_avg",))
     return df.select("event_id", "amt_avg_5", "amt_avg_10", "amt_avg_50", "amt_avg_100",
                      "amt_momentum", "hour_mean_5")
+
+
+# --------------------------------------------------------------------------
+# device: D1-D6 (oracle: naive device windows in global time order)
+
+_WD = "PARTITION BY device_fp_i ORDER BY event_ts, event_id"
+
+
+def _wd(*keys):
+    return "PARTITION BY device_fp_i, " + ", ".join(keys) + " ORDER BY event_ts, event_id"
+
+
+DEVICE_SQL = with_base("""
+SELECT event_id,
+  """ + ",\n  ".join([
+    _i("ops", "device_prev_ops"), _i("uc", "device_prev_unique_customers"),
+    _i("us", "device_prev_unique_sessions"),
+    _d("ln(1 + ops)", "device_prev_ops_log"), _d("ln(1 + uc)", "device_prev_unique_customers_log"),
+    _d("ln(1 + us)", "device_prev_unique_sessions_log"),
+    _d("CASE WHEN ops > 0 THEN uc / (ops + 1e-6) ELSE 0 END", "device_customer_diversity"),
+    _i("sc", "device_prev_same_customer"), _i("sd", "device_prev_same_desc"),
+    _i("sm", "device_prev_same_mcc"), _i("stz", "device_prev_same_timezone"),
+    _i("sst", "device_prev_same_subtype"),
+    _d("dm", "cust_prev_mean_amt_same_device"),
+    _d("CASE WHEN abs(dm) > 0.01 THEN amt_abs / dm ELSE 0 END", "amt_vs_same_device_mean"),
+  ]) + """
+FROM d2
+""", extra_ctes=f"""
+d1 AS (
+  SELECT *,
+    row_number() OVER ({_WD}) - 1 AS ops,
+    row_number() OVER ({_wd('customer_id')}) - 1 AS sc,
+    row_number() OVER ({_wd('session_id')}) - 1 AS ss,
+    row_number() OVER ({_wd('event_desc')}) - 1 AS sd,
+    row_number() OVER ({_wd('mcc_code_i')}) - 1 AS sm,
+    row_number() OVER ({_wd('timezone')}) - 1 AS stz,
+    row_number() OVER ({_wd('channel_indicator_sub_type')}) - 1 AS sst,
+    coalesce(sum(CAST(amt_abs AS DECIMAL(38,6))) OVER ({_wd('customer_id')}
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS dsum
+  FROM t),
+d2 AS (
+  SELECT *,
+    coalesce(sum(CAST(sc = 0 AS INTEGER)) OVER ({_WD} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS uc,
+    coalesce(sum(CAST(ss = 0 AS INTEGER)) OVER ({_WD} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS us,
+    CASE WHEN sc > 0 THEN CASE WHEN amt IS NULL THEN NULL ELSE CAST(dsum AS DOUBLE) / sc END ELSE 0 END AS dm
+  FROM d1)
+""")
+
+
+@register("device", DEVICE_SQL)
+def q_device(spark, sf_dir):
+    """Cross-customer device statistics via the two-level prefix scan."""
+    from kestrel.operators.device import device_features
+    df = device_features(_timeline(spark, sf_dir))
+    return df.select("event_id", "device_prev_ops", "device_prev_unique_customers",
+                     "device_prev_unique_sessions", "device_prev_ops_log",
+                     "device_prev_unique_customers_log", "device_prev_unique_sessions_log",
+                     "device_customer_diversity", "device_prev_same_customer",
+                     "device_prev_same_desc", "device_prev_same_mcc",
+                     "device_prev_same_timezone", "device_prev_same_subtype",
+                     "cust_prev_mean_amt_same_device", "amt_vs_same_device_mean")
+
+
+# --------------------------------------------------------------------------
+# feedback: F1-F5
+
+FEEDBACK_SQL = with_base("""
+SELECT event_id,
+  """ + ",\n  ".join([
+    _i("r", "cust_prev_red_lbl_cnt"), _i("y", "cust_prev_yellow_lbl_cnt"),
+    _i("r + y", "cust_prev_labeled_cnt"),
+    _d("(r + 0.1) / (r + y + 1.0)", "cust_prev_red_lbl_rate"),
+    _d("(y + 0.1) / (r + y + 1.0)", "cust_prev_yellow_lbl_rate"),
+    _d("(r + y + 0.1) / (n + 1.0)", "cust_prev_susp_lbl_rate"),
+    _i("r > 0", "cust_prev_any_red_flag"), _i("y > 0", "cust_prev_any_yellow_flag"),
+    _i("coalesce(ets - rts, -1)", "sec_since_prev_red_lbl"),
+    _i("coalesce(ets - yts, -1)", "sec_since_prev_yellow_lbl"),
+    _i("dr + dy", "cnt_prev_labeled_same_desc"), _i("dr", "cnt_prev_red_same_desc_lbl"),
+    _i("dy", "cnt_prev_yellow_same_desc_lbl"),
+    _d("(dr + 0.1) / (dr + dy + 1.0)", "red_rate_prev_same_desc_lbl"),
+  ]) + """
+FROM fb
+""", extra_ctes=f"""
+fb AS (
+  SELECT q.event_id, any_value(q.ets) AS ets,
+    count(p.event_id) AS n,
+    count(p.event_id) FILTER (WHERE p.train_target_raw = 1) AS r,
+    count(p.event_id) FILTER (WHERE p.train_target_raw = 0) AS y,
+    count(p.event_id) FILTER (WHERE p.train_target_raw = 1 AND p.event_desc = q.event_desc) AS dr,
+    count(p.event_id) FILTER (WHERE p.train_target_raw = 0 AND p.event_desc = q.event_desc) AS dy,
+    max(p.ets) FILTER (WHERE p.train_target_raw = 1) AS rts,
+    max(p.ets) FILTER (WHERE p.train_target_raw = 0) AS yts
+  FROM t q LEFT JOIN t p ON p.customer_id = q.customer_id AND {_EARLIER}
+  GROUP BY q.event_id)
+""")
+
+
+@register("feedback", FEEDBACK_SQL)
+def q_feedback(spark, sf_dir):
+    """Label-history counts, smoothed rates, flags, time since last label."""
+    from kestrel.operators import customer as C
+    df = C.customer_features(_timeline(spark, sf_dir), blocks=("feedback",))
+    return df.select("event_id", "cust_prev_red_lbl_cnt", "cust_prev_yellow_lbl_cnt",
+                     "cust_prev_labeled_cnt", "cust_prev_red_lbl_rate",
+                     "cust_prev_yellow_lbl_rate", "cust_prev_susp_lbl_rate",
+                     "cust_prev_any_red_flag", "cust_prev_any_yellow_flag",
+                     "sec_since_prev_red_lbl", "sec_since_prev_yellow_lbl",
+                     "cnt_prev_labeled_same_desc", "cnt_prev_red_same_desc_lbl",
+                     "cnt_prev_yellow_same_desc_lbl", "red_rate_prev_same_desc_lbl")
+
+
+# --------------------------------------------------------------------------
+# target_encoding: F6 (causal target encoding of MCC within the customer)
+
+TARGET_ENCODING_SQL = with_base("""
+SELECT q.event_id,
+  """ + r6("(coalesce(sum(p.y), 0) + 10.0 * any_value(g.p)) / (count(p.y) + 10.0)") + """ AS te_mcc_code_i
+FROM ty q CROSS JOIN g
+LEFT JOIN ty p ON p.customer_id = q.customer_id AND p.mcc_code_i = q.mcc_code_i
+  AND (p.event_ts < q.event_ts OR (p.event_ts = q.event_ts AND p.event_id < q.event_id))
+GROUP BY q.event_id
+""", extra_ctes="""
+ty AS (SELECT *, CAST(train_target_raw = 1 AS DOUBLE) AS y FROM t),
+g AS (SELECT coalesce(avg(y), 0) AS p FROM ty)
+""")
+
+
+@register("target_encoding", TARGET_ENCODING_SQL)
+def q_target_encoding(spark, sf_dir):
+    """expanding smoothed RED rate per (customer, MCC), current row excluded."""
+    from kestrel.operators.customer import target_encoding
+    tl = _timeline(spark, sf_dir).withColumn(
+        "y_red", (F.col("train_target_raw") == 1).cast("double"))
+    df = target_encoding(tl, "mcc_code_i", target="y_red", alpha=10.0, name="te_mcc_code_i")
+    return df.select("event_id", "te_mcc_code_i")
