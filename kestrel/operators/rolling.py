@@ -37,32 +37,42 @@ TZ_WINDOW = ("tz_change_cnt_24h", 86400)
 _AMT_DEC = "decimal(24,6)"
 
 
-def _invertible_specs() -> list[tuple[str, int, Column, str]]:
-    """(output, seconds, weight, kind) for the prefix-decomposable features."""
-    one = F.lit(1).cast("long")
+def _live(live: Column | None) -> Column:
+    return F.lit(True) if live is None else F.coalesce(live, F.lit(False))
+
+
+def _invertible_specs(live: Column | None = None) -> list[tuple[str, int, Column, str]]:
+    """(output, seconds, weight, kind) for the prefix-decomposable features.
+
+    Rows outside ``live`` weigh 0, so they never count in a window (the
+    source computes velocity on non-pretrain rows only).
+    """
+    on = _live(live)
+    one = F.when(on, F.lit(1)).otherwise(F.lit(0)).cast("long")
     specs = [(n, p, one, "count") for n, p in COUNT_WINDOWS]
-    specs += [(n, p, F.col("amt_abs").cast(_AMT_DEC), "sum") for n, p in SUM_WINDOWS]
+    specs += [(n, p, F.when(on, F.col("amt_abs")).cast(_AMT_DEC), "sum") for n, p in SUM_WINDOWS]
     specs.append((VOIP_WINDOW[0], VOIP_WINDOW[1],
-                  (F.col("phone_voip_call_state") == 1).cast("long"), "count"))
-    specs.append((TZ_WINDOW[0], TZ_WINDOW[1], F.col("tz_changed").cast("long"), "count"))
+                  (on & (F.col("phone_voip_call_state") == 1)).cast("long"), "count"))
+    specs.append((TZ_WINDOW[0], TZ_WINDOW[1],
+                  F.when(on, F.col("tz_changed")).otherwise(F.lit(0)).cast("long"), "count"))
     return specs
 
 
-def _frame_invertible(df: DataFrame) -> DataFrame:
+def _frame_invertible(df: DataFrame, live: Column | None) -> DataFrame:
+    on = _live(live)
     cols = {}
-    for name, p, wgt, kind in _invertible_specs():
-        if kind == "count" and name.startswith("cnt_"):
-            cols[name] = F.count(F.lit(1)).over(wr(p))
-        elif kind == "count":
+    for name, p, wgt, kind in _invertible_specs(live):
+        if kind == "count":
             cols[name] = F.coalesce(F.sum(wgt).over(wr(p)), F.lit(0)).cast("long")
         else:
-            cols[name] = F.coalesce(F.sum("amt_abs").over(wr(p)), F.lit(0.0))
+            dec = F.when(on, F.col("amt_abs")).cast(_AMT_DEC)
+            cols[name] = F.coalesce(F.sum(dec).over(wr(p)).cast("double"), F.lit(0.0))
     return df.withColumns(cols)
 
 
-def _delta_invertible(df: DataFrame) -> DataFrame:
+def _delta_invertible(df: DataFrame, live: Column | None) -> DataFrame:
     """Delta-event form: one union, one sort, one cumulative sum per feature."""
-    specs = _invertible_specs()
+    specs = _invertible_specs(live)
     names = [s[0] for s in specs]
     # Query rows keep every column; their own weights enter as additions at t.
     base = df.withColumns({"_t": F.col("ets"), "_q": F.lit(1)})
@@ -70,10 +80,10 @@ def _delta_invertible(df: DataFrame) -> DataFrame:
     periods = sorted({p for _, p, _, _ in specs})
     expiries = []
     for p in periods:
-        e = df.select("customer_id", (F.col("ets") + p).alias("_t"),
-                      *[(-w if sp == p else F.lit(None).cast(
-                          _AMT_DEC if k == "sum" else "long")).alias(f"_d_{n}")
-                        for n, sp, w, k in specs])
+        e = df.filter(_live(live)).select(
+            "customer_id", (F.col("ets") + p).alias("_t"),
+            *[(-w if sp == p else F.lit(None).cast(_AMT_DEC if k == "sum" else "long")
+               ).alias(f"_d_{n}") for n, sp, w, k in specs])
         expiries.append(e)
     exp = expiries[0]
     for e in expiries[1:]:
@@ -91,13 +101,15 @@ def _delta_invertible(df: DataFrame) -> DataFrame:
     return out.drop("_t", "_q", *[f"_d_{n}" for n in names])
 
 
-def rolling_features(df: DataFrame, method: str = "frame") -> DataFrame:
-    """R1-R7 on the given rows (the caller passes non-pretrain rows)."""
-    df = _delta_invertible(df) if method == "delta" else _frame_invertible(df)
+def rolling_features(df: DataFrame, method: str = "frame", live: Column | None = None
+                     ) -> DataFrame:
+    """R1-R7 for every row of ``df``, counting only rows where ``live`` holds."""
+    df = _delta_invertible(df, live) if method == "delta" else _frame_invertible(df, live)
+    on = _live(live)
     mx_name, mx_p = MAX_WINDOW
-    cols = {mx_name: F.max("amt_abs").over(wr(mx_p))}
+    cols = {mx_name: F.max(F.when(on, F.col("amt_abs"))).over(wr(mx_p))}
     for name, p in DISTINCT_WINDOWS:
-        cols[name] = F.size(F.collect_set("mcc_code_i").over(wr(p)))
+        cols[name] = F.size(F.collect_set(F.when(on, F.col("mcc_code_i"))).over(wr(p)))
     df = df.withColumns(cols)
     return df.withColumns(ratio_columns())
 
