@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kestrel.functions.parse import safe_ratio
+from kestrel.functions.scalars import attach_row
 from kestrel.functions.windows import last_n, prior, since, wc, whole, wk
 
 # Categorical keys of the prior-count features (W2) as
@@ -283,7 +284,7 @@ def target_encoding(df: DataFrame, key: str, target: str = "target_bin",
     y = F.col(target).cast("double")
     if prior_rate is None:
         p = df.agg(F.avg(y).alias("_p")).select(F.coalesce("_p", F.lit(0.0)).alias("_p"))
-        df = df.crossJoin(F.broadcast(p))
+        df = attach_row(df, p)
         pr = F.col("_p")
     else:
         pr = F.lit(float(prior_rate))

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kestrel.functions.parse import safe_ratio
+from kestrel.functions.scalars import attach_row
 from kestrel.sources import fixture
 
 # Prior keys of the feature build (A4) and the refit.
@@ -173,7 +174,7 @@ def attach_priors(rows: DataFrame, src: DataFrame, keys: list[str] = PRIOR_KEYS,
 def fill_with_mean(df: DataFrame, cols: list[str]) -> DataFrame:
     """Nulls -> column mean, via one global aggregate broadcast as a single row."""
     means = df.agg(*[F.avg(c).alias(f"_m_{c}") for c in cols])
-    out = df.crossJoin(F.broadcast(means))
+    out = attach_row(df, means)
     out = out.withColumns({c: F.coalesce(F.col(c).cast("double"), F.col(f"_m_{c}")) for c in cols})
     return out.drop(*[f"_m_{c}" for c in cols])
 
@@ -188,6 +189,6 @@ def fill_with_median(df: DataFrame, cols: list[str], ref: DataFrame | None = Non
     ref = df if ref is None else ref
     med = ref.agg(*[F.percentile_approx(F.col(c).cast("double"), 0.5, accuracy).alias(f"_q_{c}")
                     for c in cols])
-    out = df.crossJoin(F.broadcast(med))
+    out = attach_row(df, med)
     out = out.withColumns({c: F.coalesce(F.col(c).cast("double"), F.col(f"_q_{c}")) for c in cols})
     return out.drop(*[f"_q_{c}" for c in cols])

@@ -37,4 +37,4 @@ def register(name: str, oracle: str | None = None):
 
 def _load_all() -> None:
     # Importing the query modules fills the registries.
-    from kestrel.plans import queries_features, queries_timeline  # noqa: F401
+    from kestrel.plans import queries_features, queries_scoring, queries_timeline  # noqa: F401
