@@ -10,9 +10,10 @@ Exchange budget, in order:
 4. profiles (pretrain) and priors (train before the border): small aggregates,
    joined back with AQE choosing broadcast or shuffle by measured size.
 
-The customer+rolling stage is the natural lineage cut: ``cut`` writes it to
-the shared checkpoint folder (never a machine-local one) so a lost executor
-recomputes from the checkpoint, not from the raw files.
+After the row-level blocks the sampled rows are the natural lineage cut:
+``cut`` writes them to the shared checkpoint folder (never a machine-local
+one) so a lost executor recomputes from the checkpoint, not from the raw
+files, and the join-heavy tail plans against a small frame.
 """
 
 from __future__ import annotations
@@ -44,11 +45,16 @@ def cut(df: DataFrame, enabled: bool) -> DataFrame:
 
 
 def build_features(tl: DataFrame, *, rolling_method: str = "frame",
-                   checkpoint: bool = False, prior_border: str | None = "default") -> DataFrame:
-    """Sampled train + test rows with every feature column (W, F, R, D, A, P14, P17)."""
-    df = cut(timeline_block(tl, rolling_method), checkpoint)
-    df = device_features(df)
-    rows = df.filter(F.col("is_train_sample") | F.col("is_test"))
+                   checkpoint: bool = True, prior_border: str | None = "default") -> DataFrame:
+    """Sampled train + test rows with every feature column (W, F, R, D, A, P14, P17).
+
+    The row-level blocks (customer, rolling, device) run over every event;
+    only then are the sampled train + test rows kept and (by default) cut
+    from the lineage, so the profile / prior joins and the global means plan
+    and run against that small materialised frame.
+    """
+    df = device_features(timeline_block(tl, rolling_method))
+    rows = cut(df.filter(F.col("is_train_sample") | F.col("is_test")), checkpoint)
     prof = customer_profiles(tl.filter(F.col("period") == "pretrain"))
     rows = attach_profiles(rows, prof).withColumns(profile_ratio_columns())
     src = prior_source(tl) if prior_border == "default" else prior_source(tl, prior_border)

@@ -36,7 +36,11 @@ def build_session(master: str | None = None, app: str = "kestrel",
         b = b.config(k, v)
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    for k, v in (extra or {}).items():
+    extra = dict(extra or {})
+    if master and master.startswith("local"):
+        # local mode: the driver JVM is the only executor
+        extra.setdefault("spark.driver.memory", "8g")
+    for k, v in extra.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
     apply_engine_conf(spark)
