@@ -55,24 +55,30 @@ def exclusive_prefix(df: DataFrame, keys: list[str], specs: list[PrefixSpec], *,
                            else F.lit(0).cast("long"))
     base = base.withColumns(wcols).withColumn("_kind", F.lit(1))
 
-    # Level 2: one expanded aggregation for all specs.
+    # Level 2: one expanded aggregation for all specs (counts stay in long,
+    # exact decimals only for the specs that need them).
+    is_dec = [s.dtype != "long" for s in specs]
     exp = base.select(*keys, b, F.explode(F.array(*[
         F.struct(F.lit(i).alias("sid"), F.col(f"_k{i}").alias("kv"),
-                 F.col(f"_w{i}").cast("decimal(38,6)").alias("w"))
+                 (F.lit(None).cast("long") if is_dec[i] else F.col(f"_w{i}")).alias("wl"),
+                 (F.col(f"_w{i}").cast("decimal(38,6)") if is_dec[i]
+                  else F.lit(None).cast("decimal(38,6)")).alias("wd"))
         for i in range(len(specs))])).alias("_e"))
     tot = (exp.groupBy(*keys, F.col("_e.sid").alias("_sid"), F.col("_e.kv").alias("_kv"), b)
-              .agg(F.sum(F.col("_e.w")).alias("_t")))
+              .agg(F.sum(F.col("_e.wl")).alias("_tl"), F.sum(F.col("_e.wd")).alias("_td")))
     wl2 = (Window.partitionBy(*keys, "_sid", "_kv").orderBy(b)
            .rowsBetween(Window.unboundedPreceding, -1))
-    carry = (tot.withColumn("_c", F.sum("_t").over(wl2))
-                .filter(F.col("_c").isNotNull() & (F.col("_c") != 0)))
+    carry = tot.withColumns({"_cl": F.sum("_tl").over(wl2), "_cd": F.sum("_td").over(wl2)})
+    carry = carry.filter((F.coalesce(F.col("_cl"), F.lit(0)) != 0)
+                         | (F.coalesce(F.col("_cd"), F.lit(0)) != 0))
     carry_cols = {}
     for i, s in enumerate(specs):
         hit = F.col("_sid") == i
-        carry_cols[f"_w{i}"] = F.when(hit, F.col("_c")).cast(s.dtype)
+        val = F.col("_cd") if is_dec[i] else F.col("_cl")
+        carry_cols[f"_w{i}"] = F.when(hit, val).cast(s.dtype)
         carry_cols[f"_k{i}"] = F.when(hit, F.col("_kv"))
     carry = (carry.withColumns(carry_cols).withColumn("_kind", F.lit(0))
-                  .drop("_sid", "_kv", "_t", "_c"))
+                  .drop("_sid", "_kv", "_tl", "_td", "_cl", "_cd"))
 
     allrows = base.unionByName(carry, allowMissingColumns=True)
     allrows = allrows.repartition(*keys, b)

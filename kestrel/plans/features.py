@@ -6,7 +6,9 @@ Exchange budget, in order:
 2. customer block W/F and the rolling block R in that same partitioning
    (rolling counts only non-pretrain rows through conditional aggregates,
    so no filter / re-shuffle is needed between them);
-3. device block D: two-level prefix scan, partitioned by (device, hour bucket);
+3. device block D on a slim 12-column projection of every event (two-level
+   prefix scan, partitioned by (device, hour bucket)), joined back to the
+   sampled rows on ``event_id``;
 4. profiles (pretrain) and priors (train before the border): small aggregates,
    joined back with AQE choosing broadcast or shuffle by measured size.
 
@@ -53,8 +55,9 @@ def build_features(tl: DataFrame, *, rolling_method: str = "frame",
     from the lineage, so the profile / prior joins and the global means plan
     and run against that small materialised frame.
     """
-    df = device_features(timeline_block(tl, rolling_method))
-    rows = cut(df.filter(F.col("is_train_sample") | F.col("is_test")), checkpoint)
+    dev = device_features(tl)
+    rows = timeline_block(tl, rolling_method).filter(F.col("is_train_sample") | F.col("is_test"))
+    rows = cut(rows.join(dev, "event_id", "left"), checkpoint)
     prof = customer_profiles(tl.filter(F.col("period") == "pretrain"))
     rows = attach_profiles(rows, prof).withColumns(profile_ratio_columns())
     src = prior_source(tl) if prior_border == "default" else prior_source(tl, prior_border)
