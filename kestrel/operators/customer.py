@@ -66,197 +66,203 @@ MOVING_AVG_N = [5, 10, 50, 100]
 AMT_DECIMAL = "decimal(28,6)"
 
 
-def _rn(*keys: str) -> Column:
+def _rn(*keys) -> Column:
     return F.row_number().over(wk(*keys) if keys else wc())
 
 
-def counts_block(df: DataFrame) -> DataFrame:
-    """Event index, prior counts per (customer x key), log counts, novelty."""
-    df = df.withColumns({"cust_event_idx": _rn()})
-    df = df.withColumns({"cust_prev_events": F.col("cust_event_idx") - 1})
-    df = df.withColumns({name: _rn(key) - 1 for name, key in SAME_KEY_COUNTS})
-    have = {key: name for name, key in SAME_KEY_COUNTS}
-    logs = {}
-    for c in LOG_CNT_COLS:
-        base = F.col(have[c]) if c in have else (_rn(c) - 1)
-        logs[f"{c}_log_cnt"] = F.log1p(F.greatest(base, F.lit(0)))
-    logs["ch_dev_combo_log_cnt"] = F.log1p(
-        F.greatest(_rn("channel_indicator_sub_type", "operating_system_type") - 1, F.lit(0)))
-    df = df.withColumns(logs)
-    return df.withColumns({name: (F.col(cnt) == 0).cast("int") for name, cnt in NOVELTY})
+# Each block = (raw window expressions, derived projections applied in order).
+# ``customer_features`` emits the window expressions of all requested blocks in
+# ONE projection, so Catalyst builds one Sort + Window per distinct
+# (partition, order) spec for the whole block instead of one per expression
+# group; the derived columns are plain projections afterwards.
 
+def _counts_windows() -> dict[str, Column]:
+    w = {"cust_event_idx": _rn()}
+    w.update({f"_rn_{key}": _rn(key) for _, key in SAME_KEY_COUNTS})
+    have = {key for _, key in SAME_KEY_COUNTS}
+    w.update({f"_rn_{c}": _rn(c) for c in LOG_CNT_COLS if c not in have})
+    w["_rn_combo"] = _rn("channel_indicator_sub_type", "operating_system_type")
+    return w
 
-def lag_block(df: DataFrame) -> DataFrame:
-    """Lags, gaps, change flags, deltas, timezone jumps."""
+
+def _counts_derived() -> list[dict[str, Column]]:
+    d1 = {"cust_prev_events": F.col("cust_event_idx") - 1}
+    d1.update({name: F.col(f"_rn_{key}") - 1 for name, key in SAME_KEY_COUNTS})
+    d1.update({f"{c}_log_cnt": F.log1p(F.greatest(F.col(f"_rn_{c}") - 1, F.lit(0)))
+               for c in LOG_CNT_COLS})
+    d1["ch_dev_combo_log_cnt"] = F.log1p(F.greatest(F.col("_rn_combo") - 1, F.lit(0)))
+    d2 = {name: (F.col(cnt) == 0).cast("int") for name, cnt in NOVELTY}
+    return [d1, d2]
+
+
+def _index_windows() -> dict[str, Column]:
+    """Minimal counters needed by other blocks when ``counts`` is not requested."""
+    return {"cust_event_idx": _rn(), "_rn_event_desc": _rn("event_desc")}
+
+
+def _index_derived() -> list[dict[str, Column]]:
+    return [{"cust_prev_events": F.col("cust_event_idx") - 1,
+             "cnt_prev_same_desc": F.col("_rn_event_desc") - 1}]
+
+
+def _lag_windows() -> dict[str, Column]:
     w = wc()
-    df = df.withColumns({
+    out = {
         "prev_ets": F.lag("ets", 1).over(w),
         "prev_amt": F.lag("amt", 1).over(w),
-        "prev_mcc_code_i": F.coalesce(F.lag("mcc_code_i", 1).over(w), F.lit(-1)),
-        "prev_session_id": F.coalesce(F.lag("session_id", 1).over(w), F.lit(-1).cast("long")),
+        "_lag_mcc": F.lag("mcc_code_i", 1).over(w),
+        "_lag_sess": F.lag("session_id", 1).over(w),
         "_prev_os": F.lag("operating_system_type", 1).over(w),
         "_prev_sw": F.lag("screen_w", 1).over(w),
         "_prev_tz": F.lag("timezone", 1).over(w),
-    })
-    df = df.withColumns({f"_p_{name}": F.lag("ets", 1).over(wk(key)) for name, key in SINCE_SAME})
+    }
+    out.update({f"_p_{name}": F.lag("ets", 1).over(wk(key)) for name, key in SINCE_SAME})
+    return out
 
+
+def _lag_derived() -> list[dict[str, Column]]:
     def changed(cur: str, prev: str) -> Column:
         return ((F.col(cur) != F.col(prev)) & F.col(prev).isNotNull()).cast("int")
 
-    out = {
+    d1 = {
+        "prev_mcc_code_i": F.coalesce(F.col("_lag_mcc"), F.lit(-1)),
+        "prev_session_id": F.coalesce(F.col("_lag_sess"), F.lit(-1).cast("long")),
         "sec_since_prev_event": since(F.col("ets"), F.col("prev_ets")),
         "amt_delta_prev": F.col("amt") - F.coalesce(F.col("prev_amt"), F.lit(0.0)),
-        "mcc_changed": (F.col("mcc_code_i") != F.col("prev_mcc_code_i")).cast("int"),
-        "session_changed": (F.col("session_id") != F.col("prev_session_id")).cast("int"),
         "os_changed": changed("operating_system_type", "_prev_os"),
         "screen_changed": changed("screen_w", "_prev_sw"),
         "tz_changed": changed("timezone", "_prev_tz"),
         "tz_jump_magnitude": F.coalesce(F.abs(F.col("timezone") - F.col("_prev_tz")), F.lit(0)),
     }
-    out.update({name: since(F.col("ets"), F.col(f"_p_{name}")) for name, _ in SINCE_SAME})
-    df = df.withColumns(out)
+    d1.update({name: since(F.col("ets"), F.col(f"_p_{name}")) for name, _ in SINCE_SAME})
     s = F.col("sec_since_prev_event")
-    df = df.withColumns({
+    d2 = {
+        "mcc_changed": (F.col("mcc_code_i") != F.col("prev_mcc_code_i")).cast("int"),
+        "session_changed": (F.col("session_id") != F.col("prev_session_id")).cast("int"),
         "impossible_travel": ((F.col("tz_jump_magnitude") > 2) & (s > 0) & (s < 3600)).cast("int"),
-    })
-    return df.drop("_prev_os", "_prev_sw", "_prev_tz", *[f"_p_{n}" for n, _ in SINCE_SAME])
+    }
+    return [d1, d2]
 
 
-def amount_block(df: DataFrame) -> DataFrame:
-    """Expanding mean / std / max of amounts, same-desc mean.
+def _amount_windows() -> dict[str, Column]:
+    """W10-W14 inputs.  Exact decimal running sums: a double running sum of
+    squares cancels badly when the variance is near zero (hard case W11)."""
+    w = prior(wc())
+    dec = F.col("amt").cast(AMT_DECIMAL)
+    return {
+        "_s1": F.coalesce(F.sum(dec).over(w), F.lit(0)).cast("double"),
+        "_s2": F.coalesce(F.sum(dec * dec).over(w), F.lit(0)).cast("double"),
+        "_pmax": F.max("amt_abs").over(w),
+        "_prev_abs": F.lag("amt_abs", 1).over(wc()),
+        "_desc_sum": F.coalesce(F.sum(dec).over(prior(wk("event_desc"))), F.lit(0)).cast("double"),
+    }
+
 
-    Null amounts count in the row denominators and yield null on their own
+def _amount_derived() -> list[dict[str, Column]]:
+    """Null amounts count in the row denominators and yield null on their own
     row (T6).  The running max resets to 0 right after a null amount, as the
-    source's shift-then-cumulative-max does.
-    """
-    w = prior(wc())
+    source's shift-then-cumulative-max does."""
     amt = F.col("amt")
     idx = F.col("cust_event_idx")
     n_prev = idx - 1
-    # Exact decimal running sums: a double running sum of squares cancels
-    # badly when the variance is near zero (hard case W11).
-    dec = amt.cast(AMT_DECIMAL)
-    s1 = F.coalesce(F.sum(dec).over(w), F.lit(0)).cast("double")
-    s2 = F.coalesce(F.sum(dec * dec).over(w), F.lit(0)).cast("double")
-    df = df.withColumns({
-        "_s1": s1, "_s2": s2,
-        "_pmax": F.max("amt_abs").over(w),
-        "_prev_abs": F.lag("amt_abs", 1).over(wc()),
-        "_desc_sum": F.coalesce(F.sum(dec).over(prior(wk("event_desc"))), F.lit(0)).cast("double"),
-    })
-    mean = F.when(idx > 1, F.when(amt.isNull(), F.lit(None).cast("double"))
-                  .otherwise(F.col("_s1") / n_prev)).otherwise(F.lit(0.0))
-    df = df.withColumns({"cust_prev_amt_mean": mean})
-    m = F.col("cust_prev_amt_mean")
-    var = (F.col("_s2") / n_prev) - m * m
-    std = F.when(idx > 2, F.when(amt.isNull(), F.lit(None).cast("double"))
-                 .otherwise(F.sqrt(F.greatest(var, F.lit(0.0))))).otherwise(F.lit(0.0))
+    null_d = F.lit(None).cast("double")
     cnt_desc = F.col("cnt_prev_same_desc")
-    df = df.withColumns({
-        "cust_prev_amt_std": std,
-        "cust_prev_max_amt": F.when(F.col("_prev_abs").isNull(), F.lit(0.0))
-                              .otherwise(F.col("_pmax")),
+    d1 = {
+        "cust_prev_amt_mean": F.when(idx > 1, F.when(amt.isNull(), null_d)
+                                     .otherwise(F.col("_s1") / n_prev)).otherwise(F.lit(0.0)),
+        "cust_prev_max_amt": F.when(F.col("_prev_abs").isNull(), F.lit(0.0)).otherwise(F.col("_pmax")),
         "cust_prev_mean_amt_same_desc": F.when(
-            cnt_desc > 0, F.when(amt.isNull(), F.lit(None).cast("double"))
-            .otherwise(F.col("_desc_sum") / cnt_desc)).otherwise(F.lit(0.0)),
-    })
-    sd = F.col("cust_prev_amt_std")
-    mx = F.col("cust_prev_max_amt")
-    dm = F.col("cust_prev_mean_amt_same_desc")
-    df = df.withColumns({
+            cnt_desc > 0, F.when(amt.isNull(), null_d).otherwise(F.col("_desc_sum") / cnt_desc)
+        ).otherwise(F.lit(0.0)),
+    }
+    m = F.col("cust_prev_amt_mean")
+    var = (F.col("_s2") / n_prev) - m * m
+    d2 = {"cust_prev_amt_std": F.when(idx > 2, F.when(amt.isNull(), null_d).otherwise(
+        F.sqrt(F.greatest(var, F.lit(0.0))))).otherwise(F.lit(0.0))}
+    sd, mx, dm = F.col("cust_prev_amt_std"), F.col("cust_prev_max_amt"), F.col("cust_prev_mean_amt_same_desc")
+    d3 = {
         "amt_to_prev_mean": safe_ratio(amt, m, F.abs(m) > 0.01),
         "amt_zscore": safe_ratio(amt - m, sd, sd > 1.0),
         "amt_vs_prev_max": safe_ratio(F.col("amt_abs"), mx, mx > 0.01),
         "amt_vs_same_desc_mean": safe_ratio(F.col("amt_abs"), dm, F.abs(dm) > 0.01),
-    })
-    return df.drop("_s1", "_s2", "_pmax", "_prev_abs", "_desc_sum")
+    }
+    return [d1, d2, d3]
 
 
-def session_day_block(df: DataFrame) -> DataFrame:
-    """Session and calendar-day accumulations, intra-hour count, tenure."""
-    amt = F.col("amt")
+def _session_day_windows() -> dict[str, Column]:
     ws = wk("session_id")
     wdt = wk("event_date")
-    df = df.withColumns({
-        "_sess_sum": F.coalesce(F.sum(amt).over(prior(ws)), F.lit(0.0)),
+    return {
+        "_sess_sum": F.coalesce(F.sum("amt").over(prior(ws)), F.lit(0.0)),
         "_sess_first": F.first("ets").over(whole(ws)),
         "_day_sum": F.coalesce(F.sum("amt_abs").over(prior(wdt)), F.lit(0.0)),
         "today_max_amount": F.coalesce(F.max("amt_abs").over(prior(wdt)), F.lit(0.0)),
-        "events_before_today": F.row_number().over(wdt) - 1,
-        "events_before_hour": F.row_number().over(wk(F.date_trunc("hour", "event_ts"))) - 1,
+        "_rn_day": F.row_number().over(wdt),
+        "_rn_hour": F.row_number().over(wk(F.date_trunc("hour", "event_ts"))),
         "_first_ets": F.first("ets").over(whole(wc())),
-    })
-    null_amt = F.lit(None).cast("double")
+    }
+
+
+def _session_day_derived() -> list[dict[str, Column]]:
+    amt = F.col("amt")
+    null_d = F.lit(None).cast("double")
     age = F.col("ets") - F.col("_first_ets")
     whole_days = F.floor(age / 86400)
-    df = df.withColumns({
-        "session_amt_before": F.when(amt.isNull(), null_amt).otherwise(F.col("_sess_sum")),
+    d1 = {
+        "session_amt_before": F.when(amt.isNull(), null_d).otherwise(F.col("_sess_sum")),
         "sec_since_session_start": F.when(F.col("_sess_first").isNotNull(),
                                           F.col("ets") - F.col("_sess_first")).otherwise(F.lit(0)),
-        "today_total_amount": F.when(amt.isNull(), null_amt).otherwise(F.col("_day_sum")),
+        "today_total_amount": F.when(amt.isNull(), null_d).otherwise(F.col("_day_sum")),
+        "events_before_today": F.col("_rn_day") - 1,
+        "events_before_hour": F.col("_rn_hour") - 1,
         "days_since_first_event": F.coalesce(age / 86400.0, F.lit(0.0)),
         "cust_events_per_day": F.when(whole_days > 0, F.col("cust_event_idx") / whole_days)
                                 .otherwise(F.lit(1.0)),
-    })
+    }
     tot = F.col("today_total_amount")
-    df = df.withColumns({
-        "today_amt_vs_daily_norm": safe_ratio(F.col("amt_abs"), tot, tot > 1.0, 1.0),
-    })
-    return df.drop("_sess_sum", "_sess_first", "_day_sum", "_first_ets")
-
-
-def markov_block(df: DataFrame) -> DataFrame:
-    """MCC transition probability and surprise from the customer's own past."""
-    prev_cnt = F.row_number().over(wk("prev_mcc_code_i")) - 1
-    pair_cnt = F.row_number().over(wk("prev_mcc_code_i", "mcc_code_i")) - 1
-    df = df.withColumns({"_pc": prev_cnt, "_bc": pair_cnt})
-    prob = F.col("_bc") / F.greatest(F.col("_pc"), F.lit(1))
-    df = df.withColumns({"markov_mcc_prob": F.coalesce(prob, F.lit(0.0))})
-    df = df.withColumns({
-        "markov_mcc_surprise": -F.log(F.greatest(F.col("markov_mcc_prob"), F.lit(1e-6))),
-    })
-    return df.drop("_pc", "_bc")
+    d2 = {"today_amt_vs_daily_norm": safe_ratio(F.col("amt_abs"), tot, tot > 1.0, 1.0)}
+    return [d1, d2]
 
 
-def moving_avg_block(df: DataFrame) -> DataFrame:
-    """Mean of the previous n amounts (null until n non-null exist), drift."""
+def _moving_avg_windows() -> dict[str, Column]:
     w = wc()
-    cols = {}
+    out = {}
     for n in MOVING_AVG_N:
         fr = last_n(w, n)
-        cols[f"amt_avg_{n}"] = F.when(F.count("amt").over(fr) == n, F.avg("amt").over(fr))
+        out[f"amt_avg_{n}"] = F.when(F.count("amt").over(fr) == n, F.avg("amt").over(fr))
     fr5 = last_n(w, 5)
-    cols["hour_mean_5"] = F.when(F.count("hour").over(fr5) == 5, F.avg("hour").over(fr5))
-    df = df.withColumns(cols)
-    return df.withColumns({
-        "amt_momentum": F.coalesce(F.col("amt_avg_5"), F.lit(0.0))
-                        - F.coalesce(F.col("amt_avg_50"), F.lit(0.0)),
-    })
+    out["hour_mean_5"] = F.when(F.count("hour").over(fr5) == 5, F.avg("hour").over(fr5))
+    return out
 
 
-def feedback_block(df: DataFrame) -> DataFrame:
-    """Label-history counts, smoothed rates, flags, time since last label."""
+def _moving_avg_derived() -> list[dict[str, Column]]:
+    return [{"amt_momentum": F.coalesce(F.col("amt_avg_5"), F.lit(0.0))
+             - F.coalesce(F.col("amt_avg_50"), F.lit(0.0))}]
+
+
+def _feedback_windows() -> dict[str, Column]:
     w = prior(wc())
     wd = prior(wk("event_desc"))
 
     def psum(c: str, win) -> Column:
         return F.coalesce(F.sum(c).over(win), F.lit(0)).cast("int")
 
-    df = df.withColumns({
+    return {
         "cust_prev_red_lbl_cnt": psum("is_red_lbl", w),
         "cust_prev_yellow_lbl_cnt": psum("is_yellow_lbl", w),
         "cust_prev_labeled_cnt": psum("is_labeled_fb", w),
         "_prev_red_ets": F.last(F.when(F.col("is_red_lbl") == 1, F.col("ets")), True).over(w),
         "_prev_yel_ets": F.last(F.when(F.col("is_yellow_lbl") == 1, F.col("ets")), True).over(w),
-    })
-    df = df.withColumns({
         "cnt_prev_labeled_same_desc": psum("is_labeled_fb", wd),
         "cnt_prev_red_same_desc_lbl": psum("is_red_lbl", wd),
         "cnt_prev_yellow_same_desc_lbl": psum("is_yellow_lbl", wd),
-    })
+    }
+
+
+def _feedback_derived() -> list[dict[str, Column]]:
     red, yel, lab = (F.col("cust_prev_red_lbl_cnt"), F.col("cust_prev_yellow_lbl_cnt"),
                      F.col("cust_prev_labeled_cnt"))
-    df = df.withColumns({
+    return [{
         "cust_prev_red_lbl_rate": (red + 0.1) / (lab + 1.0),
         "cust_prev_yellow_lbl_rate": (yel + 0.1) / (lab + 1.0),
         "cust_prev_susp_lbl_rate": (red + yel + 0.1) / (F.col("cust_prev_events") + 1.0),
@@ -266,8 +272,91 @@ def feedback_block(df: DataFrame) -> DataFrame:
                                        / (F.col("cnt_prev_labeled_same_desc") + 1.0),
         "sec_since_prev_red_lbl": since(F.col("ets"), F.col("_prev_red_ets")),
         "sec_since_prev_yellow_lbl": since(F.col("ets"), F.col("_prev_yel_ets")),
-    })
-    return df.drop("_prev_red_ets", "_prev_yel_ets")
+    }]
+
+
+def _markov_windows() -> dict[str, Column]:
+    return {"_pc": F.row_number().over(wk("prev_mcc_code_i")) - 1,
+            "_bc": F.row_number().over(wk("prev_mcc_code_i", "mcc_code_i")) - 1}
+
+
+def _markov_derived() -> list[dict[str, Column]]:
+    prob = F.col("_bc") / F.greatest(F.col("_pc"), F.lit(1))
+    return [{"markov_mcc_prob": F.coalesce(prob, F.lit(0.0))},
+            {"markov_mcc_surprise": -F.log(F.greatest(F.col("markov_mcc_prob"), F.lit(1e-6)))}]
+
+
+_BLOCKS = {
+    "counts": (_counts_windows, _counts_derived),
+    "lag": (_lag_windows, _lag_derived),
+    "amount": (_amount_windows, _amount_derived),
+    "session_day": (_session_day_windows, _session_day_derived),
+    "moving_avg": (_moving_avg_windows, _moving_avg_derived),
+    "feedback": (_feedback_windows, _feedback_derived),
+}
+ALL_BLOCKS = ("counts", "lag", "amount", "session_day", "markov", "moving_avg", "feedback")
+_NEEDS_INDEX = ("amount", "session_day", "feedback")
+
+
+def customer_features(tl: DataFrame, blocks: tuple[str, ...] = ALL_BLOCKS) -> DataFrame:
+    """Customer block (W, F): one exchange on ``customer_id``, one Sort + Window
+    per distinct window spec, then per-row projections."""
+    wins: dict[str, Column] = {}
+    derived: list[dict[str, Column]] = []
+    if "counts" not in blocks and any(b in blocks for b in _NEEDS_INDEX):
+        wins.update(_index_windows())
+        derived += _index_derived()
+    if "markov" in blocks and "lag" not in blocks:
+        wins["_lag_mcc"] = F.lag("mcc_code_i", 1).over(wc())
+        derived.append({"prev_mcc_code_i": F.coalesce(F.col("_lag_mcc"), F.lit(-1))})
+    for b in ALL_BLOCKS:
+        if b in blocks and b in _BLOCKS:
+            w, d = _BLOCKS[b]
+            wins.update(w())
+            derived += d()
+    df = tl.withColumns(wins)
+    for d in derived:
+        df = df.withColumns(d)
+    if "markov" in blocks:
+        df = df.withColumns(_markov_windows())
+        for d in _markov_derived():
+            df = df.withColumns(d)
+    return df.drop(*[c for c in df.columns if c.startswith("_") and c not in tl.columns])
+
+
+def counts_block(df: DataFrame) -> DataFrame:
+    """Event index, prior counts per (customer x key), log counts, novelty."""
+    return customer_features(df, ("counts",))
+
+
+def lag_block(df: DataFrame) -> DataFrame:
+    """Lags, gaps, change flags, deltas, timezone jumps."""
+    return customer_features(df, ("lag",))
+
+
+def amount_block(df: DataFrame) -> DataFrame:
+    """Expanding mean / std / max of amounts, same-desc mean."""
+    return customer_features(df, ("amount",))
+
+
+def session_day_block(df: DataFrame) -> DataFrame:
+    """Session and calendar-day accumulations, intra-hour count, tenure."""
+    return customer_features(df, ("session_day",))
+
+
+def markov_block(df: DataFrame) -> DataFrame:
+    """MCC transition probability and surprise from the customer's own past."""
+    return customer_features(df, ("markov",))
+
+
+def moving_avg_block(df: DataFrame) -> DataFrame:
+    """Mean of the previous n amounts (null until n non-null exist), drift."""
+    return customer_features(df, ("moving_avg",))
+
+
+def feedback_block(df: DataFrame) -> DataFrame:
+    """Label-history counts, smoothed rates, flags, time since last label."""
+    return customer_features(df, ("feedback",))
 
 
 def target_encoding(df: DataFrame, key: str, target: str = "target_bin",
@@ -291,26 +380,3 @@ def target_encoding(df: DataFrame, key: str, target: str = "target_bin",
     enc = (F.coalesce(F.sum(y).over(w), F.lit(0.0)) + alpha * pr) / (F.count(y).over(w) + alpha)
     out = df.withColumn(name, enc)
     return out.drop("_p") if prior_rate is None else out
-
-
-def customer_features(tl: DataFrame, blocks: tuple[str, ...] = (
-        "counts", "lag", "amount", "session_day", "markov", "moving_avg", "feedback")) -> DataFrame:
-    """Whole customer block (one exchange on ``customer_id``)."""
-    fns = {
-        "counts": counts_block, "lag": lag_block, "amount": amount_block,
-        "session_day": session_day_block, "markov": markov_block,
-        "moving_avg": moving_avg_block, "feedback": feedback_block,
-    }
-    df = tl
-    if "counts" not in blocks and any(b in blocks for b in ("amount", "session_day", "feedback")):
-        df = df.withColumns({"cust_event_idx": _rn()})
-        df = df.withColumns({"cust_prev_events": F.col("cust_event_idx") - 1,
-                             "cnt_prev_same_desc": _rn("event_desc") - 1})
-    if "markov" in blocks and "lag" not in blocks:
-        df = df.withColumn("prev_mcc_code_i",
-                           F.coalesce(F.lag("mcc_code_i", 1).over(wc()), F.lit(-1)))
-    for b in ("counts", "lag", "amount", "session_day", "markov", "moving_avg", "feedback"):
-        if b in blocks:
-            df = fns[b](df)
-    return df
-
