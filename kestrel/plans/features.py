@@ -31,6 +31,21 @@ from kestrel.operators.rolling import profile_ratio_columns, rolling_features
 from kestrel.operators.sampling import training_columns
 
 
+def interaction_columns() -> dict:
+    """Products of novelty / risk flags with device and velocity ratios."""
+    s = F.col("sec_since_prev_event")
+    risk = F.col("any_risk_flag").cast("double")
+    return {
+        "new_device_diversity_risk": F.col("is_new_device_for_customer").cast("double")
+                                     * F.coalesce(F.col("device_customer_diversity"), F.lit(0.0)),
+        "risk_velocity_interaction": risk * F.coalesce(F.col("burst_ratio_1h_24h"), F.lit(0.0)),
+        "risk_spend_concentration": risk * F.coalesce(F.col("spend_concentration_1h"), F.lit(0.0)),
+        "rapid_timezone_switch": ((F.col("is_new_timezone_for_customer") == 1)
+                                  & (F.coalesce(F.col("tz_change_cnt_24h"), F.lit(0)) > 0)
+                                  & (s > 0) & (s < 3600)).cast("int"),
+    }
+
+
 def timeline_block(tl: DataFrame, rolling_method: str = "frame") -> DataFrame:
     """Customer (W, F) and rolling (R) features, one customer partitioning."""
     df = C.customer_features(tl)
@@ -57,7 +72,7 @@ def build_features(tl: DataFrame, *, rolling_method: str = "frame",
     """
     dev = device_features(tl)
     rows = timeline_block(tl, rolling_method).filter(F.col("is_train_sample") | F.col("is_test"))
-    rows = cut(rows.join(dev, "event_id", "left"), checkpoint)
+    rows = cut(rows.join(dev, "event_id", "left").withColumns(interaction_columns()), checkpoint)
     prof = customer_profiles(tl.filter(F.col("period") == "pretrain"))
     rows = attach_profiles(rows, prof).withColumns(profile_ratio_columns())
     src = prior_source(tl) if prior_border == "default" else prior_source(tl, prior_border)

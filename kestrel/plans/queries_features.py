@@ -242,3 +242,103 @@ def q_prior_join(spark, sf_dir):
     return out.select("event_id", *cols)
 
 
+
+
+# --------------------------------------------------------------------------
+# interactions: A3, R8, P16 on the sampled rows (oracle composed from
+# independent SQL pieces: windows, rolling self-join, device windows, profile)
+
+_SMP_WHERE = ("period = 'test' OR (period = 'train' AND (train_target_raw <> -1 OR ("
+              "(event_ts >= TIMESTAMP '2024-01-17 00:00:00' AND (event_id * 1000003 + customer_id * 7919 + 42) % 5 = 0)"
+              " OR (event_ts < TIMESTAMP '2024-01-17 00:00:00' AND (event_id * 1000003 + customer_id * 7919 + 59) % 15 = 0))))")
+_DEC = "CAST(amt AS DECIMAL(28,6))"
+_WP = WC + " ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+_W5 = WC + " ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING"
+
+INTERACTIONS_SQL = with_base("""
+SELECT z.event_id, """ + ",\n  ".join([
+    _d("CASE WHEN abs(pm) > 0.01 THEN amt / pm ELSE 0 END", "amt_over_profile_mean"),
+    _d("CASE WHEN abs(pp) > 0.01 THEN amt / pp ELSE 0 END", "amt_over_profile_p95"),
+    _d("CASE WHEN ps > 1 THEN (amt - pm) / ps ELSE 0 END", "amt_profile_zscore"),
+    _d("coalesce(a5, 0) - coalesce(m, 0)", "amt_drift_5"),
+    _d("abs(coalesce(h5, 12) - coalesce(ph, 12))", "hour_drift"),
+    _d("CASE WHEN pd > 0.1 THEN coalesce(c1, 0) / pd ELSE 0 END", "velocity_ratio_1h"),
+    _d("CASE WHEN pn > 0 THEN coalesce(u24, 0) / pn ELSE 0 END", "mcc_diversity_ratio"),
+    _d("nd * CASE WHEN ops > 0 THEN uc / (ops + 1e-6) ELSE 0 END", "new_device_diversity_risk"),
+    _d("risk * CASE WHEN c24 > 0 THEN c1 / c24 ELSE 0 END", "risk_velocity_interaction"),
+    _d("risk * CASE WHEN s24 > 1 THEN s1 / s24 ELSE 0 END", "risk_spend_concentration"),
+    _i("ntz = 1 AND coalesce(tzc, 0) > 0 AND gap > 0 AND gap < 3600", "rapid_timezone_switch"),
+]) + """
+FROM z
+""", extra_ctes=f"""
+cw AS (
+  SELECT *,
+    row_number() OVER ({WC}) AS idx,
+    CAST(coalesce(sum({_DEC}) OVER ({_WP}), 0) AS DOUBLE) AS s1p,
+    CASE WHEN count(amt) OVER ({_W5}) = 5 THEN avg(amt) OVER ({_W5}) END AS a5,
+    CASE WHEN count(hour) OVER ({_W5}) = 5 THEN avg(hour) OVER ({_W5}) END AS h5,
+    CAST(row_number() OVER (PARTITION BY customer_id, device_fp_i ORDER BY event_ts, event_id) = 1 AS INTEGER) AS nd,
+    CAST(row_number() OVER (PARTITION BY customer_id, timezone ORDER BY event_ts, event_id) = 1 AS INTEGER) AS ntz,
+    ets - lag(ets) OVER ({WC}) AS gap,
+    CAST(coalesce(timezone <> lag(timezone) OVER ({WC}), false) AS INTEGER) AS tzch,
+    CAST(phone_voip_call_state = 1 OR web_rdp_connection = 1 OR compromised_i = 1 OR developer_tools_i = 1 AS DOUBLE) AS risk
+  FROM t),
+cm AS (SELECT *, CASE WHEN idx > 1 THEN CASE WHEN amt IS NULL THEN NULL ELSE s1p / (idx - 1) END ELSE 0 END AS m FROM cw),
+lv AS (SELECT * FROM cm WHERE period <> 'pretrain'),
+rr AS (
+  SELECT q.event_id,
+    count(p.event_id) FILTER (WHERE p.ets >= q.ets - 3600) AS c1,
+    count(p.event_id) AS c24,
+    CAST(coalesce(sum(CAST(p.amt_abs AS DECIMAL(38,6))) FILTER (WHERE p.ets >= q.ets - 3600), 0) AS DOUBLE) AS s1,
+    CAST(coalesce(sum(CAST(p.amt_abs AS DECIMAL(38,6))), 0) AS DOUBLE) AS s24,
+    count(DISTINCT p.mcc_code_i) AS u24,
+    coalesce(sum(p.tzch), 0) AS tzc
+  FROM lv q LEFT JOIN lv p ON p.customer_id = q.customer_id AND p.ets < q.ets AND p.ets >= q.ets - 86400
+  GROUP BY q.event_id),
+dv AS (
+  SELECT event_id, ops, coalesce(sum(CAST(sc = 0 AS INTEGER)) OVER (PARTITION BY device_fp_i ORDER BY event_ts, event_id
+           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS uc
+  FROM (SELECT *, row_number() OVER (PARTITION BY device_fp_i ORDER BY event_ts, event_id) - 1 AS ops,
+          row_number() OVER (PARTITION BY device_fp_i, customer_id ORDER BY event_ts, event_id) - 1 AS sc FROM t)),
+pf AS (
+  SELECT customer_id, avg(amt) AS pm, coalesce(stddev_samp(amt), 0) AS ps,
+    CASE WHEN count(amt) > 0 THEN list_sort(list(amt) FILTER (WHERE amt IS NOT NULL))[CAST(round((count(amt) - 1) * 0.95) AS BIGINT) + 1] END AS pp,
+    coalesce(avg(hour), 12) AS ph, count(DISTINCT mcc_code_i) AS pn, count(*) / 365.0 AS pd
+  FROM t WHERE period = 'pretrain' GROUP BY customer_id),
+z AS (
+  SELECT cm.event_id, cm.amt, cm.a5, cm.m, cm.h5, cm.nd, cm.ntz, cm.gap, cm.risk,
+    coalesce(pf.pm, 0) AS pm, coalesce(pf.ps, 0) AS ps, coalesce(pf.pp, 0) AS pp, coalesce(pf.ph, 0) AS ph,
+    coalesce(pf.pn, 0) AS pn, coalesce(pf.pd, 0) AS pd,
+    rr.c1, rr.c24, rr.s1, rr.s24, rr.u24, rr.tzc, dv.ops, dv.uc
+  FROM cm LEFT JOIN pf USING (customer_id) LEFT JOIN rr USING (event_id) LEFT JOIN dv USING (event_id)
+  WHERE {_SMP_WHERE})
+""")
+
+
+@register("interactions", INTERACTIONS_SQL)
+def q_interactions(spark, sf_dir):
+    """Profile-relative, profile-velocity and interaction features of the build."""
+    from kestrel.plans.features import build_features
+    df = build_features(fixture_timeline(spark, sf_dir))
+    return df.select("event_id", "amt_over_profile_mean", "amt_over_profile_p95",
+                     "amt_profile_zscore", "amt_drift_5", "hour_drift", "velocity_ratio_1h",
+                     "mcc_diversity_ratio", "new_device_diversity_risk",
+                     "risk_velocity_interaction", "risk_spend_concentration",
+                     "rapid_timezone_switch")
+
+
+# --------------------------------------------------------------------------
+# green_sample: L6 (deterministic 1-in-m sample of unlabelled train rows)
+
+GREEN_SQL = with_base("SELECT event_id, " + _d("amt_abs", "amt_abs") + """
+FROM t WHERE period = 'train' AND train_target_raw = -1
+  AND ((event_id * 1000003 + 42) % 20 + 20) % 20 = 0""")
+
+
+@register("green_sample", GREEN_SQL)
+def q_green_sample(spark, sf_dir):
+    """1-in-20 deterministic hash sample of GREEN rows (the sample is the feature)."""
+    from kestrel.operators.sampling import mix_fraction_sample
+    tl = fixture_timeline(spark, sf_dir).filter(
+        (F.col("period") == "train") & (F.col("train_target_raw") == -1))
+    return mix_fraction_sample(tl, 20).select("event_id", "amt_abs")
