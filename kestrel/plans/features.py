@@ -23,7 +23,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.functions.parse import null_pattern_columns
+from kestrel.functions.parse import (amount_columns, calendar_columns, null_pattern_columns,
+                                     risk_flag_columns)
 from kestrel.operators import customer as C
 from kestrel.operators.device import device_features
 from kestrel.operators.priors import attach_priors, attach_profiles, customer_profiles, prior_source
@@ -46,10 +47,18 @@ def interaction_columns() -> dict:
     }
 
 
+# Per-row columns the window chain reads; the other per-row columns are
+# computed after it, so the rows sorted by each window stay narrow.
+_WINDOW_INPUTS = {"hour", "event_date", "amt_abs"}
+
+
 def timeline_block(tl: DataFrame, rolling_method: str = "frame") -> DataFrame:
     """Customer (W, F) and rolling (R) features, one customer partitioning."""
-    df = C.customer_features(tl)
-    return rolling_features(df, method=rolling_method, live=F.col("period") != "pretrain")
+    late = {**calendar_columns(), **amount_columns(), **risk_flag_columns()}
+    late = {k: v for k, v in late.items() if k not in _WINDOW_INPUTS and k in tl.columns}
+    df = C.customer_features(tl.drop(*late))
+    df = rolling_features(df, method=rolling_method, live=F.col("period") != "pretrain")
+    return df.withColumns(late)
 
 
 def cut(df: DataFrame, enabled: bool) -> DataFrame:

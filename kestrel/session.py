@@ -19,6 +19,9 @@ ENGINE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Joins on (customer_id, event_id) reuse a customer_id partitioning.
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    # Window stages are CPU-heavy: let AQE coalesce small shuffles only down to
+    # 256k partitions (large shuffles still coalesce to the advisory size).
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -52,6 +55,7 @@ def apply_engine_conf(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "256k")
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
