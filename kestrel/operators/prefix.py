@@ -6,7 +6,10 @@ fingerprint holds most rows), so that plan puts most of the data in one task.
 
 Plan (for each spec = partition keys + optional extra key + weight):
 
-1. ``bucket = floor(ts / bucket_seconds)``.
+1. ``bucket = floor(ts / bucket_seconds)``.  Distinct counts ("values of
+   ``c`` seen before") become weight-1 *marker rows* at the first occurrence
+   of each value (one small ``groupBy ... min(struct(ts, id))``), so they are
+   plain sums in the same pass.
 2. Level 2 - bucket totals: one ``groupBy(keys, spec, key value, bucket)``
    over rows expanded once per spec (partial aggregation map-side, so the
    shuffle carries at most one row per group and map task), then an
@@ -18,9 +21,11 @@ Plan (for each spec = partition keys + optional extra key + weight):
    specs' windows are clustered on ``(keys, bucket)``, so level 1 costs one
    exchange for any number of specs, and no join back is needed.
 
-A hot key is split across as many tasks as it has occupied buckets; pick
-``bucket_seconds`` so one bucket of the hottest key fits a task.  Ties in
-``ts`` stay in one bucket, so ``(ts, id)`` order is preserved.
+Only hot keys are split (see ``time_buckets``): a key with more than
+``bucket_rows`` rows gets time buckets holding about ``bucket_rows`` rows
+each, so it spreads over ``rows / bucket_rows`` tasks; every other key is a
+single bucket and needs no carry rows.  Ties in ``ts`` stay in one bucket, so
+``(ts, id)`` order is preserved.
 """
 
 from __future__ import annotations
@@ -31,34 +36,88 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_BUCKET_SECONDS = 3600
+# Target rows per (hot key, time bucket) partition.  ``None`` = derive from
+# the data: a key is hot when it holds more than 1 / (4 x shuffle partitions)
+# of all rows, so a key with a third of the data is always split over many
+# tasks while ordinary keys stay whole.
+DEFAULT_BUCKET_ROWS: int | None = None
+MIN_BUCKET_ROWS = 1000
 
 
 @dataclass(frozen=True)
 class PrefixSpec:
     name: str                 # output column
     extra_key: str | None     # additional partition column (besides the common keys)
-    weight: Column            # per-row value to accumulate (null = 0)
+    weight: Column | None     # per-row value to accumulate (null = 0)
     dtype: str = "long"       # accumulation type ("long" or an exact decimal)
+    distinct_of: str | None = None  # count distinct values of this column instead
+
+
+def _markers(df: DataFrame, keys: list[str], i: int, s: PrefixSpec, time_col: str,
+             id_col: str, b: str) -> DataFrame:
+    """First occurrence of each ``distinct_of`` value as a weight-1 marker row
+    placed right after the real row it marks (same time, id and bucket)."""
+    grp = [*keys, *([s.extra_key] if s.extra_key else []), s.distinct_of]
+    first = df.groupBy(*grp).agg(F.min(F.struct(time_col, id_col, b)).alias("_f"))
+    return first.select(
+        *keys, F.col(f"_f.{time_col}").alias(time_col), F.col(f"_f.{id_col}").alias(id_col),
+        F.col(f"_f.{b}").alias(b),
+        (F.col(s.extra_key).cast("long") if s.extra_key else F.lit(0).cast("long")).alias(f"_k{i}"),
+        F.lit(1).cast("long").alias(f"_w{i}"), F.lit(2).alias("_kind"))
+
+
+def time_buckets(df: DataFrame, keys: list[str], time_col: str, out: str,
+                 bucket_rows: int | None, bucket_seconds: int | None) -> DataFrame:
+    """Add the bucket column.
+
+    ``bucket_seconds``: fixed-width time buckets for every key.  Otherwise
+    (default) only *hot* keys - more than ``bucket_rows`` rows - are split,
+    into buckets sized to hold about ``bucket_rows`` rows; every other key is
+    bucket 0.  The hot-key table has at most ``total_rows / bucket_rows``
+    entries, which bounds its broadcast.
+    """
+    if bucket_seconds:
+        return df.withColumn(out, F.floor(F.col(time_col) / bucket_seconds))
+    if bucket_rows is None:
+        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        bucket_rows = max(df.count() // (4 * parts), MIN_BUCKET_ROWS)
+    t = F.col(time_col)
+    hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min(t).alias("_t0"),
+                                 F.max(t).alias("_t1"))
+             .filter(F.col("_n") > bucket_rows)
+             .select(*keys, "_t0", F.greatest(
+                 F.floor((F.col("_t1") - F.col("_t0") + 1) * bucket_rows / F.col("_n")),
+                 F.lit(1)).alias("_bw")))
+    out_df = df.join(F.broadcast(hot), keys, "left")
+    bucket = F.when(F.col("_bw").isNull(), F.lit(0)).otherwise(
+        F.floor((t - F.col("_t0")) / F.col("_bw")))
+    return out_df.withColumn(out, bucket).drop("_t0", "_bw")
 
 
 def exclusive_prefix(df: DataFrame, keys: list[str], specs: list[PrefixSpec], *,
                      time_col: str = "ets", id_col: str = "event_id",
-                     bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                     bucket_rows: int | None = DEFAULT_BUCKET_ROWS,
+                     bucket_seconds: int | None = None) -> DataFrame:
     """Add, for each spec, the sum of ``weight`` over strictly earlier rows
     (by ``(time_col, id_col)``) with equal ``keys`` and equal ``extra_key``."""
     b = "_pb"
-    base = df.withColumn(b, F.floor(F.col(time_col) / bucket_seconds))
+    base = time_buckets(df, keys, time_col, b, bucket_rows, bucket_seconds)
     wcols = {}
     for i, s in enumerate(specs):
-        wcols[f"_w{i}"] = s.weight.cast(s.dtype)
+        wcols[f"_w{i}"] = (F.lit(None).cast(s.dtype) if s.distinct_of else s.weight.cast(s.dtype))
         wcols[f"_k{i}"] = (F.col(s.extra_key).cast("long") if s.extra_key
                            else F.lit(0).cast("long"))
     base = base.withColumns(wcols).withColumn("_kind", F.lit(1))
+    marks = [_markers(base, keys, i, s, time_col, id_col, b)
+             for i, s in enumerate(specs) if s.distinct_of]
+    stream = base
+    for m in marks:
+        stream = stream.unionByName(m, allowMissingColumns=True)
 
     # Level 2: one expanded aggregation for all specs (counts stay in long,
     # exact decimals only for the specs that need them).
     is_dec = [s.dtype != "long" for s in specs]
-    exp = base.select(*keys, b, F.explode(F.array(*[
+    exp = stream.select(*keys, b, F.explode(F.array(*[
         F.struct(F.lit(i).alias("sid"), F.col(f"_k{i}").alias("kv"),
                  (F.lit(None).cast("long") if is_dec[i] else F.col(f"_w{i}")).alias("wl"),
                  (F.col(f"_w{i}").cast("decimal(38,6)") if is_dec[i]
@@ -80,12 +139,14 @@ def exclusive_prefix(df: DataFrame, keys: list[str], specs: list[PrefixSpec], *,
     carry = (carry.withColumns(carry_cols).withColumn("_kind", F.lit(0))
                   .drop("_sid", "_kv", "_tl", "_td", "_cl", "_cd"))
 
-    allrows = base.unionByName(carry, allowMissingColumns=True)
+    allrows = stream.unionByName(carry, allowMissingColumns=True)
     allrows = allrows.repartition(*keys, b)
     out = {}
+    # carry rows first, then (time, id); a marker sorts right after its row
+    car = F.when(F.col("_kind") == 0, F.lit(0)).otherwise(F.lit(1))
     for i, s in enumerate(specs):
         w = (Window.partitionBy(*keys, b, f"_k{i}")
-             .orderBy("_kind", time_col, id_col)
+             .orderBy(car, time_col, id_col, "_kind")
              .rowsBetween(Window.unboundedPreceding, -1))
         out[s.name] = F.coalesce(F.sum(f"_w{i}").over(w), F.lit(0).cast(s.dtype))
     res = allrows.withColumns(out).filter(F.col("_kind") == 1)

@@ -310,14 +310,14 @@ def device_sharing(tl: DataFrame) -> DataFrame:
         (-F.col("_top.neg")).alias("top_device"), F.col("_top.n_cust").alias("top_device_customers"))
 
 
-def cross_customer_lift(tl: DataFrame, bucket_seconds: int = 3600) -> DataFrame:
+def cross_customer_lift(tl: DataFrame, bucket_rows: int | None = None) -> DataFrame:
     """P(RED | another customer had a RED earlier on this device) / base rate,
     over train rows on valid devices.  Prefix counts via the two-level scan."""
     v = valid_device_rows(tl).filter(F.col("period") == "train")
     red = (F.col("train_target_raw") == 1).cast("long")
     p = exclusive_prefix(v, ["device_fp_i"], [
         PrefixSpec("_dev_red", None, red), PrefixSpec("_own_red", "customer_id", red)],
-        bucket_seconds=bucket_seconds)
+        bucket_rows=bucket_rows)
     p = p.withColumn("_other", (F.col("_dev_red") - F.col("_own_red")) > 0)
     return p.agg(
         F.count(F.lit(1)).alias("n"),

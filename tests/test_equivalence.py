@@ -22,22 +22,27 @@ def _hot(tl):
                           .otherwise(F.col("device_fp_i"))))
 
 
-def test_two_level_prefix_matches_naive(tl):
+@pytest.mark.parametrize("split", [{"bucket_seconds": 7200}, {"bucket_rows": 40}, {}])
+def test_two_level_prefix_matches_naive(tl, split):
     from kestrel.operators.prefix import PrefixSpec, exclusive_prefix
     df = _hot(tl)
     specs = [PrefixSpec("ops", None, F.lit(1)), PrefixSpec("same_c", "customer_id", F.lit(1)),
              PrefixSpec("amt_c", "customer_id", F.col("amt_abs").cast("decimal(38,6)"),
-                        "decimal(38,6)")]
-    got = exclusive_prefix(df, ["device_fp_i"], specs, bucket_seconds=7200)
+                        "decimal(38,6)"),
+             PrefixSpec("uc", None, None, distinct_of="customer_id")]
+    got = exclusive_prefix(df, ["device_fp_i"], specs, **split)
     w = Window.partitionBy("device_fp_i").orderBy("ets", "event_id")
     wc = Window.partitionBy("device_fp_i", "customer_id").orderBy("ets", "event_id")
-    naive = df.select("event_id", (F.row_number().over(w) - 1).alias("ops_n"),
+    naive = df.select("event_id", "device_fp_i", "ets", (F.row_number().over(w) - 1).alias("ops_n"),
                       (F.row_number().over(wc) - 1).alias("same_n"),
                       F.coalesce(F.sum(F.col("amt_abs").cast("decimal(38,6)")).over(
-                          wc.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("amt_n"))
-    j = got.join(naive, "event_id")
+                          wc.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("amt_n"),
+                      (F.row_number().over(wc) == 1).cast("int").alias("_first"))
+    naive = naive.withColumn("uc_n", F.coalesce(F.sum("_first").over(
+        w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    j = got.join(naive.drop("device_fp_i", "ets"), "event_id")
     bad = j.filter((F.col("ops") != F.col("ops_n")) | (F.col("same_c") != F.col("same_n"))
-                   | (F.col("amt_c") != F.col("amt_n")))
+                   | (F.col("amt_c") != F.col("amt_n")) | (F.col("uc") != F.col("uc_n")))
     assert j.count() == df.count() and bad.count() == 0
 
 
