@@ -342,3 +342,56 @@ def q_green_sample(spark, sf_dir):
     tl = fixture_timeline(spark, sf_dir).filter(
         (F.col("period") == "train") & (F.col("train_target_raw") == -1))
     return mix_fraction_sample(tl, 20).select("event_id", "amt_abs")
+
+
+# --------------------------------------------------------------------------
+# orders_timeline: the same timeline operators on a second source with real
+# ties (whole-day order dates): W1, W6, W10, R1, R2 over ``orders``
+
+ORDERS_SQL = """
+WITH o AS (
+  SELECT o_custkey AS customer_id, o_orderkey AS event_id, o_totalprice AS amt,
+         CAST(epoch(o_orderdate) AS BIGINT) AS ets FROM orders),
+w AS (
+  SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY ets, event_id) - 1 AS n_prev,
+         ets - lag(ets) OVER (PARTITION BY customer_id ORDER BY ets, event_id) AS gap,
+         CAST(coalesce(sum(CAST(amt AS DECIMAL(38,6))) OVER (PARTITION BY customer_id ORDER BY ets, event_id
+              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS DOUBLE) AS s_prev
+  FROM o),
+r AS (
+  SELECT q.event_id,
+    count(p.event_id) FILTER (WHERE p.ets >= q.ets - 604800) AS c7,
+    count(p.event_id) AS c90,
+    CAST(coalesce(sum(CAST(p.amt AS DECIMAL(38,6))), 0) AS DOUBLE) AS s90
+  FROM o q LEFT JOIN o p ON p.customer_id = q.customer_id AND p.ets < q.ets AND p.ets >= q.ets - 7776000
+  GROUP BY q.event_id)
+SELECT w.event_id, CAST(n_prev AS BIGINT) AS prior_orders, CAST(coalesce(gap, -1) AS BIGINT) AS sec_since_prev,
+  (round(CAST(CASE WHEN n_prev > 0 THEN s_prev / n_prev ELSE 0 END AS DOUBLE) * 1000000) / 1000000 + 0.0) AS prev_mean_price,
+  CAST(c7 AS BIGINT) AS orders_7d, CAST(c90 AS BIGINT) AS orders_90d,
+  (round(CAST(s90 AS DOUBLE) * 1000000) / 1000000 + 0.0) AS price_sum_90d
+FROM w JOIN r USING (event_id)
+"""
+
+
+@register("orders_timeline", ORDERS_SQL)
+def q_orders_timeline(spark, sf_dir):
+    """W1, W6, W10, R1, R2 on ``orders`` (real ties on the order date)."""
+    from kestrel.functions.windows import prior, since, wc, wr
+    from kestrel.sources.fixture import read_table
+    o = read_table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("customer_id"), F.col("o_orderkey").alias("event_id"),
+        F.col("o_totalprice").alias("amt"),
+        F.col("o_orderdate").cast("timestamp").alias("event_ts")).withColumn(
+        "ets", F.unix_seconds("event_ts")).repartition("customer_id")
+    dec = F.col("amt").cast("decimal(38,6)")
+    n = F.row_number().over(wc()) - 1
+    df = o.select("event_id", n.alias("prior_orders"),
+                  since(F.col("ets"), F.lag("ets").over(wc())).alias("sec_since_prev"),
+                  F.coalesce(F.sum(dec).over(prior(wc())), F.lit(0)).cast("double").alias("_s"),
+                  F.count(F.lit(1)).over(wr(604800)).alias("orders_7d"),
+                  F.count(F.lit(1)).over(wr(7776000)).alias("orders_90d"),
+                  F.coalesce(F.sum(dec).over(wr(7776000)).cast("double"), F.lit(0.0)).alias("price_sum_90d"))
+    return df.select("event_id", "prior_orders", "sec_since_prev",
+                     F.when(F.col("prior_orders") > 0, F.col("_s") / F.col("prior_orders"))
+                     .otherwise(F.lit(0.0)).alias("prev_mean_price"),
+                     "orders_7d", "orders_90d", "price_sum_90d")
