@@ -1,0 +1,9 @@
+"""kestrel: causal event-timeline features, priors, ranking and profiling on Spark.
+
+Subpackages: ``sources`` (inputs, timeline, sinks), ``functions`` (per-row
+expressions, window specs), ``operators`` (the feature blocks and
+algorithms), ``plans`` (assembled pipelines and the registered queries),
+``streaming`` (intentionally empty: the reference has no streaming path).
+"""
+
+__version__ = "0.1.0"

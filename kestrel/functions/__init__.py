@@ -1,0 +1 @@
+"""Per-row expressions, window specifications and output normalisation."""

@@ -1,0 +1 @@
+"""Feature blocks and the DataFrame-level algorithms behind them."""

@@ -1,0 +1 @@
+"""Assembled pipelines (flagship velocity, full feature build) and the query registry."""

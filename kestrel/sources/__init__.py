@@ -1,0 +1 @@
+"""Inputs (raw events, fixture timeline, labels), the typed timeline and sinks."""

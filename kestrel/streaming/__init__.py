@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The reference pipeline is batch only (no watermarks, triggers or state), so
+no streaming operator is built here.  The batch operators are plain
+DataFrame transformations; a stateful velocity job would be an extension
+beyond the reference, not part of it.
+"""

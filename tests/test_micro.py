@@ -1,7 +1,6 @@
 """Hand-computed micro-timelines, one per semantic trap."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from micro import by_id, timeline
 
@@ -117,4 +116,3 @@ def test_sample_flags(spark):
     tl = timeline(spark, [{"target": 1}, {"period": "test"}])
     got = by_id(tl, "is_train_sample", "is_test", "train_target_raw")
     assert got[1] == (True, False, 1) and got[2] == (False, True, None)
-    _ = F
