@@ -120,3 +120,14 @@ def test_last_n_sequences_vs_rank(spark, tl):
               .select("customer_id", F.transform("s", lambda x: x["mcc"]).alias("ref")))
     j = got.join(ref, "customer_id")
     assert j.count() == ref.count() and j.filter(F.col("mcc_seq") != F.col("ref")).count() == 0
+
+
+def test_hot_key_is_split(tl):
+    from kestrel.operators.prefix import time_buckets
+    df = _hot(tl)
+    b = time_buckets(df, ["device_fp_i"], "ets", "_b", bucket_rows=40, bucket_seconds=None)
+    per_key = b.groupBy("device_fp_i").agg(F.countDistinct("_b").alias("nb"), F.count(F.lit(1)).alias("n"))
+    hot = per_key.filter(F.col("n") > 40).collect()
+    cold = per_key.filter(F.col("n") <= 40).collect()
+    assert hot and all(r["nb"] >= r["n"] // 80 for r in hot)   # ~n / bucket_rows buckets
+    assert all(r["nb"] == 1 for r in cold)                     # cold keys stay whole

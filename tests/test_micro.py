@@ -116,3 +116,23 @@ def test_sample_flags(spark):
     tl = timeline(spark, [{"target": 1}, {"period": "test"}])
     got = by_id(tl, "is_train_sample", "is_test", "train_target_raw")
     assert got[1] == (True, False, 1) and got[2] == (False, True, None)
+
+
+def test_midnight_resets_day_and_hour(spark):
+    from kestrel.operators import customer as C
+    tl = timeline(spark, [{"event_dttm": "2024-01-15 23:59:58", "operaton_amt": 100.0},
+                          {"event_dttm": "2024-01-15 23:59:59", "operaton_amt": 300.0},
+                          {"event_dttm": "2024-01-16 00:00:00", "operaton_amt": 200.0}])
+    got = by_id(C.customer_features(tl, blocks=("session_day",)),
+                "events_before_today", "events_before_hour", "today_total_amount", "today_max_amount")
+    assert got[2] == (1, 1, 100.0, 100.0)
+    assert got[3] == (0, 0, 0.0, 0.0)      # new calendar day and new hour: both reset
+
+
+def test_device_scope_part(spark):
+    from pyspark.sql import functions as F
+    from kestrel.operators.device import device_features
+    rows = [{"customer_id": c, "t": 60 * i} for i, c in enumerate([1, 2, 3, 4])]
+    tl = timeline(spark, rows).withColumn("part_id", F.when(F.col("customer_id") <= 2, 1).otherwise(2))
+    got = by_id(device_features(tl, scope="part", materialize=False), "device_prev_ops")
+    assert got == {1: 0, 2: 1, 3: 0, 4: 1}   # each part sees only its own customers
