@@ -51,6 +51,8 @@ class PrefixSpec:
     weight: Column | None     # per-row value to accumulate (null = 0)
     dtype: str = "long"       # accumulation type ("long" or an exact decimal)
     distinct_of: str | None = None  # count distinct values of this column instead
+    agg: str = "sum"          # "sum" or "max" (max of earlier rows = the latest earlier value
+                              # for a non-decreasing column, i.e. a lag of the time column)
 
 
 def _markers(df: DataFrame, keys: list[str], i: int, s: PrefixSpec, time_col: str,
@@ -115,29 +117,36 @@ def exclusive_prefix(df: DataFrame, keys: list[str], specs: list[PrefixSpec], *,
         stream = stream.unionByName(m, allowMissingColumns=True)
 
     # Level 2: one expanded aggregation for all specs (counts stay in long,
-    # exact decimals only for the specs that need them).
-    is_dec = [s.dtype != "long" for s in specs]
+    # exact decimals only for the specs that need them, maxima separately).
+    is_max = [s.agg == "max" for s in specs]
+    is_dec = [s.dtype != "long" and not is_max[i] for i, s in enumerate(specs)]
+
+    def field(i: int, kind: str, dtype: str) -> Column:
+        own = ({"l": not is_dec[i] and not is_max[i], "d": is_dec[i], "m": is_max[i]})[kind]
+        return (F.col(f"_w{i}").cast(dtype) if own else F.lit(None).cast(dtype)).alias(f"w{kind}")
+
     exp = stream.select(*keys, b, F.explode(F.array(*[
-        F.struct(F.lit(i).alias("sid"), F.col(f"_k{i}").alias("kv"),
-                 (F.lit(None).cast("long") if is_dec[i] else F.col(f"_w{i}")).alias("wl"),
-                 (F.col(f"_w{i}").cast("decimal(38,6)") if is_dec[i]
-                  else F.lit(None).cast("decimal(38,6)")).alias("wd"))
+        F.struct(F.lit(i).alias("sid"), F.col(f"_k{i}").alias("kv"), field(i, "l", "long"),
+                 field(i, "d", "decimal(38,6)"), field(i, "m", "long"))
         for i in range(len(specs))])).alias("_e"))
     tot = (exp.groupBy(*keys, F.col("_e.sid").alias("_sid"), F.col("_e.kv").alias("_kv"), b)
-              .agg(F.sum(F.col("_e.wl")).alias("_tl"), F.sum(F.col("_e.wd")).alias("_td")))
+              .agg(F.sum(F.col("_e.wl")).alias("_tl"), F.sum(F.col("_e.wd")).alias("_td"),
+                   F.max(F.col("_e.wm")).alias("_tm")))
     wl2 = (Window.partitionBy(*keys, "_sid", "_kv").orderBy(b)
            .rowsBetween(Window.unboundedPreceding, -1))
-    carry = tot.withColumns({"_cl": F.sum("_tl").over(wl2), "_cd": F.sum("_td").over(wl2)})
+    carry = tot.withColumns({"_cl": F.sum("_tl").over(wl2), "_cd": F.sum("_td").over(wl2),
+                             "_cm": F.max("_tm").over(wl2)})
     carry = carry.filter((F.coalesce(F.col("_cl"), F.lit(0)) != 0)
-                         | (F.coalesce(F.col("_cd"), F.lit(0)) != 0))
+                         | (F.coalesce(F.col("_cd"), F.lit(0)) != 0)
+                         | F.col("_cm").isNotNull())
     carry_cols = {}
     for i, s in enumerate(specs):
         hit = F.col("_sid") == i
-        val = F.col("_cd") if is_dec[i] else F.col("_cl")
+        val = F.col("_cm") if is_max[i] else (F.col("_cd") if is_dec[i] else F.col("_cl"))
         carry_cols[f"_w{i}"] = F.when(hit, val).cast(s.dtype)
         carry_cols[f"_k{i}"] = F.when(hit, F.col("_kv"))
     carry = (carry.withColumns(carry_cols).withColumn("_kind", F.lit(0))
-                  .drop("_sid", "_kv", "_tl", "_td", "_cl", "_cd"))
+                  .drop("_sid", "_kv", "_tl", "_td", "_tm", "_cl", "_cd", "_cm"))
 
     allrows = stream.unionByName(carry, allowMissingColumns=True)
     allrows = allrows.repartition(*keys, b)
@@ -148,6 +157,9 @@ def exclusive_prefix(df: DataFrame, keys: list[str], specs: list[PrefixSpec], *,
         w = (Window.partitionBy(*keys, b, f"_k{i}")
              .orderBy(car, time_col, id_col, "_kind")
              .rowsBetween(Window.unboundedPreceding, -1))
-        out[s.name] = F.coalesce(F.sum(f"_w{i}").over(w), F.lit(0).cast(s.dtype))
+        if s.agg == "max":
+            out[s.name] = F.max(f"_w{i}").over(w)
+        else:
+            out[s.name] = F.coalesce(F.sum(f"_w{i}").over(w), F.lit(0).cast(s.dtype))
     res = allrows.withColumns(out).filter(F.col("_kind") == 1)
     return res.drop(b, "_kind", *wcols.keys())

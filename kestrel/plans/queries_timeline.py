@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from kestrel.plans.catalog import register
 from kestrel.plans.oracle import r6, with_base
-from kestrel.plans.velocity import velocity_table
+from kestrel.plans.velocity import velocity_table, velocity_table_split
 from kestrel.sources.timeline import fixture_timeline
 
 # --------------------------------------------------------------------------
@@ -48,7 +48,13 @@ r AS (
 
 @register("velocity", VELOCITY_SQL)
 def q_velocity(spark, sf_dir):
-    """Flagship per-event velocity table."""
+    """Flagship per-event velocity table, skew-proof single-stream form."""
+    return velocity_table_split(fixture_timeline(spark, sf_dir))
+
+
+@register("velocity_windows", VELOCITY_SQL)
+def q_velocity_windows(spark, sf_dir):
+    """Flagship per-event velocity table, plain per-customer windows."""
     return velocity_table(fixture_timeline(spark, sf_dir))
 
 

@@ -131,3 +131,23 @@ def test_hot_key_is_split(tl):
     cold = per_key.filter(F.col("n") <= 40).collect()
     assert hot and all(r["nb"] >= r["n"] // 80 for r in hot)   # ~n / bucket_rows buckets
     assert all(r["nb"] == 1 for r in cold)                     # cold keys stay whole
+
+
+@pytest.mark.parametrize("bucket_rows", [25, None])
+def test_split_velocity_matches_windows_with_hot_customer(tl, bucket_rows):
+    """Half of all rows on one customer (a hot key), hour-truncated times (ties)."""
+    from kestrel.plans.velocity import velocity_table, velocity_table_split
+    hot = (_hot(tl).withColumn("customer_id", F.when(F.col("event_id") % 2 == 0, F.lit(1))
+                                 .otherwise(F.col("customer_id"))))
+    cols = ["cust_prev_events", "cnt_prev_same_mcc", "sec_since_prev_event", "cnt_1h", "cnt_24h",
+            "amt_sum_24h", "burst_ratio_1h_24h"]
+    a = velocity_table(hot).select("event_id", *cols)
+    b = velocity_table_split(hot, bucket_rows=bucket_rows).select(
+        "event_id", *[F.col(c).alias(c + "_s") for c in cols])
+    j = a.join(b, "event_id")
+    cond = None
+    for c in cols:
+        e = ~F.col(c).eqNullSafe(F.col(c + "_s")) & (F.abs(F.col(c) - F.col(c + "_s")) > 1e-6)
+        e = e | (F.col(c).isNull() != F.col(c + "_s").isNull())
+        cond = e if cond is None else cond | e
+    assert j.count() == a.count() and j.filter(cond).count() == 0
