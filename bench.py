@@ -28,11 +28,12 @@ def _blocks():
     from kestrel.operators.rolling import rolling_features
     from kestrel.operators.scoring import average_precision, average_rank
     from kestrel.plans.features import build_features
-    from kestrel.plans.velocity import velocity_table, velocity_table_split
+    from kestrel.plans.velocity import velocity_table, velocity_table_adaptive, velocity_table_split
 
     live = F.col("period") != "pretrain"
     return {
-        "velocity": lambda tl: velocity_table_split(tl),
+        "velocity": lambda tl: velocity_table_adaptive(tl),
+        "velocity_split": lambda tl: velocity_table_split(tl),
         "velocity_windows": lambda tl: velocity_table(tl),
         "customer_block": lambda tl: C.customer_features(tl),
         "rolling_frame": lambda tl: rolling_features(C.lag_block(tl), "frame", live),

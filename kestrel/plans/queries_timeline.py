@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from kestrel.plans.catalog import register
 from kestrel.plans.oracle import r6, with_base
-from kestrel.plans.velocity import velocity_table, velocity_table_split
+from kestrel.plans.velocity import (velocity_table, velocity_table_adaptive,
+                                    velocity_table_split)
 from kestrel.sources.timeline import fixture_timeline
 
 # --------------------------------------------------------------------------
@@ -48,7 +49,13 @@ r AS (
 
 @register("velocity", VELOCITY_SQL)
 def q_velocity(spark, sf_dir):
-    """Flagship per-event velocity table, skew-proof single-stream form."""
+    """Flagship per-event velocity table; plan chosen from measured customer skew."""
+    return velocity_table_adaptive(fixture_timeline(spark, sf_dir))
+
+
+@register("velocity_split", VELOCITY_SQL)
+def q_velocity_split(spark, sf_dir):
+    """Flagship per-event velocity table, skew-proof single-stream form (forced)."""
     return velocity_table_split(fixture_timeline(spark, sf_dir))
 
 

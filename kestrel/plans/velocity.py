@@ -36,7 +36,8 @@ def velocity_table(tl: DataFrame) -> DataFrame:
                        "burst_ratio_1h_24h")
 
 
-def velocity_table_split(tl: DataFrame, bucket_rows: int | None = None) -> DataFrame:
+def velocity_table_split(tl: DataFrame, bucket_rows: int | None = None,
+                         materialize: bool = True) -> DataFrame:
     """Same table, skew-proof: every feature is a prefix statistic of one stream.
 
     Stream rows per customer, ordered by ``(t, ord, event_id)``:
@@ -50,12 +51,16 @@ def velocity_table_split(tl: DataFrame, bucket_rows: int | None = None) -> DataF
 
     ``exclusive_prefix`` splits hot customers into time buckets, so even a
     customer holding a third of all rows is spread over many tasks; one
-    exchange in total.
+    exchange in total.  The 6-column input is cut from the lineage once
+    (reliable checkpoint) because the stream reads it four times.
     """
     from kestrel.operators.prefix import PrefixSpec, exclusive_prefix
     dec = "decimal(38,6)"
     live = F.col("period") != "pretrain"
     base = tl.select("customer_id", "event_id", "period", "ets", "amt_abs", "mcc_code_i")
+    if materialize:
+        from kestrel.plans.features import cut
+        base = cut(base, True)
     real = base.select("customer_id", "event_id", F.col("ets").alias("_t"), F.lit(0).alias("_ord"),
                        "mcc_code_i", "period", F.lit(1).alias("_q"))
     src = base.filter(live)
@@ -69,7 +74,9 @@ def velocity_table_split(tl: DataFrame, bucket_rows: int | None = None) -> DataF
     stream = real.unionByName(deltas(0, 1, 1, 1), allowMissingColumns=True)
     stream = stream.unionByName(deltas(3600, -1, 0, 0), allowMissingColumns=True)
     stream = stream.unionByName(deltas(86400, 0, -1, -1), allowMissingColumns=True)
-    stream = stream.withColumn("_oid", F.struct("_ord", "event_id"))
+    # tie-break within one second as a single long (sortable by prefix):
+    # ord * 2^62 + event_id, valid for event ids in [0, 2^62)
+    stream = stream.withColumn("_oid", F.col("_ord").cast("long") * (1 << 62) + F.col("event_id"))
     q = F.col("_q") == 1
     specs = [
         PrefixSpec("cust_prev_events", None, F.when(q, F.lit(1))),
@@ -88,3 +95,25 @@ def velocity_table_split(tl: DataFrame, bucket_rows: int | None = None) -> DataF
         since(F.col("_t"), F.col("_prev_t")).alias("sec_since_prev_event"),
         "cnt_1h", "cnt_24h", F.col("_s24").cast("double").alias("amt_sum_24h"),
         safe_ratio(c1.cast("double"), c24, c24 > 0).alias("burst_ratio_1h_24h"))
+
+
+def velocity_table_adaptive(tl: DataFrame, bucket_rows: int | None = None) -> DataFrame:
+    """Pick the plan from measured skew (what AQE does for joins, here for windows).
+
+    One small job measures the total row count and the largest customer
+    (``groupBy(customer).count`` with map-side combine, then two scalars).  No
+    customer above the hot threshold (1 / (4 x shuffle partitions) of the rows
+    by default): plain per-customer windows, one exchange, cheapest.
+    Otherwise: the split single-stream plan, which spreads hot customers over
+    time buckets.
+    """
+    from kestrel.operators.prefix import MIN_BUCKET_ROWS
+    per = tl.groupBy("customer_id").agg(F.count(F.lit(1)).alias("n"))
+    stats = per.agg(F.sum("n").alias("total"), F.max("n").alias("top")).first()
+    total, top = int(stats["total"] or 0), int(stats["top"] or 0)
+    if bucket_rows is None:
+        parts = int(tl.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        bucket_rows = max(total // (4 * parts), MIN_BUCKET_ROWS)
+    if top <= bucket_rows:
+        return velocity_table(tl)
+    return velocity_table_split(tl, bucket_rows=bucket_rows)

@@ -136,13 +136,15 @@ def test_hot_key_is_split(tl):
 @pytest.mark.parametrize("bucket_rows", [25, None])
 def test_split_velocity_matches_windows_with_hot_customer(tl, bucket_rows):
     """Half of all rows on one customer (a hot key), hour-truncated times (ties)."""
-    from kestrel.plans.velocity import velocity_table, velocity_table_split
+    from kestrel.plans.velocity import velocity_table, velocity_table_adaptive, velocity_table_split
     hot = (_hot(tl).withColumn("customer_id", F.when(F.col("event_id") % 2 == 0, F.lit(1))
                                  .otherwise(F.col("customer_id"))))
     cols = ["cust_prev_events", "cnt_prev_same_mcc", "sec_since_prev_event", "cnt_1h", "cnt_24h",
             "amt_sum_24h", "burst_ratio_1h_24h"]
     a = velocity_table(hot).select("event_id", *cols)
-    b = velocity_table_split(hot, bucket_rows=bucket_rows).select(
+    split = (velocity_table_split(hot, bucket_rows=bucket_rows) if bucket_rows
+             else velocity_table_adaptive(hot))   # adaptive must detect the hot customer
+    b = split.select(
         "event_id", *[F.col(c).alias(c + "_s") for c in cols])
     j = a.join(b, "event_id")
     cond = None
