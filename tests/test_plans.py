@@ -41,3 +41,12 @@ def test_scan_prunes_columns(spark):
     # the events scan reads only the columns the plan uses
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint," in p or \
         "event_id,ts,user_id" in p.replace(" ", "")
+
+
+def test_adaptive_velocity_plain_plan_without_hot_customer(spark):
+    from kestrel.plans.velocity import velocity_table_adaptive
+    from kestrel.sources.timeline import fixture_timeline
+    p = _plan(velocity_table_adaptive(fixture_timeline(spark, SF001)))
+    # no customer is hot at this size: plain windows, no delta-stream union
+    assert "Union" not in p
+    assert "Exchange hashpartitioning(customer_id" in p
