@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,10 +31,8 @@ def words(text: Column) -> Column:
 
 
 def n_words(text: Column) -> Column:
-    """Number of words without building them: each word ends at a space run or the end."""
-    t = F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), SPACE, " "))
-    return F.when(t == "", F.lit(0)).otherwise(
-        F.length(t) - F.length(F.translate(t, " ", "")) + 1).cast("long")
+    """Number of words, without building them."""
+    return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -46,3 +47,20 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application."""
+    sc = spark.sparkContext
+    if getattr(sc, "_kestrel_shipped", False):
+        return
+    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    name = os.path.join(tempfile.mkdtemp(prefix="kestrel-zip-"), "kestrel_package.zip")
+    with zipfile.ZipFile(name, "w") as z:
+        for folder, _, files in os.walk(top):
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(top)))
+    sc.addPyFile(name)
+    sc._kestrel_shipped = True

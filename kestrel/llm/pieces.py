@@ -30,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kestrel.llm.common import ship
+
 MARK = "▁"
 WIDE = 48
 #: Units that a worker remembers in each of two generations; a unit used in the
@@ -269,6 +271,7 @@ def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", t
     digest=False: (id_col, n_tokens, ids array<int>, decoded)
     digest=True:  (id_col, n_tokens, ids_sha256, decoded_sha256)
     """
+    ship(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     tail = "ids_sha256 string, decoded_sha256 string" if digest else "ids array<int>, decoded string"
 

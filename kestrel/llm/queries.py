@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm import chat, mixing, pieces, quality
+from kestrel.llm import chat, minhash, mixing, pieces, quality, toxicity
 from kestrel.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,12 @@ def query(name: str, oracle: str | None = None):
     return deco
 
 
+@query("op1_minhash_dedup")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of near-duplicate documents, linked by exact similarity of 0.75 or more."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def sentencepiece_model() -> str:
     """Path of the public model; a parameter of the operator."""
     import public_tokenizers
@@ -56,6 +62,12 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.format_conversations(rows.unionByName(hard)))
 
 
+@query("op9_toxicity")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents; labels of two thirds of the ids teach."""
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query("op10_quality_rules")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of the threshold table for all documents."""
