@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm import chat, minhash, mixing, pieces, quality, toxicity
+from kestrel.llm import chat, minhash, mixing, pieces, quality, suffixes, toxicity
 from kestrel.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,12 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query("op4_suffix_dedup")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of all documents that repeat a 100-byte string which starts earlier."""
+    return suffixes.find_repeats(table(spark, sf_dir, "documents"))
+
+
 def sentencepiece_model() -> str:
     """Path of the public model; a parameter of the operator."""
     import public_tokenizers
