@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import n_words
+from kestrel.llm.common import cut, n_words
 
 #: Weights given to the sources in order, repeating.
 WEIGHTS = (1, 2, 3)
@@ -124,7 +124,7 @@ def plan_mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: in
              seed: int = SEED, id_col: str = "doc_id", text_col: str = "text",
              source_col: str = "source") -> DataFrame:
     """(doc_id, source, size, source_size, target, copies, taken) per input row."""
-    sized = _sized(docs, seed, id_col, text_col, source_col)
+    sized = cut(_sized(docs, seed, id_col, text_col, source_col))  # texts are read once
     return _planned(sized, _cuts(sized, weights, max_epochs), max_epochs).select(
         "doc_id", "source", "size", "source_size", "target", "copies",
         (F.col("copies") * F.col("size")).alias("taken"))
@@ -134,7 +134,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = M
         seed: int = SEED, id_col: str = "doc_id", text_col: str = "text",
         source_col: str = "source") -> DataFrame:
     """The mixed corpus: every document as often as the mix takes it, same columns."""
-    small = _sized(docs, seed, id_col, text_col, source_col)
+    small = cut(_sized(docs, seed, id_col, text_col, source_col))
     rows = _planned(_sized(docs, seed, id_col, text_col, source_col, carry=True),
                     _cuts(small, weights, max_epochs), max_epochs)
     rows = rows.where("copies > 0").select(
