@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm import chat, minhash, mixing, pieces, quality, suffixes, toxicity
+from kestrel.llm import (
+    balltree, chat, maintext, minhash, mixing, pieces, quality, suffixes, toxicity, warc)
 from kestrel.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +32,19 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query("op2_warc_round_trip")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write all pages as WARC archives in the shared folder and read them back."""
+    return warc.round_trip(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
+
+
+@query("op3_main_text")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    return maintext.extract(table(spark, sf_dir, "pages"))
+
+
 @query("op4_suffix_dedup")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of all documents that repeat a 100-byte string which starts earlier."""
@@ -57,6 +71,12 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
+@query("op7_exact_top_k")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 best candidates of every query among all rows."""
+    return balltree.top_k(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 @query("op8_chat_format")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Format all conversations and one made of control strings; digests read back."""

@@ -8,9 +8,12 @@
    letters offers nothing or a word border.  Viterbi decoding finds the path with
    the least channel cost plus language-model cost.  A word without any such
    position has a lattice of one path and is its own restoration.
-3. Score: logistic regression on restored words and their prefixes, fitted on
-   at most ``SAMPLE`` labelled documents a class (smallest hash of the id); near
-   copies among them (equal least word hash) count once.  The sigmoid is the score.
+3. Score: log likelihood ratios of restored words and their prefixes, learned from
+   at most ``SAMPLE`` toxic labelled documents and ``CLEAN`` times as many clean ones
+   (smallest hash of the id); near copies among the toxic ones count once, and a
+   feature (found once, or found more often) must be more frequent than chance
+   explains.  A text's log odds are the prior plus the distinct strongest features of
+   its words; their sigmoid is the score.
 
 Labels, language, source and id are no inputs of a score; the id only decides
 who may teach.  Nulls and edge cases: a null or empty text has no words and gets
@@ -23,11 +26,11 @@ Repeated rows get equal scores.  Other columns are ignored.
 from __future__ import annotations
 
 import functools
+import itertools
 import math
 import re
-import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,11 +38,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kestrel.llm.common import ship
+from kestrel.llm.hashing import shingle_sets
 
 
 
-#: Labelled documents a class that the classifier is fitted on, at most.
-SAMPLE = 3000
+#: Toxic documents that the classifier is fitted on, at most, and clean ones for each.
+SAMPLE, CLEAN = 3000, 2
+#: Clean texts added to those that have a feature, and the least weight of a feature.
+DOUBT, LEAST_WEIGHT = 4.0, 1.5
 #: Features that the classifier keeps, at most.
 FEATURES = 4000
 THRESHOLD = 0.7
@@ -186,18 +192,20 @@ class Restorer:
             self.known[token] = got
         return got
 
-    def words(self, text: str) -> set[str]:
-        tokens = set(text.lower().split())
-        out: set[str] = set()
-        for t in tokens:
-            out.update(self.word(t))
+    def words(self, text: str) -> Counter:
+        """Restored words of a text and how often each occurs."""
+        tokens = Counter(text.lower().split())
+        out: Counter = Counter()
+        for t, n in tokens.items():
+            for w in self.word(t):
+                out[w] += n
         out.update(self.spaced(text, tokens))
         return out
 
-    def spaced(self, text: str, tokens: set[str]) -> set[str]:
+    def spaced(self, text: str, tokens: Iterable[str]) -> list[str]:
         """Words written letter by letter; looked for only where three different letters stand alone."""
         if sum(len(t) <= 2 and len(t.strip(_EDGE)) == 1 for t in tokens) < 3:
-            return set()
+            return []
         out: set[str] = set()
         for m in _SPACED.finditer(text.lower()):
             letters = [x.strip(_EDGE) or x for x in m.group().split()]
@@ -207,7 +215,7 @@ class Restorer:
                 out.update(self.channel.decode(" ".join(letters[a:a + 60]), True).split())
             if len(letters) <= 20:
                 out.update(self.word("".join(letters)))
-        return out
+        return sorted(out)
 
 
 def features(word: str) -> list[str]:
@@ -215,6 +223,12 @@ def features(word: str) -> list[str]:
     return ["=" + word, *[word[:k] for k in range(4, min(len(word), 8))]] if len(word) > 2 else []
 
 
+def counted(words: Iterable[str]) -> set[str]:
+    """Features of a text's words, marked 1 or 2 by whether they occur once or more often."""
+    n = Counter(f for w in words for f in features(w))
+    return {("2" if k > 1 else "1") + f for f, k in n.items()}
+
+
 def may_teach(id_col: str = "doc_id") -> Column:
     """Rows of which the labels may be learned."""
     return F.coalesce(F.pmod(F.crc32(F.col(id_col).cast("string")), F.lit(3)) != 1, F.lit(False))
@@ -224,12 +238,79 @@ def _sample(docs: DataFrame, labels: DataFrame, sample: int, id_col: str, text_c
     """(toxic, text) of a bounded sample of labelled rows."""
     rows = labels.select(F.col("doc_id").alias("l_id"), F.col("toxic").alias("toxic")).where(
         F.col("toxic").isNotNull() & may_teach("l_id")).groupBy("l_id").agg(F.max("toxic").alias("toxic"))
-    part = [rows.where(F.col("toxic") == k).orderBy(F.xxhash64("l_id"), "l_id").limit(sample) for k in (0, 1)]
-    some = F.broadcast(part[0].unionByName(part[1]))  # 2 * sample rows at most
+    part = [rows.where(F.col("toxic") == k).orderBy(F.xxhash64("l_id"), "l_id").limit(n)
+            for k, n in ((0, CLEAN * sample), (1, sample))]
+    some = F.broadcast(part[0].unionByName(part[1]))  # (1 + CLEAN) * sample rows at most
     return docs.select(F.col(id_col).alias("l_id"), F.col(text_col).alias("t")).join(some, "l_id").select(
         "toxic", "t")
 
 
+def _clusters(bottoms: list[list[int]]) -> list[int]:
+    """Clusters of near copies: texts that share three of their eight least shingle hashes."""
+    root = list(range(len(bottoms)))
+
+    def find(i: int) -> int:
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    seen: dict[tuple[int, ...], int] = {}
+    for i, x in enumerate(bottoms):
+        for three in itertools.combinations(x, min(3, len(x))):
+            j = seen.setdefault(three, i)
+            if j != i:
+                root[find(i)] = find(j)
+    return [find(i) for i in range(len(bottoms))]
+
+
+def _chance(t: int, n: int, share: float) -> float:
+    """Probability of t or more toxic texts among n, if a feature says nothing."""
+    total, term = 0.0, share ** t * math.comb(n, t) * (1 - share) ** (n - t)
+    for k in range(t, n + 1):
+        total += term
+        term *= (n - k) / (k + 1) * share / (1 - share)
+        if term < total * 1e-9:
+            break
+    return total
+
+
+def train(rows: list[tuple[int, str, list[int]]]) -> tuple[float | None, dict[str, float]]:
+    """Prior log odds and weights of features, from (label, restored words, least shingle hashes).
+
+    A feature is kept if chance would bring less than one such feature among all
+    that were looked at; its weight is its log likelihood ratio with ``DOUBT``
+    added to the clean texts that have it.
+    """
+    toxic, clean = ([w.split(" ") for y, w, _ in rows if y == k] for k in (1, 0))
+    if not toxic or not clean:
+        return None, {}
+    cluster = _clusters([least for y, _, least in rows if y == 1])
+    members = Counter(cluster)
+    n1, n0 = len(members), len(clean)
+    held: dict[str, set[int]] = {}
+    for c, x in zip(cluster, toxic):
+        for f in counted(x):
+            held.setdefault(f, set()).add(c)
+    least = 3 if n1 > 3 else 2
+    t = {f: len(g) for f, g in held.items() if len(g) >= least}
+    tested = max(1, len(held))
+    del held
+    c = Counter()
+    for x in clean:
+        c.update(f for f in counted(x) if f in t)
+    share, out = n1 / (n1 + n0), {}
+    for f, n in t.items():
+        weight = math.log((n + 0.5) / (n1 + 1)) - math.log((c[f] + DOUBT) / (n0 + 1))
+        if weight >= LEAST_WEIGHT and n / (n + c[f]) > share and _chance(n, n + c[f], share) * tested <= 1:
+            out[f] = weight
+    # a prefix that a longer feature explains would only add words that are no part of it
+    explained = {f[0] + g[:k] for f in out for g in [f[1:].lstrip("=")] for k in range(4, len(g) + 1)
+                 if f[0] + g[:k] != f and t.get(f[0] + g[:k], 0) * 0.9 <= t[f]}
+    best = sorted((f for f in out if f not in explained), key=lambda f: (-out[f], f))[:FEATURES]
+    return math.log(n1 / n0), {f: out[f] for f in best}
+
+
 def fit(docs: DataFrame, labels: DataFrame, counts: np.ndarray, sample: int = SAMPLE,
         id_col: str = "doc_id", text_col: str = "text") -> tuple[float | None, dict[str, float]]:
     """Intercept (None: nothing to learn from) and weights of features."""
@@ -238,45 +319,59 @@ def fit(docs: DataFrame, labels: DataFrame, counts: np.ndarray, sample: int = SA
     def restored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         r = Restorer(counts)
         for b in batches:
-            words = [sorted(r.words(t or "")) for t in b.column("t").to_pylist()]
-            least = [min((zlib.crc32(w.encode("utf-8", "replace")) for w in x), default=0) for x in words]
+            texts = b.column("t").to_pylist()
+            words = [" ".join(sorted(w for w, n in r.words(t or "").items() for _ in range(min(n, 2)))) for t in texts]
+            least = [x[:8].view(np.int64).tolist() for x in shingle_sets(texts)]
             yield pa.RecordBatch.from_arrays(
-                [b.column("toxic").cast(pa.int32()), pa.array(least, pa.int64()),
-                 pa.array([" ".join(x) for x in words], pa.string())], names=["toxic", "least", "words"])
+                [b.column("toxic").cast(pa.int32()), pa.array(words, pa.string()),
+                 pa.array(least, pa.list_(pa.int64()))], names=["toxic", "words", "least"])
 
     got = _sample(docs, labels, sample, id_col, text_col).mapInArrow(
-        restored, "toxic int, least long, words string")
-    # near copies count once: of rows with an equal least word hash, the one with most words
-    rows = got.groupBy("toxic", "least").agg(F.max("words").alias("words")).orderBy("toxic", "least").collect()
-    y = np.array([float(r["toxic"]) for r in rows])
-    n1, n0 = int((y == 1).sum()), int((y == 0).sum())
-    if not n1 or not n0:
-        return None, {}
-    docs_of = [{f for w in r["words"].split(" ") for f in features(w)} for r in rows]
-    seen = (Counter(), Counter())
-    for label, fs in zip(y, docs_of):
-        seen[int(label)].update(fs)
-    least = max(2, math.ceil(0.005 * n1))
-    ratio = {f: math.log((n + 0.5) / (n1 + 1)) - math.log((seen[0][f] + 0.5) / (n0 + 1))
-             for f, n in seen[1].items() if n >= least}
-    chosen = sorted((f for f, x in ratio.items() if x > math.log(5)),
-                    key=lambda f: (-ratio[f] * seen[1][f], f))[:FEATURES]
-    at = {f: k for k, f in enumerate(chosen)}
-    hits = [[at[f] for f in fs if f in at] for fs in docs_of]
-    row = np.repeat(np.arange(len(rows)), [len(h) for h in hits])
-    col = np.array([k for h in hits for k in sorted(h)], np.int64)
-    w, b = np.zeros(len(chosen)), 0.0
-    weight = np.where(y == 1, 0.5 / n1, 0.5 / n0)
-    m, v, mb, vb = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
-    for step in range(1, 601):  # Adam on the penalised log loss
-        p = 1 / (1 + np.exp(-np.clip(b + np.bincount(row, w[col], len(rows)), -30, 30)))
-        d = weight * (p - y)
-        g, gb = np.bincount(col, d[row], len(w)) + 1e-5 * w, d.sum()
-        m, v, mb, vb = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g, 0.9 * mb + 0.1 * gb, 0.999 * vb + 0.001 * gb * gb
-        k, kk = 1 - 0.9 ** step, 1 - 0.999 ** step
-        w -= 0.05 * (m / k) / (np.sqrt(v / kk) + 1e-8)
-        b -= 0.05 * (mb / k) / (math.sqrt(vb / kk) + 1e-8)
-    return float(b), {f: float(x) for f, x in zip(chosen, w) if x > 0}
+        restored, "toxic int, words string, least array<long>")
+    return train([tuple(r) for r in got.orderBy("toxic", "words").collect()])
+
+
+class Scorer:
+    """Scores of texts under a fitted classifier; remembers the features of each token."""
+
+    def __init__(self, counts: np.ndarray, intercept: float | None, weights: dict[str, float]):
+        self.restorer, self.intercept, self.weights = Restorer(counts), intercept, weights
+        self.plain = {f[1:] for f in weights}
+        self.known: dict[str, tuple[tuple[str, ...], ...]] = {}
+
+    def _evidence(self, words: Iterable[str]) -> tuple[tuple[str, ...], ...]:
+        """The known features of each word that has any."""
+        found = (tuple(f for f in features(w) if f in self.plain) for w in words)
+        return tuple(x for x in found if x)
+
+    def score(self, text: str | None) -> float:
+        if self.intercept is None:
+            return 0.0
+        tokens = Counter(text.lower().split()) if text else {}
+        known, hits = self.known, []
+        for t, n in tokens.items():
+            got = known.get(t)
+            if got is None:
+                if len(known) > 500_000:
+                    known.clear()
+                got = known[t] = self._evidence(self.restorer.word(t))
+            if got:
+                hits += [(x, n) for x in got]
+        if tokens and (extra := self.restorer.spaced(text, tokens)):
+            hits += [(x, 1) for x in self._evidence(extra)]
+        if not hits:
+            return 1 / (1 + math.exp(-self.intercept))
+        seen: Counter = Counter()
+        for x, n in hits:
+            for f in x:
+                seen[f] += n
+        # each word speaks through its strongest feature, each feature once
+        chosen = set()
+        for x, _ in hits:
+            keys = [("2" if seen[f] > 1 else "1") + f for f in x]
+            chosen.add(max(keys, key=lambda k: (self.weights.get(k, 0.0), k)))
+        z = self.intercept + sum(self.weights.get(k, 0.0) for k in sorted(chosen))
+        return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
 
 def score(docs: DataFrame, counts: np.ndarray, intercept: float | None, weights: dict[str, float],
@@ -286,29 +381,9 @@ def score(docs: DataFrame, counts: np.ndarray, intercept: float | None, weights:
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        r, known = Restorer(counts), {}
-        none: tuple[str, ...] = ()
-
-        def evidence(words: Iterator[str]) -> tuple[str, ...]:
-            return tuple(f for w in words for f in features(w) if f in weights)
-
+        scorer = Scorer(counts, intercept, weights)
         for batch in batches:
-            out = []
-            for text in batch.column("t").to_pylist():
-                tokens = set(text.lower().split()) if text else set()
-                hits: set[str] = set()
-                for t in tokens:
-                    got = known.get(t)
-                    if got is None:
-                        if len(known) > 500_000:
-                            known.clear()
-                        got = known[t] = evidence(r.word(t)) or none
-                    if got:
-                        hits.update(got)
-                if tokens and (extra := r.spaced(text, tokens)):
-                    hits.update(evidence(extra))
-                z = 0.0 if intercept is None else intercept + sum(weights[f] for f in sorted(hits))
-                out.append(0.0 if intercept is None else 1 / (1 + math.exp(-max(-30.0, min(30.0, z)))))
+            out = [scorer.score(t) for t in batch.column("t").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("i"), pa.array(out, pa.float64())],
                                              names=[id_col, "score"])
 
@@ -316,6 +391,22 @@ def score(docs: DataFrame, counts: np.ndarray, intercept: float | None, weights:
         run, f"`{id_col}` {kind}, score double")
 
 
+def drop_toxic(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshold: float = THRESHOLD,
+               id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents that score under the threshold, with all their columns."""
+    counts = trigram_counts(docs, text_col)
+    intercept, weights = fit(docs, labels, counts, sample, id_col, text_col)
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(counts, intercept, weights)
+        for batch in batches:
+            keep = [scorer.score(t) < threshold for t in batch.column(at).to_pylist()]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshold: float = THRESHOLD,
              id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id_col, held_out, score, predicted) for every row of ``docs``."""
