@@ -10,11 +10,11 @@ operator per spec.  "Prior" aggregates exclude the current row; ties in
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kestrel.functions.parse import safe_ratio
-from kestrel.functions.scalars import attach_row
+from kestrel.functions.scalars import EXACT_AMOUNT
 from kestrel.functions.windows import last_n, prior, since, wc, whole, wk
 
 # Categorical keys of the prior-count features (W2) as
@@ -62,8 +62,7 @@ SINCE_SAME = [
 
 MOVING_AVG_N = [5, 10, 50, 100]
 
-# Exact type for running amount sums (amounts carry at most 6 decimals).
-AMT_DECIMAL = "decimal(28,6)"
+AMT_DECIMAL = EXACT_AMOUNT
 
 
 def _rn(*keys) -> Column:
@@ -151,7 +150,7 @@ def _amount_windows() -> dict[str, Column]:
     dec = F.col("amt").cast(AMT_DECIMAL)
     return {
         "_s1": F.coalesce(F.sum(dec).over(w), F.lit(0)).cast("double"),
-        "_s2": F.coalesce(F.sum(dec * dec).over(w), F.lit(0)).cast("double"),
+        "_s2": F.coalesce(F.sum((F.col("amt") * F.col("amt")).cast(AMT_DECIMAL)).over(w), F.lit(0)).cast("double"),
         "_pmax": F.max("amt_abs").over(w),
         "_prev_abs": F.lag("amt_abs", 1).over(wc()),
         "_desc_sum": F.coalesce(F.sum(dec).over(prior(wk("event_desc"))), F.lit(0)).cast("double"),
@@ -193,9 +192,9 @@ def _session_day_windows() -> dict[str, Column]:
     ws = wk("session_id")
     wdt = wk("event_date")
     return {
-        "_sess_sum": F.coalesce(F.sum("amt").over(prior(ws)), F.lit(0.0)),
+        "_sess_sum": F.coalesce(F.sum(F.col("amt").cast(AMT_DECIMAL)).over(prior(ws)).cast("double"), F.lit(0.0)),
         "_sess_first": F.first("ets").over(whole(ws)),
-        "_day_sum": F.coalesce(F.sum("amt_abs").over(prior(wdt)), F.lit(0.0)),
+        "_day_sum": F.coalesce(F.sum(F.col("amt_abs").cast(AMT_DECIMAL)).over(prior(wdt)).cast("double"), F.lit(0.0)),
         "today_max_amount": F.coalesce(F.max("amt_abs").over(prior(wdt)), F.lit(0.0)),
         "_rn_day": F.row_number().over(wdt),
         "_rn_hour": F.row_number().over(wk(F.date_trunc("hour", "event_ts"))),
@@ -359,22 +358,33 @@ def feedback_block(df: DataFrame) -> DataFrame:
     return customer_features(df, ("feedback",))
 
 
+def daily_rate(df: DataFrame, target: str) -> DataFrame:
+    """(_te_day, _p): mean target over all rows of earlier days; one row a day."""
+    day = df.where(F.col("event_date").isNotNull()).groupBy(F.col("event_date").alias("_te_day")).agg(
+        F.sum(F.col(target).cast("long")).alias("s"), F.count(target).alias("n"))
+    before = Window.orderBy("_te_day").rowsBetween(Window.unboundedPreceding, -1)
+    return day.select("_te_day", F.coalesce(F.sum("s").over(before) / F.nullif(F.sum("n").over(before), F.lit(0)),
+                                            F.lit(0.0)).alias("_p"))
+
+
 def target_encoding(df: DataFrame, key: str, target: str = "target_bin",
                     alpha: float = 10.0, prior_rate: float | None = None,
                     name: str | None = None) -> DataFrame:
     """causal (ordered) target encoding of ``key`` within the customer's past.
 
     ``(sum(y) + alpha * p) / (count(y) + alpha)`` over earlier rows of the same
-    (customer, key); rows without a target do not count.  ``p`` defaults to a
-    global rate computed as one aggregate (a single-row broadcast).
+    (customer, key); rows without a target do not count.  ``p`` is the given
+    ``prior_rate`` (from before a border) or the mean target of all earlier
+    days, so no later label and no label of the row itself enters; rows without a
+    time and rows of the first day have p = 0.
     """
     name = name or f"te_{key}"
     w = prior(wk(key))
     y = F.col(target).cast("double")
     if prior_rate is None:
-        p = df.agg(F.avg(y).alias("_p")).select(F.coalesce("_p", F.lit(0.0)).alias("_p"))
-        df = attach_row(df, p)
-        pr = F.col("_p")
+        rate = daily_rate(df, target)
+        df = df.join(rate, df["event_date"] == rate["_te_day"], "left").drop("_te_day")
+        pr = F.coalesce(F.col("_p"), F.lit(0.0))
     else:
         pr = F.lit(float(prior_rate))
     enc = (F.coalesce(F.sum(y).over(w), F.lit(0.0)) + alpha * pr) / (F.count(y).over(w) + alpha)

@@ -35,13 +35,17 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kestrel.functions.scalars import EXACT_AMOUNT
+
 DEFAULT_BUCKET_SECONDS = 3600
-# Target rows per (hot key, time bucket) partition.  ``None`` = derive from
-# the data: a key is hot when it holds more than 1 / (4 x shuffle partitions)
-# of all rows, so a key with a third of the data is always split over many
-# tasks while ordinary keys stay whole.
+# Rows of one (key, time bucket) partition, at about: what one task sorts in
+# memory.  A key with more rows is split; the bound does not depend on the size
+# of the input or the cluster, and neither does any result.
+BUCKET_ROWS = 100_000
 DEFAULT_BUCKET_ROWS: int | None = None
-MIN_BUCKET_ROWS = 1000
+# Time cells a bucket: buckets are cut at cell borders so that they hold about
+# equally many rows even where a key's rows cluster in time.
+CELLS = 16
 
 
 @dataclass(frozen=True)
@@ -72,28 +76,42 @@ def time_buckets(df: DataFrame, keys: list[str], time_col: str, out: str,
                  bucket_rows: int | None, bucket_seconds: int | None) -> DataFrame:
     """Add the bucket column.
 
-    ``bucket_seconds``: fixed-width time buckets for every key.  Otherwise
-    (default) only *hot* keys - more than ``bucket_rows`` rows - are split,
-    into buckets sized to hold about ``bucket_rows`` rows; every other key is
-    bucket 0.  The hot-key table has at most ``total_rows / bucket_rows``
-    entries, which bounds its broadcast.
+    ``bucket_seconds``: fixed-width time buckets for every key.  Otherwise a key
+    with more than ``bucket_rows`` rows (a null key included) is split into
+    buckets of about that many rows: its time range is cut into ``CELLS`` cells
+    per bucket, the cells' row counts are summed up in order, and every
+    ``bucket_rows`` rows begin a new bucket.  All other keys are bucket 0.  Both
+    tables that are joined back have at most ``CELLS * rows / bucket_rows`` rows;
+    adaptive execution broadcasts them where they measure small.  Rows without a
+    time come first in a bucket of their own.
     """
     if bucket_seconds:
         return df.withColumn(out, F.floor(F.col(time_col) / bucket_seconds))
-    if bucket_rows is None:
-        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        bucket_rows = max(df.count() // (4 * parts), MIN_BUCKET_ROWS)
+    bucket_rows = bucket_rows or BUCKET_ROWS
     t = F.col(time_col)
     hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min(t).alias("_t0"),
                                  F.max(t).alias("_t1"))
              .filter(F.col("_n") > bucket_rows)
-             .select(*keys, "_t0", F.greatest(
-                 F.floor((F.col("_t1") - F.col("_t0") + 1) * bucket_rows / F.col("_n")),
+             .select(*[F.col(k).alias(f"_h_{k}") for k in keys], "_t0", F.greatest(
+                 F.floor((F.col("_t1") - F.col("_t0") + 1) * bucket_rows / (F.col("_n") * CELLS)),
                  F.lit(1)).alias("_bw")))
-    out_df = df.join(F.broadcast(hot), keys, "left")
-    bucket = F.when(F.col("_bw").isNull(), F.lit(0)).otherwise(
-        F.floor((t - F.col("_t0")) / F.col("_bw")))
-    return out_df.withColumn(out, bucket).drop("_t0", "_bw")
+
+    def same(left: DataFrame, right: DataFrame, prefix: str):
+        cond = F.lit(True)
+        for k in keys:
+            cond = cond & left[k].eqNullSafe(right[f"{prefix}{k}"])
+        return cond
+
+    cells = df.join(hot, same(df, hot, "_h_"), "left").drop(*[f"_h_{k}" for k in keys])
+    cells = cells.withColumn("_cell", F.floor((t - F.col("_t0")) / F.col("_bw"))).drop("_t0", "_bw")
+    filled = cells.filter(F.col("_cell").isNotNull()).groupBy(*keys, "_cell").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*keys).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    place = filled.select(
+        *[F.col(k).alias(f"_c_{k}") for k in keys], F.col("_cell").alias("_c_cell"),
+        F.floor(F.coalesce(F.sum("_n").over(before), F.lit(0)) / bucket_rows).alias("_place"))
+    out_df = cells.join(place, same(cells, place, "_c_") & (cells["_cell"] == place["_c_cell"]), "left")
+    bucket = F.when(t.isNull(), F.lit(-1)).otherwise(F.coalesce("_place", F.lit(0)))
+    return out_df.withColumn(out, bucket).drop("_cell", "_c_cell", "_place", *[f"_c_{k}" for k in keys])
 
 
 def exclusive_prefix(df: DataFrame, keys: list[str], specs: list[PrefixSpec], *,
@@ -127,7 +145,7 @@ def exclusive_prefix(df: DataFrame, keys: list[str], specs: list[PrefixSpec], *,
 
     exp = stream.select(*keys, b, F.explode(F.array(*[
         F.struct(F.lit(i).alias("sid"), F.col(f"_k{i}").alias("kv"), field(i, "l", "long"),
-                 field(i, "d", "decimal(38,6)"), field(i, "m", "long"))
+                 field(i, "d", EXACT_AMOUNT), field(i, "m", "long"))
         for i in range(len(specs))])).alias("_e"))
     tot = (exp.groupBy(*keys, F.col("_e.sid").alias("_sid"), F.col("_e.kv").alias("_kv"), b)
               .agg(F.sum(F.col("_e.wl")).alias("_tl"), F.sum(F.col("_e.wd")).alias("_td"),

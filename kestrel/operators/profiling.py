@@ -187,11 +187,12 @@ def red_concentration(tr: DataFrame, key: str = "mcc_code_i",
                       tops: list[int] = CONCENTRATION_TOPS) -> DataFrame:
     """Share of all RED events in the top-n categories by RED count."""
     t = category_table(tr, key).filter(F.col("red") > 0).select(key, "red")
-    # rank categories (red desc, key asc) with the global scan: order value packs both
-    t = t.withColumn("_ord", -F.col("red") * F.lit(1 << 40) + F.col(key).cast("long"))
-    t = t.withColumn("_one", F.lit(1))
-    c = ordered_cumsum(t, "_ord", ["_one", "red"])
-    c = c.withColumn("rank", F.col("cum__one") + 1).withColumn("cum_red", F.col("cum_red") + F.col("red"))
+    # the largest top-n decides how many categories are ranked one by one: a partial
+    # top-n per task, then at most max(tops) rows in one
+    first = Window.orderBy(F.col("red").desc(), F.col(key).asc())
+    c = t.orderBy(F.col("red").desc(), F.col(key).asc()).limit(max(tops))
+    c = c.select(F.row_number().over(first).alias("rank"),
+                 F.sum("red").over(first.rowsBetween(Window.unboundedPreceding, 0)).alias("cum_red"))
     tot = t.agg(F.sum("red").alias("_all"), F.count(F.lit(1)).alias("_k"))
     tops_df = c.sparkSession.createDataFrame([(n,) for n in tops], "top_n int")
     c = attach_row(c, tot)

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kestrel.functions.parse import safe_ratio
+from kestrel.functions.scalars import EXACT_AMOUNT
 from kestrel.functions.windows import wr
 
 # Window lengths in seconds.
@@ -33,12 +34,18 @@ VOIP_WINDOW = ("voip_cnt_15min", 900)
 DISTINCT_WINDOWS = [("unique_mcc_1h", 3600), ("unique_mcc_24h", 86400)]
 TZ_WINDOW = ("tz_change_cnt_24h", 86400)
 
-# Exact decimal for amount deltas: 18 integer digits, 6 fractional.
-_AMT_DEC = "decimal(24,6)"
+_AMT_DEC = EXACT_AMOUNT
 
 
 def _live(live: Column | None) -> Column:
-    return F.lit(True) if live is None else F.coalesce(live, F.lit(False))
+    """Rows that count: live, and with a time (an event without one is in no window)."""
+    timed = F.col("ets").isNotNull()
+    return timed if live is None else timed & F.coalesce(live, F.lit(False))
+
+
+def _timed(value: Column, missing: Column) -> Column:
+    """A window value; ``missing`` on rows without a time, which have no window."""
+    return F.when(F.col("ets").isNull(), missing).otherwise(value)
 
 
 def _invertible_specs(live: Column | None = None) -> list[tuple[str, int, Column, str]]:
@@ -63,10 +70,10 @@ def _frame_invertible(df: DataFrame, live: Column | None) -> DataFrame:
     cols = {}
     for name, p, wgt, kind in _invertible_specs(live):
         if kind == "count":
-            cols[name] = F.coalesce(F.sum(wgt).over(wr(p)), F.lit(0)).cast("long")
+            cols[name] = _timed(F.coalesce(F.sum(wgt).over(wr(p)), F.lit(0)), F.lit(0)).cast("long")
         else:
             dec = F.when(on, F.col("amt_abs")).cast(_AMT_DEC)
-            cols[name] = F.coalesce(F.sum(dec).over(wr(p)).cast("double"), F.lit(0.0))
+            cols[name] = _timed(F.coalesce(F.sum(dec).over(wr(p)).cast("double"), F.lit(0.0)), F.lit(0.0))
     return df.withColumns(cols)
 
 
@@ -95,8 +102,8 @@ def _delta_invertible(df: DataFrame, live: Column | None) -> DataFrame:
     cols = {}
     for n, _, _, k in specs:
         s = F.sum(f"_d_{n}").over(w)
-        cols[n] = (F.coalesce(s, F.lit(0)).cast("long") if k == "count"
-                   else F.coalesce(s.cast("double"), F.lit(0.0)))
+        cols[n] = (_timed(F.coalesce(s, F.lit(0)), F.lit(0)).cast("long") if k == "count"
+                   else _timed(F.coalesce(s.cast("double"), F.lit(0.0)), F.lit(0.0)))
     out = allrows.withColumns(cols).filter(F.col("_q") == 1)
     return out.drop("_t", "_q", *[f"_d_{n}" for n in names])
 
@@ -107,9 +114,9 @@ def rolling_features(df: DataFrame, method: str = "frame", live: Column | None =
     df = _delta_invertible(df, live) if method == "delta" else _frame_invertible(df, live)
     on = _live(live)
     mx_name, mx_p = MAX_WINDOW
-    cols = {mx_name: F.max(F.when(on, F.col("amt_abs"))).over(wr(mx_p))}
+    cols = {mx_name: _timed(F.max(F.when(on, F.col("amt_abs"))).over(wr(mx_p)), F.lit(None).cast("double"))}
     for name, p in DISTINCT_WINDOWS:
-        cols[name] = F.size(F.collect_set(F.when(on, F.col("mcc_code_i"))).over(wr(p)))
+        cols[name] = _timed(F.size(F.collect_set(F.when(on, F.col("mcc_code_i"))).over(wr(p))), F.lit(0))
     df = df.withColumns(cols)
     return df.withColumns(ratio_columns())
 

@@ -98,11 +98,10 @@ def q_rank(spark, sf_dir):
 # blend_coarse / blend_best: M6, M8
 
 _COARSE_CTE = """
-gm AS (SELECT i AS im, i * CAST(0.05 AS DOUBLE) AS wm FROM range(0, 19) r(i)),
-gr AS (SELECT i AS ir, i * CAST(0.05 AS DOUBLE) AS wr FROM range(0, 13) r(i)),
 cand AS (
-  SELECT row_number() OVER (ORDER BY im, ir) - 1 AS cand, wm, wr, round(1.0 - wm - wr, 4) AS wp
-  FROM gm CROSS JOIN gr WHERE round(1.0 - wm - wr, 4) >= 0),
+  SELECT m.i * 5000 + r.i * 5 AS cand, CAST(m.i * 5 AS DOUBLE) / 100 AS wm, CAST(r.i * 5 AS DOUBLE) / 100 AS wr,
+         CAST(100 - m.i * 5 - r.i * 5 AS DOUBLE) / 100 AS wp
+  FROM range(0, 19) m(i) CROSS JOIN range(0, 13) r(i) WHERE m.i * 5 + r.i * 5 <= 100),
 bl AS (SELECT c.cand, c.wm * s.s_a + c.wr * s.s_b + c.wp * s.s_prod AS s, s.y FROM cand c CROSS JOIN sc s),
 bd AS (SELECT cand, s, sum(y) AS pos, count(*) AS n FROM bl GROUP BY cand, s),
 bc AS (SELECT *, sum(pos) OVER (PARTITION BY cand ORDER BY s DESC) AS tp,
@@ -117,13 +116,10 @@ BLEND_COARSE_SQL = with_base(
 
 @register("blend_coarse", BLEND_COARSE_SQL)
 def q_blend_coarse(spark, sf_dir):
-    """M8 stage 1: AP of all 247 coarse blend candidates in one job."""
-    df = scored(spark, sf_dir)
-    grid = S.coarse_grid()
-    ap = S.candidate_ap(df, "y", ["s_a", "s_b", "s_prod"], grid)
-    cand = spark.createDataFrame([(i, *w) for i, w in enumerate(grid)],
-                                 "cand int, wm double, wr double, wp double")
-    return ap.join(F.broadcast(cand), "cand")
+    """M8 stage 1: AP of all coarse blend candidates in one job."""
+    grid = S.weight_grid(spark, S.COARSE["main"], S.COARSE["recent"])
+    ap = S.candidate_ap(scored(spark, sf_dir), "y", ["s_a", "s_b", "s_prod"], grid)
+    return ap.join(grid.toDF("cand", "wm", "wr", "wp"), "cand")
 
 
 BLEND_BEST_SQL = with_base("""
@@ -138,12 +134,10 @@ FROM (
 """, SCORED_CTE + "," + _COARSE_CTE + """,
 cb AS (SELECT c.cand, c.wm, c.wr, c.wp, b.ap FROM cand c JOIN bap b USING (cand)
        ORDER BY round(b.ap, 12) DESC, c.cand LIMIT 1),
-lim AS (SELECT greatest(0.0, wm - CAST(0.08 AS DOUBLE)) AS mlo, least(1.0, wm + CAST(0.08 AS DOUBLE)) AS mhi,
-               greatest(0.0, wr - CAST(0.08 AS DOUBLE)) AS rlo, least(1.0, wr + CAST(0.08 AS DOUBLE)) AS rhi FROM cb),
-fm AS (SELECT i AS im, mlo + i * CAST(0.01 AS DOUBLE) AS wm FROM lim, range(0, 40) r(i) WHERE i < ceil((mhi + 1e-9 - mlo) / 0.01)),
-fr AS (SELECT i AS ir, rlo + i * CAST(0.01 AS DOUBLE) AS wr FROM lim, range(0, 40) r(i) WHERE i < ceil((rhi + 1e-9 - rlo) / 0.01)),
-fc AS (SELECT row_number() OVER (ORDER BY im, ir) - 1 AS cand, wm, wr, 1.0 - wm - wr AS wp
-       FROM fm CROSS JOIN fr WHERE 1.0 - wm - wr >= 0),
+fc AS (SELECT m.i * 1000 + r.i AS cand, CAST(m.i AS DOUBLE) / 100 AS wm, CAST(r.i AS DOUBLE) / 100 AS wr,
+              CAST(100 - m.i - r.i AS DOUBLE) / 100 AS wp
+       FROM cb, range(0, 101) m(i) CROSS JOIN range(0, 101) r(i)
+       WHERE abs(m.i - round(cb.wm * 100)) <= 8 AND abs(r.i - round(cb.wr * 100)) <= 8 AND m.i + r.i <= 100),
 fbl AS (SELECT c.cand, c.wm * s.s_a + c.wr * s.s_b + c.wp * s.s_prod AS s, s.y FROM fc c CROSS JOIN sc s),
 fbd AS (SELECT cand, s, sum(y) AS pos, count(*) AS n FROM fbl GROUP BY cand, s),
 fbc AS (SELECT *, sum(pos) OVER (PARTITION BY cand ORDER BY s DESC) AS tp,
@@ -173,7 +167,7 @@ rk AS (
     (rank() OVER (ORDER BY s_fb) - 1 + (count(*) OVER (PARTITION BY s_fb) + 1) / 2.0) / count(*) OVER () AS r_fb,
     customer_id IN (SELECT customer_id FROM sc WHERE train_target_raw <> -1) AS hist
   FROM (SELECT *, 0.35 * s_a + 0.0 * s_b + 0.65 * s_prod AS cb FROM sc)),
-al AS (SELECT i AS cand, i * CAST(0.05 AS DOUBLE) AS alpha FROM range(0, 11) r(i)),
+al AS (SELECT i AS cand, CAST(i * 5 AS DOUBLE) / 100 AS alpha FROM range(0, 11) r(i)),
 ab AS (SELECT a.cand, a.alpha, CASE WHEN hist THEN (1 - a.alpha) * r_cb + a.alpha * r_fb ELSE r_cb END AS s, y
        FROM al a CROSS JOIN rk),
 ad AS (SELECT cand, alpha, s, sum(y) AS pos, count(*) AS n FROM ab GROUP BY cand, alpha, s),

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from kestrel.plans.catalog import register
 from kestrel.plans.oracle import r6, with_base
-from kestrel.plans.velocity import (velocity_table, velocity_table_adaptive,
+from kestrel.plans.velocity import (velocity_table,
                                     velocity_table_split)
 from kestrel.sources.timeline import fixture_timeline
 
@@ -49,14 +49,14 @@ r AS (
 
 @register("velocity", VELOCITY_SQL)
 def q_velocity(spark, sf_dir):
-    """Flagship per-event velocity table; plan chosen from measured customer skew."""
-    return velocity_table_adaptive(fixture_timeline(spark, sf_dir))
+    """Flagship per-event velocity table; customers above the task bound are split by time."""
+    return velocity_table_split(fixture_timeline(spark, sf_dir))
 
 
 @register("velocity_split", VELOCITY_SQL)
 def q_velocity_split(spark, sf_dir):
-    """Flagship per-event velocity table, skew-proof single-stream form (forced)."""
-    return velocity_table_split(fixture_timeline(spark, sf_dir))
+    """The same table with every customer of over 20 events split into time buckets."""
+    return velocity_table_split(fixture_timeline(spark, sf_dir), bucket_rows=20)
 
 
 @register("velocity_windows", VELOCITY_SQL)
@@ -547,14 +547,15 @@ def q_feedback(spark, sf_dir):
 
 TARGET_ENCODING_SQL = with_base("""
 SELECT q.event_id,
-  """ + r6("(coalesce(sum(p.y), 0) + 10.0 * any_value(g.p)) / (count(p.y) + 10.0)") + """ AS te_mcc_code_i
-FROM ty q CROSS JOIN g
+  """ + r6("(coalesce(sum(p.y), 0) + 10.0 * any_value(coalesce(g.p, 0))) / (count(p.y) + 10.0)") + """ AS te_mcc_code_i
+FROM ty q LEFT JOIN g ON g.day = CAST(q.event_ts AS DATE)
 LEFT JOIN ty p ON p.customer_id = q.customer_id AND p.mcc_code_i = q.mcc_code_i
   AND (p.event_ts < q.event_ts OR (p.event_ts = q.event_ts AND p.event_id < q.event_id))
 GROUP BY q.event_id
 """, extra_ctes="""
 ty AS (SELECT *, CAST(train_target_raw = 1 AS DOUBLE) AS y FROM t),
-g AS (SELECT coalesce(avg(y), 0) AS p FROM ty)
+days AS (SELECT DISTINCT CAST(event_ts AS DATE) AS day FROM ty),
+g AS (SELECT d.day, avg(e.y) AS p FROM days d LEFT JOIN ty e ON CAST(e.event_ts AS DATE) < d.day GROUP BY d.day)
 """)
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kestrel.functions.parse import safe_ratio
+from kestrel.functions.scalars import EXACT_AMOUNT
 from kestrel.functions.windows import since, wc, wk, wr
 
 
@@ -24,10 +25,12 @@ def velocity_table(tl: DataFrame) -> DataFrame:
     )
     df = df.withColumn("sec_since_prev_event", since(F.col("ets"), F.col("_prev_ets")))
     live = df.filter(F.col("period") != "pretrain")
+    timed = F.col("ets").isNotNull()  # an event without a time is in no window and has none
+    amount = F.sum(F.col("amt_abs").cast(EXACT_AMOUNT)).over(wr(86400)).cast("double")
     live = live.withColumns({
-        "cnt_1h": F.count(F.lit(1)).over(wr(3600)),
-        "cnt_24h": F.count(F.lit(1)).over(wr(86400)),
-        "amt_sum_24h": F.coalesce(F.sum("amt_abs").over(wr(86400)), F.lit(0.0)),
+        "cnt_1h": F.when(timed, F.count(F.lit(1)).over(wr(3600))).otherwise(F.lit(0)),
+        "cnt_24h": F.when(timed, F.count(F.lit(1)).over(wr(86400))).otherwise(F.lit(0)),
+        "amt_sum_24h": F.when(timed, F.coalesce(amount, F.lit(0.0))).otherwise(F.lit(0.0)),
     })
     c1, c24 = F.col("cnt_1h"), F.col("cnt_24h")
     live = live.withColumn("burst_ratio_1h_24h", safe_ratio(c1.cast("double"), c24, c24 > 0))
@@ -55,7 +58,7 @@ def velocity_table_split(tl: DataFrame, bucket_rows: int | None = None,
     (reliable checkpoint) because the stream reads it four times.
     """
     from kestrel.operators.prefix import PrefixSpec, exclusive_prefix
-    dec = "decimal(38,6)"
+    dec = EXACT_AMOUNT
     live = F.col("period") != "pretrain"
     base = tl.select("customer_id", "event_id", "period", "ets", "amt_abs", "mcc_code_i")
     if materialize:
@@ -63,7 +66,7 @@ def velocity_table_split(tl: DataFrame, bucket_rows: int | None = None,
         base = cut(base, True)
     real = base.select("customer_id", "event_id", F.col("ets").alias("_t"), F.lit(0).alias("_ord"),
                        "mcc_code_i", "period", F.lit(1).alias("_q"))
-    src = base.filter(live)
+    src = base.filter(live & F.col("ets").isNotNull())
 
     def deltas(shift: int, w1, w24, s24):
         return src.select("customer_id", "event_id", (F.col("ets") + shift).alias("_t"),
@@ -74,9 +77,8 @@ def velocity_table_split(tl: DataFrame, bucket_rows: int | None = None,
     stream = real.unionByName(deltas(0, 1, 1, 1), allowMissingColumns=True)
     stream = stream.unionByName(deltas(3600, -1, 0, 0), allowMissingColumns=True)
     stream = stream.unionByName(deltas(86400, 0, -1, -1), allowMissingColumns=True)
-    # tie-break within one second as a single long (sortable by prefix):
-    # ord * 2^62 + event_id, valid for event ids in [0, 2^62)
-    stream = stream.withColumn("_oid", F.col("_ord").cast("long") * (1 << 62) + F.col("event_id"))
+    # order within one second: events first, then deltas, each by id
+    stream = stream.withColumn("_oid", F.struct("_ord", "event_id"))
     q = F.col("_q") == 1
     specs = [
         PrefixSpec("cust_prev_events", None, F.when(q, F.lit(1))),
@@ -95,25 +97,3 @@ def velocity_table_split(tl: DataFrame, bucket_rows: int | None = None,
         since(F.col("_t"), F.col("_prev_t")).alias("sec_since_prev_event"),
         "cnt_1h", "cnt_24h", F.col("_s24").cast("double").alias("amt_sum_24h"),
         safe_ratio(c1.cast("double"), c24, c24 > 0).alias("burst_ratio_1h_24h"))
-
-
-def velocity_table_adaptive(tl: DataFrame, bucket_rows: int | None = None) -> DataFrame:
-    """Pick the plan from measured skew (what AQE does for joins, here for windows).
-
-    One small job measures the total row count and the largest customer
-    (``groupBy(customer).count`` with map-side combine, then two scalars).  No
-    customer above the hot threshold (1 / (4 x shuffle partitions) of the rows
-    by default): plain per-customer windows, one exchange, cheapest.
-    Otherwise: the split single-stream plan, which spreads hot customers over
-    time buckets.
-    """
-    from kestrel.operators.prefix import MIN_BUCKET_ROWS
-    per = tl.groupBy("customer_id").agg(F.count(F.lit(1)).alias("n"))
-    stats = per.agg(F.sum("n").alias("total"), F.max("n").alias("top")).first()
-    total, top = int(stats["total"] or 0), int(stats["top"] or 0)
-    if bucket_rows is None:
-        parts = int(tl.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        bucket_rows = max(total // (4 * parts), MIN_BUCKET_ROWS)
-    if top <= bucket_rows:
-        return velocity_table(tl)
-    return velocity_table_split(tl, bucket_rows=bucket_rows)

@@ -85,7 +85,7 @@ def test_rank_and_ap_vs_brute_force(spark):
                                "id int, s double, y int")
     # brute force average-tie ranks
     ranks = np.array([(np.sum(s < v) + (np.sum(s == v) + 1) / 2) / len(s) for v in s])
-    got = {r["id"]: r["r"] for r in average_rank(df, "s", "r", buckets=8).collect()}
+    got = {r["id"]: r["r"] for r in average_rank(df, "s", "r").collect()}
     assert np.allclose([got[i] for i in range(len(s))], ranks)
     # brute force step-wise AP over distinct thresholds
     ap = 0.0
@@ -93,7 +93,7 @@ def test_rank_and_ap_vs_brute_force(spark):
         sel = s >= v
         ap += y[s == v].sum() * (y[sel].sum() / sel.sum())
     ap /= y.sum()
-    assert average_precision(df, "s", "y", buckets=8).first()["ap"] == pytest.approx(ap)
+    assert average_precision(df, "s", "y").first()["ap"] == pytest.approx(ap)
 
 
 def test_exact_quantiles_vs_numpy(spark):
@@ -136,14 +136,13 @@ def test_hot_key_is_split(tl):
 @pytest.mark.parametrize("bucket_rows", [25, None])
 def test_split_velocity_matches_windows_with_hot_customer(tl, bucket_rows):
     """Half of all rows on one customer (a hot key), hour-truncated times (ties)."""
-    from kestrel.plans.velocity import velocity_table, velocity_table_adaptive, velocity_table_split
+    from kestrel.plans.velocity import velocity_table, velocity_table_split
     hot = (_hot(tl).withColumn("customer_id", F.when(F.col("event_id") % 2 == 0, F.lit(1))
                                  .otherwise(F.col("customer_id"))))
     cols = ["cust_prev_events", "cnt_prev_same_mcc", "sec_since_prev_event", "cnt_1h", "cnt_24h",
             "amt_sum_24h", "burst_ratio_1h_24h"]
     a = velocity_table(hot).select("event_id", *cols)
-    split = (velocity_table_split(hot, bucket_rows=bucket_rows) if bucket_rows
-             else velocity_table_adaptive(hot))   # adaptive must detect the hot customer
+    split = velocity_table_split(hot, bucket_rows=bucket_rows)
     b = split.select(
         "event_id", *[F.col(c).alias(c + "_s") for c in cols])
     j = a.join(b, "event_id")
