@@ -46,7 +46,7 @@ _CLOSING = " (?:" + "|".join(_quoted(m) for m in [*(b for _, _, b in MARKS), OTH
 
 
 def escape(text: Column) -> Column:
-    return F.regexp_replace(text, f"(\\\\*)({CONTROL})", "\\\\\\\\$1$2")
+    return F.regexp_replace(text, f"(\\\\*)({CONTROL})", "\\\\$1$2")
 
 
 def unescape(text: Column) -> Column:
