@@ -66,7 +66,9 @@ class BallTree:
 
 def _scores(v: np.ndarray, q: np.ndarray) -> np.ndarray:
     """Integer inner products, exact: through doubles where these hold them, else in 64 bits."""
-    if len(v) and len(q) and np.abs(v).max() * np.abs(q).max() * v.shape[1] < 2.0 ** 52:
+    if not v.size or not q.size:
+        return np.zeros((len(q), len(v)), np.int64)
+    if np.abs(v).max() * np.abs(q).max() * v.shape[1] < 2.0 ** 52:
         return (q.astype(np.float64) @ v.astype(np.float64).T).astype(np.int64)
     exact = q.astype(object) @ v.astype(object).T
     if exact.size and max(abs(int(exact.max())), abs(int(exact.min()))) >= 2 ** 63:

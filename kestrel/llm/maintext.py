@@ -177,6 +177,8 @@ LABELLED = (
     (1, 0.00, 1, 0.00, 1, 0.00, 2, 0, 0, 1), (2, 0.00, 1, 0.00, 0, 0.00, 2, 0, 0, 1),
     (1, 0.00, 2, 0.00, 2, 0.00, 2, 0, 0, 1), (35, 0.00, 50, 0.00, 1, 1.00, 2, 0, 0, 1),
     (1, 1.00, 1, 0.00, 1, 1.00, 2, 0, 0, 1), (20, 0.30, 14, 0.00, 2, 1.00, 2, 0, 0, 1),
+    (1, 0.00, 1, 1.00, 0, 0.00, 2, 0, 0, 1), (3, 0.00, 2, 1.00, 12, 0.00, 2, 0, 0, 1),
+    (5, 0.00, 6, 0.80, 2, 0.00, 2, 0, 0, 1), (2, 0.00, 4, 1.00, 1, 1.00, 2, 0, 0, 1),
     (44, 0.00, 60, 0.00, 33, 0.00, 0, 0, 0, 0), (28, 0.00, 9, 0.00, 64, 0.00, 0, 0, 0, 0),
     (19, 0.00, 25, 0.00, 18, 0.00, 0, 0, 0, 0), (65, 0.00, 31, 0.00, 90, 0.00, 0, 0, 0, 0),
     # pages without one
@@ -203,7 +205,7 @@ def _gini(labels: list[int]) -> float:
     return 2 * p * (1 - p) * len(labels)
 
 
-def train(rows: tuple = LABELLED, depth: int = 8, least: int = 1):
+def train(rows: tuple = LABELLED, depth: int = 8, least: int = 2):
     """A leaf (0 or 1) or (feature, bound, tree below or at the bound, tree above)."""
     labels = [int(r[-1]) for r in rows]
     leaf = int(2 * sum(labels) >= len(labels))
