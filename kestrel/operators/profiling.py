@@ -216,27 +216,19 @@ def value_red_rates(tr: DataFrame, keys: list[str]) -> DataFrame:
 def customer_overlap(tl: DataFrame, labels: DataFrame) -> DataFrame:
     """Test customers with label history (any / RED / YELLOW / none) and
     seen in pretrain / train; counts and % of test customers."""
-    test = tl.filter(F.col("period") == "test").select("customer_id").distinct()
-    lab = labels.select("customer_id", "target")
-    sets = {
-        "any_label": lab.select("customer_id").distinct(),
-        "red": lab.filter(F.col("target") == 1).select("customer_id").distinct(),
-        "yellow": lab.filter(F.col("target") == 0).select("customer_id").distinct(),
-        "pretrain": tl.filter(F.col("period") == "pretrain").select("customer_id").distinct(),
-        "train": tl.filter(F.col("period") == "train").select("customer_id").distinct(),
-    }
-    n_test = test.agg(F.count(F.lit(1)).alias("_nt"))
-    parts = []
-    for name, s in sets.items():
-        parts.append(test.join(s, "customer_id", "left_semi")
-                     .agg(F.count(F.lit(1)).alias("n")).withColumn("metric", F.lit(name)))
-    parts.append(test.join(sets["any_label"], "customer_id", "left_anti")
-                 .agg(F.count(F.lit(1)).alias("n")).withColumn("metric", F.lit("no_label")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    out = attach_row(out, n_test)
-    return out.select("metric", "n", (100.0 * F.col("n") / F.col("_nt")).alias("pct"))
+    def seen(cond) -> Column:
+        return F.max(F.coalesce(cond, F.lit(False)))
+
+    per = tl.groupBy("customer_id").agg(*[seen(F.col("period") == p).alias(p) for p in ("test", "pretrain", "train")])
+    lab = labels.groupBy("customer_id").agg(F.lit(True).alias("any_label"), seen(F.col("target") == 1).alias("red"),
+                                            seen(F.col("target") == 0).alias("yellow"))
+    j = per.filter("test").join(lab, "customer_id", "left")
+    has = {m: F.coalesce(F.col(m), F.lit(False)) for m in ("any_label", "red", "yellow", "pretrain", "train")}
+    has["no_label"] = ~has["any_label"]
+    sums = j.agg(F.count(F.lit(1)).alias("_nt"), *[F.count_if(c).alias(m) for m, c in has.items()])
+    rows = F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("n")) for m in has]))
+    return sums.select(rows.alias("r"), "_nt").select(
+        "r.metric", "r.n", (100.0 * F.col("r.n") / F.col("_nt")).alias("pct"))
 
 
 def event_coverage(tl: DataFrame, labels: DataFrame) -> DataFrame:

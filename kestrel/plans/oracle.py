@@ -76,3 +76,19 @@ def with_base(body: str, extra_ctes: str = "") -> str:
 def r6(expr: str) -> str:
     """Oracle side of the rounding rule in ``kestrel.functions.output``."""
     return f"(round(CAST({expr} AS DOUBLE) * 1000000) / 1000000 + 0.0)"
+
+
+#: The fixture's variants as replacements of raw columns (see ``kestrel.sources.fixture.vary``).
+VARIANTS = {
+    "dense": "SELECT * REPLACE (CAST(floor(customer_id / 10.0) AS BIGINT) AS customer_id) FROM raw0",
+    "bad": "SELECT * REPLACE (CASE WHEN event_id % 7 = 0 THEN 'bad' ELSE event_dttm END AS event_dttm) FROM raw0",
+    "dup": "SELECT * FROM raw0 UNION ALL SELECT * REPLACE ('pretest' AS period) FROM raw0 WHERE period = 'test'",
+}
+
+
+def on_variant(sql: str, variant: str) -> str:
+    """An oracle over a variant of the fixture; rows without a time come first, as in Spark."""
+    head, _, rest = sql.partition("\nraw AS (\nSELECT\n")
+    body, _, tail = rest.partition("\nFROM b\n),\n")
+    out = f"{head}\nraw0 AS (\nSELECT\n{body}\nFROM b\n),\nraw AS ({VARIANTS[variant]}),\n{tail}"
+    return out.replace("ORDER BY event_ts,", "ORDER BY event_ts NULLS FIRST,")

@@ -23,7 +23,7 @@ TR = """tr AS (SELECT *, CASE WHEN train_target_raw = 1 THEN 'RED' WHEN train_ta
 
 
 def _tr(spark, sf_dir):
-    return E.train_rows(fixture_timeline(spark, sf_dir))
+    return E.train_rows(fixture_timeline(spark, sf_dir, by_customer=False))
 
 
 # E1 ---------------------------------------------------------------------------
@@ -190,7 +190,7 @@ OVERLAP_SQL = with_base("SELECT metric, " + ", ".join([
 @register("eda_overlap", OVERLAP_SQL)
 def q_eda_overlap(spark, sf_dir):
     """Test-customer overlap with label history and earlier periods."""
-    tl = fixture_timeline(spark, sf_dir)
+    tl = fixture_timeline(spark, sf_dir, by_customer=False)
     return E.customer_overlap(tl, labels_from_raw(raw_events(spark, sf_dir)))
 
 
@@ -203,7 +203,7 @@ FROM (SELECT customer_id IN (SELECT customer_id FROM lab) AS h FROM t WHERE peri
 @register("eda_coverage", COVERAGE_SQL)
 def q_eda_coverage(spark, sf_dir):
     """Test events from customers with / without label history."""
-    tl = fixture_timeline(spark, sf_dir)
+    tl = fixture_timeline(spark, sf_dir, by_customer=False)
     return E.event_coverage(tl, labels_from_raw(raw_events(spark, sf_dir)))
 
 
@@ -260,7 +260,7 @@ PERIODS_SQL = with_base("SELECT period, " + ", ".join([
 @register("eda_periods", PERIODS_SQL)
 def q_eda_periods(spark, sf_dir):
     """Per-period rows, customers, time span and device coverage."""
-    df = E.period_summary(fixture_timeline(spark, sf_dir))
+    df = E.period_summary(fixture_timeline(spark, sf_dir, by_customer=False))
     return df.withColumns({"first_ts": F.unix_seconds("first_ts"), "last_ts": F.unix_seconds("last_ts")})
 
 
@@ -283,7 +283,7 @@ SHARING_SQL = with_base("SELECT " + ", ".join([
 @register("device_sharing", SHARING_SQL)
 def q_device_sharing(spark, sf_dir):
     """G1: device sharing shares and the top shared device."""
-    return E.device_sharing(fixture_timeline(spark, sf_dir))
+    return E.device_sharing(fixture_timeline(spark, sf_dir, by_customer=False))
 
 
 # G2 ---------------------------------------------------------------------------
@@ -303,7 +303,7 @@ x AS (
 @register("device_lift", LIFT_SQL)
 def q_device_lift(spark, sf_dir):
     """Causal cross-customer RED lift on shared devices."""
-    return E.cross_customer_lift(fixture_timeline(spark, sf_dir))
+    return E.cross_customer_lift(fixture_timeline(spark, sf_dir, by_customer=False))
 
 
 # G3 ---------------------------------------------------------------------------
@@ -321,7 +321,7 @@ dv AS (SELECT device_fp_i, count(*) AS k, max(r) AS has_red
 @register("device_clustering", CLUSTER_SQL)
 def q_device_clustering(spark, sf_dir):
     """RED clustering on shared devices vs independence."""
-    return E.fraud_clustering(fixture_timeline(spark, sf_dir))
+    return E.fraud_clustering(fixture_timeline(spark, sf_dir, by_customer=False))
 
 
 # G4 ---------------------------------------------------------------------------
@@ -350,7 +350,7 @@ DEVCOV_SQL = with_base("SELECT period, cls, " + ", ".join([
 @register("device_coverage", DEVCOV_SQL)
 def q_device_coverage(spark, sf_dir):
     """Valid-fingerprint coverage by period and class."""
-    return E.device_coverage(fixture_timeline(spark, sf_dir))
+    return E.device_coverage(fixture_timeline(spark, sf_dir, by_customer=False))
 
 
 # G6 ---------------------------------------------------------------------------
@@ -371,4 +371,4 @@ pc AS (SELECT device_fp_i, customer_id, min(ets) AS first_ets,
 @register("device_precedence", PRECEDE_SQL)
 def q_device_precedence(spark, sf_dir):
     """% of device-RED associations where sharing precedes the first RED."""
-    return E.sharing_precedes_label(fixture_timeline(spark, sf_dir))
+    return E.sharing_precedes_label(fixture_timeline(spark, sf_dir, by_customer=False))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from kestrel.plans.catalog import register
-from kestrel.plans.oracle import with_base
+from kestrel.plans.oracle import on_variant, with_base
 from kestrel.plans.queries_timeline import WC, _d, _i
 from kestrel.sources.timeline import fixture_timeline
 
@@ -63,10 +63,10 @@ rr AS (
 """)
 
 
-def _rolling(spark, sf_dir, method):
+def _rolling(spark, sf_dir, method, variant=None):
     from kestrel.operators import customer as C
     from kestrel.operators.rolling import rolling_features
-    tl = fixture_timeline(spark, sf_dir)
+    tl = fixture_timeline(spark, sf_dir, variant=variant)
     df = C.customer_features(tl, blocks=("lag",))
     df = rolling_features(df, method=method, live=F.col("period") != "pretrain")
     return df.filter(F.col("period") != "pretrain").select("event_id", *_ROLL_COLS)
@@ -84,6 +84,18 @@ def q_rolling_delta(spark, sf_dir):
     return _rolling(spark, sf_dir, "delta")
 
 
+def _rolling_variant(variant: str, method: str):
+    @register(f"rolling_{method}_{variant}", on_variant(ROLLING_SQL, variant))
+    def query(spark, sf_dir):
+        return _rolling(spark, sf_dir, method, variant)
+    query.__doc__ = f"R1-R7 ({method} form) on the {variant} variant of the timeline."
+
+
+for _v in ("bad", "dense"):
+    for _m in ("frame", "delta"):
+        _rolling_variant(_v, _m)
+
+
 # --------------------------------------------------------------------------
 # profile: A1, A2 (pretrain profile per customer)
 
@@ -146,14 +158,14 @@ SELECT key_name, """ + ", ".join([
 def q_priors(spark, sf_dir):
     """A4 + A6: smoothed RED priors for 9 keys, train rows before the border."""
     from kestrel.operators.priors import prior_source, stacked_priors
-    return stacked_priors(prior_source(fixture_timeline(spark, sf_dir)))
+    return stacked_priors(prior_source(fixture_timeline(spark, sf_dir, by_customer=False)))
 
 
 @register("priors_full", _prior_sql(_FULL_PK, False))
 def q_priors_full(spark, sf_dir):
     """Full-train prior variant (no border, 7 keys)."""
     from kestrel.operators.priors import FULL_PRIOR_KEYS, prior_source, stacked_priors
-    return stacked_priors(prior_source(fixture_timeline(spark, sf_dir), None), FULL_PRIOR_KEYS)
+    return stacked_priors(prior_source(fixture_timeline(spark, sf_dir, by_customer=False), None), FULL_PRIOR_KEYS)
 
 
 PAIR_PRIORS_SQL = with_base("""
@@ -171,7 +183,7 @@ FROM t WHERE period = 'train' AND event_ts < TIMESTAMP '2024-01-19 00:00:00' GRO
 def q_pair_priors(spark, sf_dir):
     """A5: interaction priors of 4 key pairs in one aggregation."""
     from kestrel.operators.priors import prior_source, stacked_pair_priors
-    return stacked_pair_priors(prior_source(fixture_timeline(spark, sf_dir)))
+    return stacked_pair_priors(prior_source(fixture_timeline(spark, sf_dir, by_customer=False)))
 
 
 # --------------------------------------------------------------------------

@@ -36,7 +36,7 @@ sc AS (
 
 
 def scored(spark, sf_dir):
-    tl = fixture_timeline(spark, sf_dir).filter(F.col("is_train_sample"))
+    tl = fixture_timeline(spark, sf_dir, by_customer=False).filter(F.col("is_train_sample"))
     df = tl.select(
         "event_id", "customer_id", "period", "train_target_raw",
         (F.col("train_target_raw") == 1).cast("int").alias("y"),
@@ -224,7 +224,7 @@ def q_alpha_sweep(spark, sf_dir):
     """M12 + S5/J8: one prediction column per alpha, left-joined to the test template."""
     from kestrel.sources.fixture import labels_from_raw, raw_events
     from kestrel.sources.sinks import template_join
-    tl = fixture_timeline(spark, sf_dir)
+    tl = fixture_timeline(spark, sf_dir, by_customer=False)
     test = tl.filter(F.col("period") == "test").select(
         "event_id", "customer_id",
         ((F.col("event_id") * 37) % 101 / 101.0).alias("cb"),
@@ -254,7 +254,7 @@ sd AS (SELECT event_id, ((event_id * 31 + seed) % 97) / 97.0 AS s
 @register("seed_avg", SEED_AVG_SQL)
 def q_seed_avg(spark, sf_dir):
     """Mean of per-seed scores (one row per event and seed in, one per event out)."""
-    tl = fixture_timeline(spark, sf_dir).filter(F.col("period") == "test")
+    tl = fixture_timeline(spark, sf_dir, by_customer=False).filter(F.col("period") == "test")
     per_seed = tl.select("event_id", F.explode(F.array(*[F.lit(s) for s in (42, 123, 777)]))
                          .alias("seed"))
     per_seed = per_seed.withColumn("score", (F.col("event_id") * 31 + F.col("seed")) % 97 / 97.0)

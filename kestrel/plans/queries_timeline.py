@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from kestrel.plans.catalog import register
-from kestrel.plans.oracle import r6, with_base
+from kestrel.plans.oracle import on_variant, r6, with_base
 from kestrel.plans.velocity import (velocity_table,
                                     velocity_table_split)
 from kestrel.sources.timeline import fixture_timeline
@@ -65,6 +65,18 @@ def q_velocity_windows(spark, sf_dir):
     return velocity_table(fixture_timeline(spark, sf_dir))
 
 
+def _velocity_variant(variant: str, plan: str, fn):
+    @register(f"velocity_{plan}_{variant}", on_variant(VELOCITY_SQL, variant))
+    def query(spark, sf_dir):
+        return fn(fixture_timeline(spark, sf_dir, variant=variant))
+    query.__doc__ = f"The velocity table by its {plan} plan on the {variant} variant of the timeline."
+
+
+for _v in ("bad", "dense"):
+    _velocity_variant(_v, "windows", velocity_table)
+    _velocity_variant(_v, "split", lambda tl: velocity_table_split(tl, bucket_rows=50))
+
+
 
 
 # --------------------------------------------------------------------------

@@ -84,8 +84,24 @@ def _null_unless(cond: Column, value: Column) -> Column:
     return F.when(cond, F.lit(None)).otherwise(value)
 
 
-def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def vary(raw: DataFrame, variant: str | None) -> DataFrame:
+    """Harder inputs: ``dense`` customers, ``bad`` times, ``dup`` licate events of two periods."""
+    if variant == "dense":
+        return raw.withColumn("customer_id", F.floor(F.col("customer_id") / 10))
+    if variant == "bad":
+        return raw.withColumn("event_dttm", F.when(F.col("event_id") % 7 == 0, F.lit("bad"))
+                              .otherwise(F.col("event_dttm")))
+    if variant == "dup":
+        return raw.unionByName(raw.filter(F.col("period") == "test").withColumn("period", F.lit("pretest")))
+    return raw
+
+
+def raw_events(spark: SparkSession, sf_dir: str, variant: str | None = None) -> DataFrame:
     """Raw timeline in the production shape (23 base columns + ``period`` + ``target``)."""
+    return vary(_raw_events(spark, sf_dir), variant)
+
+
+def _raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = read_table(spark, sf_dir, "events")
     ts_s = F.col("ts").cast("string")
     b = ev.select(

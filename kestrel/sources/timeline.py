@@ -84,16 +84,19 @@ def sample_flags(tl: DataFrame, border: str = fixture.NEG_SAMPLE_BORDER,
 
 
 def build_timeline(raw: DataFrame, labels: DataFrame | None = None, *,
-                   dedup: bool = False, hash_kind: str = "xxhash") -> DataFrame:
+                   dedup: bool = False, hash_kind: str = "xxhash",
+                   by_customer: bool = True) -> DataFrame:
     """Raw events (+ labels) -> typed, enriched, label-flagged timeline.
 
     Partitioned by ``customer_id`` so the customer window block that follows
-    needs no further exchange.
+    needs no further exchange; ``by_customer=False`` for plans without
+    customer windows (aggregates, scoring), which then pay no exchange here.
     """
     tl = parse.parse_timeline(raw.drop("target") if "target" in raw.columns else raw)
     if dedup:
         tl = dedup_by_event(tl)
-    tl = tl.repartition("customer_id")
+    if by_customer:
+        tl = tl.repartition("customer_id")
     if labels is not None:
         tl = attach_labels(tl, labels)
     else:
@@ -102,7 +105,8 @@ def build_timeline(raw: DataFrame, labels: DataFrame | None = None, *,
     return sample_flags(tl, hash_kind=hash_kind)
 
 
-def fixture_timeline(spark: SparkSession, sf_dir: str, *, hash_kind: str = "mix") -> DataFrame:
-    raw = fixture.raw_events(spark, sf_dir)
+def fixture_timeline(spark: SparkSession, sf_dir: str, *, hash_kind: str = "mix", dedup: bool = False,
+                     by_customer: bool = True, variant: str | None = None) -> DataFrame:
+    raw = fixture.raw_events(spark, sf_dir, variant)
     events, labels = fixture.split_raw(raw)
-    return build_timeline(events, labels, hash_kind=hash_kind)
+    return build_timeline(events, labels, hash_kind=hash_kind, dedup=dedup, by_customer=by_customer)
