@@ -30,6 +30,8 @@ from kestrel.operators.device import device_features
 from kestrel.operators.priors import attach_priors, attach_profiles, customer_profiles, prior_source
 from kestrel.operators.rolling import profile_ratio_columns, rolling_features
 from kestrel.operators.sampling import training_columns
+from kestrel.sources.sinks import stage
+from kestrel.sources.timeline import dedup_by_event
 
 
 def interaction_columns() -> dict:
@@ -70,18 +72,26 @@ def cut(df: DataFrame, enabled: bool) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def build_features(tl: DataFrame, *, rolling_method: str = "frame",
-                   checkpoint: bool = True, prior_border: str | None = "default") -> DataFrame:
+def build_features(tl: DataFrame, *, rolling_method: str = "frame", checkpoint: bool = True,
+                   prior_border: str | None = "default", dedup: bool = True,
+                   device_scope: str = "global") -> DataFrame:
     """Sampled train + test rows with every feature column (W, F, R, D, A, P14, P17).
 
-    The row-level blocks (customer, rolling, device) run over every event;
-    only then are the sampled train + test rows kept and (by default) cut
-    from the lineage, so the profile / prior joins and the global means plan
-    and run against that small materialised frame.
+    ``dedup`` (default) keeps one row per event id, so nothing multiplies when
+    blocks are joined back; pass False only for a timeline built with dedup.
+    The timeline is staged once as Parquet and read with column pruning by the
+    customer, device, profile and prior blocks.  The row-level blocks run over
+    every event; only then are the sampled train + test rows kept and cut from
+    the lineage, so the joins plan and run against that small frame.
     """
-    dev = device_features(tl)
+    if dedup:
+        tl = dedup_by_event(tl)
+    if checkpoint:
+        tl = stage(tl, "timeline")
+    dev = device_features(tl, scope=device_scope, materialize=False)
     rows = timeline_block(tl, rolling_method).filter(F.col("is_train_sample") | F.col("is_test"))
-    rows = cut(rows.join(dev, "event_id", "left").withColumns(interaction_columns()), checkpoint)
+    # the rows are partitioned by customer already: only the device columns move
+    rows = cut(rows.join(dev, ["customer_id", "event_id"], "left").withColumns(interaction_columns()), checkpoint)
     prof = customer_profiles(tl.filter(F.col("period") == "pretrain"))
     rows = attach_profiles(rows, prof).withColumns(profile_ratio_columns())
     src = prior_source(tl) if prior_border == "default" else prior_source(tl, prior_border)

@@ -327,6 +327,30 @@ z AS (
 """)
 
 
+# build on duplicated ids (T1, J4): each id once, the higher-priority period wins
+
+FEATURES_DUP_SQL = on_variant(with_base("""
+SELECT event_id, period, CAST(prev AS BIGINT) AS cust_prev_events, CAST(ops AS BIGINT) AS device_prev_ops
+FROM n WHERE period = 'test' OR """ + _SMP_WHERE.replace("cm.", "") + """
+""", extra_ctes="""
+u AS (
+  SELECT * FROM t QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY
+    CASE period WHEN 'test' THEN 0 WHEN 'train' THEN 1 WHEN 'pretest' THEN 2 ELSE 3 END, customer_id) = 1),
+n AS (
+  SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY event_ts, event_id) - 1 AS prev,
+    row_number() OVER (PARTITION BY device_fp_i ORDER BY event_ts, event_id) - 1 AS ops
+  FROM u)
+"""), "dup")
+
+
+@register("features_dup", FEATURES_DUP_SQL)
+def q_features_dup(spark, sf_dir):
+    """The build on a timeline in which every test event also is a pretest event."""
+    from kestrel.plans.features import build_features
+    df = build_features(fixture_timeline(spark, sf_dir, variant="dup"))
+    return df.select("event_id", "period", "cust_prev_events", "device_prev_ops")
+
+
 @register("interactions", INTERACTIONS_SQL)
 def q_interactions(spark, sf_dir):
     """Profile-relative, profile-velocity and interaction features of the build."""

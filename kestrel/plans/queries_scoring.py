@@ -15,6 +15,7 @@ from kestrel.operators import scoring as S
 from kestrel.plans.catalog import register
 from kestrel.plans.oracle import with_base
 from kestrel.plans.queries_timeline import _d, _i
+from kestrel.sources.sinks import stage
 from kestrel.sources.timeline import fixture_timeline
 
 _SMP = ("period = 'train' AND (train_target_raw <> -1 OR ("
@@ -43,7 +44,8 @@ def scored(spark, sf_dir):
         ((F.col("event_id") * 37) % 101 / 101.0).alias("s_a"),
         ((F.col("event_id") * 31) % 97 / 97.0).alias("s_b"),
         ((F.col("event_desc") * 5 + F.pmod("mcc_code_i", F.lit(13))) / 100.0).alias("s_fb"))
-    return df.withColumn("s_prod", S.product_score(F.col("s_a"), F.col("s_b")))
+    # ranks and searches read the scored rows several times: computed once
+    return stage(df.withColumn("s_prod", S.product_score(F.col("s_a"), F.col("s_b"))), "scored")
 
 
 def _ap_sql(score_expr_by_name: dict[str, str], source: str = "sc") -> str:

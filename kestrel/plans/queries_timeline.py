@@ -496,7 +496,7 @@ d2 AS (
 def q_device(spark, sf_dir):
     """Cross-customer device statistics via the two-level prefix scan."""
     from kestrel.operators.device import device_features
-    df = device_features(_timeline(spark, sf_dir))
+    df = device_features(_timeline(spark, sf_dir)).drop("customer_id")
     return df.select("event_id", "device_prev_ops", "device_prev_unique_customers",
                      "device_prev_unique_sessions", "device_prev_ops_log",
                      "device_prev_unique_customers_log", "device_prev_unique_sessions_log",

@@ -4,10 +4,13 @@
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kestrel.session import checkpoint_dir
+
 
 class IncompleteSubmission(ValueError):
     pass
@@ -40,6 +43,13 @@ def write_stage(df: DataFrame, path: str, force: bool = False) -> str:
     return path
 
 
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """S6 inside a plan: write a stage to the shared folder once and read it with column pruning."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/stage-{name}-{uuid.uuid4().hex}"
+    return spark.read.schema(df.schema).parquet(write_stage(df, path, force=True))
+
+
 def stage_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
