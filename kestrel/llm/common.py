@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
 import os
 import tempfile
+import time
 import zipfile
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,21 +41,59 @@ def n_words(text: Column) -> Column:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage through the cluster's shared checkpoint folder."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    """Cut the lineage through the cluster's shared checkpoint folder.
+
+    Also lets Spark's cleaner drop the shuffle files of frames that are gone.
+    """
+    spark = df.sparkSession
+    checkpoint_dir(spark)
+    out = df.checkpoint()
+    release(spark)
+    return out
 
 
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def release(spark: SparkSession) -> None:
+    """Collect the driver's garbage, so that the cleaner sees which shuffles nobody can read again.
+
+    Spark does this by itself every half hour only; until then the files stay on all executors' disks.
+    The first round frees what Python holds, the second what that had held in turn.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.2)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows and bytes of one Arrow batch between Spark and Python, at most (one row may be larger).
+BATCH_ROWS, BATCH_BYTES = 2000, 16 << 20
+
+
+def tidy(run: Callable) -> Callable:
+    """A batch function whose worker gives its free memory back when a task ends.
+
+    Workers live on for the tasks and stages to come, next to other workers.
+    """
+    @functools.wraps(run)
+    def inner(*args):
+        try:
+            yield from run(*args)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+    return inner
+
+
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors, once per application."""
+    """Send this package to the executors, once per application, and bound the batches."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     sc = spark.sparkContext
     if getattr(sc, "_kestrel_shipped", False):
         return

@@ -28,7 +28,7 @@ class _Powers:
 
     def get(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n:
-            n = max(n, 1 << 16)
+            n = max(1 << (n - 1).bit_length(), 1 << 16)  # grown seldom
             for name, x in (("up", _BASE), ("down", _INVERSE)):
                 a = np.full(n, x, np.uint64)
                 a[0] = 1
@@ -48,6 +48,12 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
+def distinct(x: np.ndarray) -> np.ndarray:
+    """Sorted distinct numbers (np.unique hashes, which is slower than this sort)."""
+    s = np.sort(x)
+    return s[np.concatenate([[True], s[1:] != s[:-1]])] if len(s) else s
+
+
 def prefix_sums(b: np.ndarray) -> np.ndarray:
     up, _ = _powers.get(len(b) + 1)
     out = np.zeros(len(b) + 1, np.uint64)
@@ -97,7 +103,7 @@ def shingle_sets(texts: list[str | None], n: int = 5) -> Iterator[np.ndarray]:
         at = 0
         for c in counts.tolist():
             if c >= n:
-                yield np.unique(s[at:at + c - n + 1])
+                yield distinct(s[at:at + c - n + 1])
             elif c:
                 x = h[at:at + 1]
                 for k in range(1, c):

@@ -12,10 +12,10 @@ Links, without pairing off groups:
    star, linear in the bucket.  Pairs whose signatures agree in under ``LEAST``
    of the coordinates are dropped (0.75 lies 4.4 deviations above), the others
    are confirmed on the full sets.  Confirmed links give components.
-3. Buckets that still hold several components are looked at again: stars with
-   other centres (a hash that changes by round), then all cross-component pairs
-   of what is left, in blocks of ``BLOCK`` signatures compared in numpy.  Only
-   pairs above ``LEAST`` leave a block, and all are confirmed.
+3. Buckets that still hold several components may hide links that miss the centre.
+   Their components are held against each other exactly, in blocks, with a bound
+   that needs only each set's overlap with the centre (``_rest``); one confirmed
+   link a pair of components leaves a block, never a list of pairs.
 
 Nulls and edge cases: words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased; a
 text of under five words is one shingle; a text without words (or null) has the
@@ -30,12 +30,11 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import cut, ship
+from kestrel.llm.common import cut, ship, tidy
 from kestrel.llm.components import components
 from kestrel.llm.hashing import mix, shingle_sets
 
@@ -43,8 +42,8 @@ SHINGLE = 5
 PERCENT = 75
 BANDS, ROWS = 40, 4
 LEAST = 0.60
-BLOCK = 2000
-STAR_ROUNDS = 3
+#: Shingles a block of the last step, at about.
+BLOCK = 400_000
 _PLACES = 1 << 20
 _SIGMA = np.uint64(0x5851F42D4C957F2D)
 
@@ -69,6 +68,7 @@ def sketch(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     """(id, n_shingles, digest of the set, bands, sig: low bytes of the coordinates)."""
     ship(docs.sparkSession)
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = Circulant(BANDS * ROWS)
         salt = np.arange(BANDS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
@@ -105,6 +105,7 @@ def _promising(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     p = pairs.join(s.toDF("a", "na", "sa"), "a").join(s.toDF("b", "nb", "sb"), "b")
     p = p.where("100 * least(na, nb) >= %d * greatest(na, nb)" % PERCENT)
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if not b.num_rows:
@@ -122,6 +123,7 @@ def _confirm(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     texts = cut(docs.join(wanted, "id", "left_semi"))
     p = pairs.join(texts.toDF("a", "ta"), "a").join(texts.toDF("b", "tb"), "b")
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last: tuple[int, np.ndarray] | None = None
         for batch in batches:
@@ -139,46 +141,101 @@ def _confirm(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return p.select("a", "b", "ta", "tb").mapInArrow(run, "u long, v long")
 
 
-def _stars(members: DataFrame, order: int) -> DataFrame:
-    """Pairs of each bucket's members with its centre, the centre's component left out."""
-    by = F.struct(F.xxhash64(F.lit(order), "id") if order else F.lit(0), "id", "component")
-    centre = members.groupBy("key").agg(F.min(by).alias("c")).select(
-        "key", F.col("c.id").alias("b"), F.col("c.component").alias("cb"))
-    return members.join(centre, "key").where("component != cb").select(
-        F.col("id").alias("a"), "b").distinct()
+def _stars(buckets: DataFrame) -> DataFrame:
+    """Pairs of each bucket's members with its least member."""
+    centre = buckets.groupBy("key").agg(F.min("id").alias("b"))
+    return buckets.join(centre, "key").where("id != b").select(F.col("id").alias("a"), "b").distinct()
 
 
-def _open(buckets: DataFrame, comp: DataFrame) -> DataFrame:
+def _open(buckets: DataFrame, comp: DataFrame | None) -> DataFrame:
     """(key, id, component) of buckets that hold more than one component."""
-    m = buckets.join(comp.toDF("id", "component"), "id", "left").select(
-        "key", "id", F.coalesce("component", "id").alias("component"))
-    many = m.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where(
-        "lo != hi").select("key")
-    return m.join(many, "key", "left_semi")
-
-
-def _blocks(members: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Promising cross-component pairs of buckets, compared block by block."""
-    size = members.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
-    m = members.join(size, "key").join(nodes.select("id", "n", "sig"), "id")
-    m = m.withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
-    # block (i, j) with i <= j gets the rows of part i and of part j
-    m = m.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    m = m.select("key", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"),
-                 "part", "id", "component", "n", "sig")
-
-    def run(key, g: pd.DataFrame) -> pd.DataFrame:
-        sig = np.frombuffer(b"".join(g["sig"]), np.uint8).reshape(len(g), -1)
-        ids, comp, n, part = (g[c].to_numpy() for c in ("id", "component", "n", "part"))
-        left, right = np.flatnonzero(part == key[1]), np.flatnonzero(part == key[2])
-        out = []
-        for x in left.tolist():
-            y = right[(comp[right] != comp[x]) & (100 * np.minimum(n[right], n[x]) >= PERCENT * np.maximum(n[right], n[x]))]
-            y = y[_agree(sig[y], sig[x]) >= LEAST] if len(y) else y
-            out += [(max(ids[x], i), min(ids[x], i)) for i in ids[y].tolist()]
-        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
-
-    return m.groupBy("key", "i", "j").applyInPandas(run, "a long, b long").distinct()
+    m = buckets if comp is None else buckets.join(comp.toDF("id", "component"), "id", "left")
+    m = m.withColumn("component", F.col("id") if comp is None else F.coalesce("component", "id"))
+    many = m.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n"))
+    # two members have met as centre and member already
+    return m.join(many.where("lo != hi and n > 2").select("key"), "key", "left_semi")
+
+
+def _rest(members: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (u, v) between components that share a bucket and are still apart; at most one a pair of
+    components and block.
+
+    members: (key, id, component) of the open buckets.  All buckets with the same
+    least member (the hub) form one group, so a pair that shares many buckets is
+    looked at once.  Rows outside a group's largest component are dealt to blocks
+    of about ``BLOCK`` shingles, and each block meets every part of the group.
+    Inside a block a pair (y, z) is dismissed without touching its sets when its
+    intersection cannot be large enough: it is at most
+    min(|y & hub|, |z & hub|) + |(y - hub) & (z - hub)|, and the last term is
+    counted with an index of the few shingles that the hub lacks.
+    """
+    hubs = members.groupBy("key").agg(F.min("id").alias("hub"))
+    m = members.join(hubs, "key").select("hub", "id", "component").distinct()
+    m = m.join(nodes.select("id", "n"), "id")
+    by = m.groupBy("hub", "component").agg(F.count("*").alias("rows"), F.sum("n").alias("shingles"))
+    groups = by.groupBy("hub").agg(
+        F.max(F.struct("rows", "component"))["component"].alias("major"), F.sum("rows").alias("all"),
+        F.sum("shingles").alias("total"), F.max(F.struct("rows", "component", "shingles"))["shingles"].alias("most"))
+    groups = groups.where("all > 2").select(
+        "hub", "major", F.ceil(F.col("total") / BLOCK).cast("int").alias("parts"),
+        F.greatest(F.ceil((F.col("total") - F.col("most")) / BLOCK), F.lit(1)).cast("int").alias("blocks"))
+    m = cut(m.join(groups, "hub"))
+    h = F.xxhash64("id")
+    every = m.select("hub", "id", "component", F.lit(False).alias("mine"), F.pmod(h, "parts").cast("int").alias("p"),
+                     F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("q"))
+    minor = m.where("component != major").select(
+        "hub", "id", "component", F.lit(True).alias("mine"),
+        F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("p"), F.pmod(F.hash("id"), "blocks").cast("int").alias("q"))
+    centre = every.select("hub", "p", "q").distinct().select(
+        "hub", F.col("hub").alias("id"), F.lit(None).cast("long").alias("component"), F.lit(False).alias("mine"), "p", "q")
+    rows = every.unionByName(minor).unionByName(centre)
+    wanted = cut(texts.join(m.select("id").distinct(), "id", "left_semi"))
+
+    def run(key: tuple, g: pa.Table) -> pa.Table:
+        ids, comp = (g.column(c).to_pylist() for c in ("id", "component"))
+        mine = g.column("mine").to_pylist()
+        sets = list(shingle_sets(g.column("t").to_pylist(), SHINGLE))
+        hub = next(x for x, c in zip(sets, comp) if c is None)
+        z = [k for k, c in enumerate(comp) if c is not None and not mine[k]]
+        inside = [np.isin(x, hub, assume_unique=True) for x in sets]
+        size = np.array([len(x) for x in sets])
+        with_hub = np.array([int(x.sum()) for x in inside])
+        zi = np.array(z, np.int64)
+        z_size, z_hub = size[zi], with_hub[zi]
+        rest = [sets[k][~inside[k]] for k in z]
+        flat = np.concatenate(rest) if rest else np.zeros(0, np.uint64)
+        owner = np.repeat(np.arange(len(z)), [len(x) for x in rest])
+        order = np.argsort(flat, kind="stable")
+        flat, owner = flat[order], owner[order]
+        root: dict[int, int] = {}
+
+        def find(c: int) -> int:
+            while root.get(c, c) != c:
+                c = root[c]
+            return c
+
+        u, v = [], []
+        for y in (k for k, own in enumerate(mine) if own):
+            x = sets[y][~inside[y]]
+            lo, hi = np.searchsorted(flat, x, "left"), np.searchsorted(flat, x, "right")
+            shared = np.zeros(len(z), np.int64)
+            for a, b in zip(lo.tolist(), hi.tolist()):
+                if a < b:
+                    shared[owner[a:b]] += 1
+            most = np.minimum(z_hub, with_hub[y]) + shared
+            near = np.flatnonzero((100 + PERCENT) * most >= PERCENT * (z_size + size[y]))
+            for k in near[np.argsort(-most[near], kind="stable")].tolist():
+                j = z[k]
+                c, d = find(comp[y]), find(comp[j])
+                if c == d:
+                    continue
+                both = len(np.intersect1d(sets[y], sets[j], assume_unique=True))
+                if 100 * both >= PERCENT * (size[y] + size[j] - both):
+                    root[max(c, d)] = min(c, d)
+                    u.append(ids[y]), v.append(ids[j])
+        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+
+    return rows.join(wanted, "id").groupBy("hub", "p", "q").applyInArrow(run, "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -194,20 +251,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     buckets = cut(keys.join(shared, "key").select("key", "id"))
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t"))
     alone = F.col("id").alias("component")
-    edges, comp, open_ = None, None, buckets.select("key", "id", alone)
-    for order in range(STAR_ROUNDS + 1):
-        pairs = _stars(open_, order) if order < STAR_ROUNDS else _blocks(open_, nodes)
-        pairs = cut(_promising(pairs, nodes) if order < STAR_ROUNDS else pairs)
-        if not pairs.isEmpty():
-            found = cut(_confirm(pairs, texts))
-            edges = found if edges is None else edges.unionByName(found)
+    pairs = cut(_promising(_stars(buckets), nodes))
+    edges = comp = None
+    if not pairs.isEmpty():
+        edges = cut(_confirm(pairs, texts))
+        comp = cut(components(edges))
+    open_ = cut(_open(buckets, comp))
+    if not open_.isEmpty():
+        more = cut(_rest(open_, nodes, texts))
+        if not more.isEmpty():
+            edges = more if edges is None else edges.unionByName(more)
             comp = cut(components(edges))
-        if comp is None and order:
-            break
-        if order < STAR_ROUNDS and comp is not None:
-            open_ = cut(_open(buckets, comp))
-            if open_.isEmpty():
-                break
     # rows of one id with several sets are one document: their classes meet in it
     classes = nodes.select(F.col("digest"), F.col("id").alias("rep"))
     links = some.select("id", "digest").join(classes, "digest").select(F.col("id").alias("u"), F.col("rep").alias("v"))
