@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kestrel.llm import (
-    balltree, chat, maintext, minhash, mixing, pieces, quality, suffixes, toxicity, warc)
+    balltree, chat, maintext, minhash, mixing, oracles, pieces, quality, suffixes, toxicity, warc)
 from kestrel.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -26,13 +26,13 @@ def query(name: str, oracle: str | None = None):
     return deco
 
 
-@query("op1_minhash_dedup")
+@query("op1_minhash_dedup", oracles.MINHASH)
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of near-duplicate documents, linked by exact similarity of 0.75 or more."""
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-@query("op2_warc_round_trip")
+@query("op2_warc_round_trip", oracles.WARC)
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write all pages as WARC archives in the shared folder and read them back."""
     return warc.round_trip(table(spark, sf_dir, "pages")).select(
@@ -45,7 +45,7 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maintext.extract(table(spark, sf_dir, "pages"))
 
 
-@query("op4_suffix_dedup")
+@query("op4_suffix_dedup", oracles.SUFFIX)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of all documents that repeat a 100-byte string which starts earlier."""
     return suffixes.find_repeats(table(spark, sf_dir, "documents"))
@@ -71,13 +71,13 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
-@query("op7_exact_top_k")
+@query("op7_exact_top_k", oracles.TOP_K)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 best candidates of every query among all rows."""
     return balltree.top_k(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
 
 
-@query("op8_chat_format")
+@query("op8_chat_format", oracles.CHAT)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Format all conversations and one made of control strings; digests read back."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -94,7 +94,7 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-@query("op10_quality_rules")
+@query("op10_quality_rules", oracles.QUALITY)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of the threshold table for all documents."""
     return quality.quality_rules(table(spark, sf_dir, "documents")).select(
