@@ -19,11 +19,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kestrel.operators.priors import fill_with_median
-from kestrel.operators.scoring import logit
+from kestrel.operators.sampling import red_given_susp_weight
+from kestrel.operators.scoring import logit, product_score
 
 # GBT defaults scaled for local runs (the source used up to
 # 5000 iterations on a GPU); refit uses max(300, best) there, max(min_iter, best) here.
 DEFAULT_PARAMS = {"maxIter": 20, "maxDepth": 4, "stepSize": 0.1, "seed": 42}
+#: Least number of trees of a refit (the source uses 300 at its full size).
+REFIT_LEAST = 10
 RG_PARAMS = {"maxIter": 20, "maxDepth": 3, "stepSize": 0.05, "seed": 42}
 
 CAT_COLS = ["event_type_nm", "event_desc", "channel_indicator_type", "channel_indicator_sub_type",
@@ -71,14 +74,17 @@ def prepare(df: DataFrame, cols: list[str], train_ref: DataFrame | None = None)
     df = fill_with_median(df, num, ref=train_ref)
     # a column null on every training row has no median: it becomes 0
     df = df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in cols})
-    return VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="keep").transform(df)
+    plain = [c for c in cols if c not in FB_COLS]
+    df = VectorAssembler(inputCols=plain, outputCol="features", handleInvalid="keep").transform(df)
+    # the feedback model sees the label history as well
+    return VectorAssembler(inputCols=[*plain, *fb], outputCol="features_fb", handleInvalid="keep").transform(df)
 
 
 def fit_gbt(df: DataFrame, label: str, weight: str | None, val_col: str | None,
-            params: dict | None = None):
-    """M1 / M2: weighted GBT; early stopping on ``val_col`` rows when given."""
+            params: dict | None = None, features: str = "features"):
+    """M1: weighted GBT; early stopping on ``val_col`` rows when given."""
     p = dict(DEFAULT_PARAMS, **(params or {}))
-    gbt = GBTClassifier(labelCol=label, featuresCol="features", **p)
+    gbt = GBTClassifier(labelCol=label, featuresCol=features, **p)
     if weight:
         gbt = gbt.setWeightCol(weight)
     if val_col:
@@ -86,6 +92,33 @@ def fit_gbt(df: DataFrame, label: str, weight: str | None, val_col: str | None,
     return gbt.fit(df)
 
 
+def refit_gbt(df: DataFrame, label: str, weight: str | None, fitted, params: dict | None = None,
+              features: str = "features", least: int = REFIT_LEAST):
+    """M2: refit on all rows with ``max(least, best)`` trees, best = the early-stopped size of ``fitted``."""
+    size = max(least, fitted.getNumTrees)
+    return fit_gbt(df, label, weight, None, dict(params or {}, maxIter=size), features)
+
+
+def fit_family(df: DataFrame, val_col: str = "is_val") -> dict:
+    """M1, M3: MAIN, RECENT, SUSP, RED-given-SUSP and FEEDBACK models."""
+    lab = df.filter(F.col("train_target_raw") != -1).withColumn("w_rg", red_given_susp_weight())
+    susp = df.withColumn("y_susp", F.col("y_susp").cast("double"))
+    return {
+        "main": fit_gbt(df, "target_bin", "w_main", val_col),
+        "recent": fit_gbt(df.filter(F.col("in_recent")), "target_bin", "w_main", val_col),
+        "susp": fit_gbt(susp, "y_susp", "w_susp", val_col),
+        "rg": fit_gbt(lab, "target_bin", "w_rg", val_col, RG_PARAMS),
+        "fb": fit_gbt(df, "target_bin", "w_main", val_col, None, "features_fb"),
+    }
+
+
+def score_family(models: dict, df: DataFrame) -> DataFrame:
+    """M4, M5: logit scores of all models and the product score."""
+    for name, model in models.items():
+        df = raw_margin(model, df, f"s_{name}")
+    return df.withColumn("s_prod", product_score(F.col("s_susp"), F.col("s_rg")))
+
+
 def raw_margin(model, df: DataFrame, out: str) -> DataFrame:
     """M4: logit-scale score (Spark's GBT probability is sigmoid(2 * margin))."""
     pred = model.transform(df.drop("rawPrediction", "probability", "prediction"))

@@ -179,16 +179,18 @@ def fill_with_mean(df: DataFrame, cols: list[str]) -> DataFrame:
     return out.drop(*[f"_m_{c}" for c in cols])
 
 
-def fill_with_median(df: DataFrame, cols: list[str], ref: DataFrame | None = None,
-                     accuracy: int = 100000) -> DataFrame:
-    """Numeric nulls -> median of ``ref`` (the training rows).
+def fill_with_median(df: DataFrame, cols: list[str], ref: DataFrame | None = None) -> DataFrame:
+    """Numeric nulls -> exact median of ``ref`` (the training rows).
 
-    ``percentile_approx`` keeps a bounded sketch per column (no value list);
-    raise ``accuracy`` for tighter ranks.
+    All columns go through one global scan over (column, distinct value) counts;
+    a column without any value stays null.
     """
+    from kestrel.operators.profiling import exact_quantiles
     ref = df if ref is None else ref
-    med = ref.agg(*[F.percentile_approx(F.col(c).cast("double"), 0.5, accuracy).alias(f"_q_{c}")
-                    for c in cols])
-    out = attach_row(df, med)
+    body = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in cols)
+    long = ref.select(F.expr(f"stack({len(cols)}, {body}) AS (_c, _v)"))
+    med = exact_quantiles(long, "_v", ["_c"], [0.5])
+    one = med.agg(*[F.max(F.when(F.col("_c") == c, F.col("value_q"))).alias(f"_q_{c}") for c in cols])
+    out = attach_row(df, one)
     out = out.withColumns({c: F.coalesce(F.col(c).cast("double"), F.col(f"_q_{c}")) for c in cols})
     return out.drop(*[f"_q_{c}" for c in cols])

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from kestrel.operators import models as Mo
 from kestrel.operators import scoring as S
 from kestrel.plans.catalog import register
-from kestrel.operators.sampling import red_given_susp_weight
 from kestrel.plans.features import build_features, cut
 from kestrel.sources.timeline import fixture_timeline
 
@@ -28,39 +27,36 @@ def _model_frame(spark, sf_dir):
     from kestrel.operators.sampling import random_day_validation
     df = random_day_validation(_features(spark, sf_dir))
     train = df.filter(F.col("is_train_sample") & (F.col("in_train_part") | F.col("is_val")))
-    cols = Mo.feature_columns(train)
+    cols = Mo.feature_columns(train, with_feedback=True)
     prepared = Mo.prepare(train, cols, train_ref=train.filter(F.col("in_train_part")))
     prepared = prepared.withColumn("is_val", F.col("is_val").cast("boolean"))
     # boosting makes one pass per tree: train from a materialised frame
-    return cut(prepared.select("event_id", "customer_id", "train_target_raw", "target_bin",
-                               "w_main", "w_susp", "y_susp", "is_val", "features"), True), cols
+    frame = cut(prepared.select("event_id", "customer_id", "train_target_raw", "target_bin", "in_recent",
+                                "w_main", "w_susp", "y_susp", "is_val", "features", "features_fb"), True)
+    return frame, [c for c in cols if c not in Mo.FB_COLS]
 
 
 @register("gbt_scores")
 def q_gbt_scores(spark, sf_dir):
-    """M1, M3-M6: MAIN / SUSP / RED-given-SUSP weighted GBTs with early stopping,
-    logit-scale validation scores, product score and linear blend."""
+    """The five weighted GBTs with early stopping, validation scores, the
+    product score, the searched blend, and the injection of the feedback ranks."""
     df, _ = _model_frame(spark, sf_dir)
-    m_main = Mo.fit_gbt(df, "target_bin", "w_main", "is_val")
-    m_susp = Mo.fit_gbt(df.withColumn("y_susp", F.col("y_susp").cast("double")),
-                        "y_susp", "w_susp", "is_val")
-    lab = df.filter(F.col("train_target_raw") != -1).withColumn("w_rg", red_given_susp_weight())
-    m_rg = Mo.fit_gbt(lab, "target_bin", "w_rg", "is_val", Mo.RG_PARAMS)
-    val = df.filter(F.col("is_val"))
-    val = Mo.raw_margin(m_main, val, "s_main")
-    val = Mo.raw_margin(m_susp, val, "s_susp")
-    val = Mo.raw_margin(m_rg, val, "s_rg")
-    val = val.withColumn("s_prod", S.product_score(F.col("s_susp"), F.col("s_rg")))
-    val = val.withColumn("s_blend", S.linear_blend([0.35, 0.0, 0.65],
-                                                   [F.col("s_main"), F.col("s_main"), F.col("s_prod")]))
-    return val.select("event_id", "target_bin", "s_main", "s_susp", "s_rg", "s_prod", "s_blend")
+    val = cut(Mo.score_family(Mo.fit_family(df), df.filter(F.col("is_val"))).drop("features", "features_fb"), True)
+    w, _ = S.search_blend(val, "target_bin", ["s_main", "s_recent", "s_prod"])
+    val = val.withColumn("s_blend", S.linear_blend(list(w), [F.col("s_main"), F.col("s_recent"), F.col("s_prod")]))
+    val = S.average_rank(S.average_rank(val, "s_blend", "r_cb"), "s_fb", "r_fb")
+    val = cut(S.history_flag(val, df.filter((F.col("train_target_raw") != -1) & ~F.col("is_val")), "hist"), True)
+    alpha, _ = S.best_alpha(S.alpha_ap(val, "target_bin", "r_cb", "r_fb", "hist"))
+    val = val.withColumn("predict", S.inject(F.col("r_cb"), F.col("r_fb"), F.col("hist"), alpha))
+    return val.select("event_id", "target_bin", "s_main", "s_recent", "s_susp", "s_rg", "s_fb", "s_prod", "s_blend",
+                      "predict")
 
 
 @register("gbt_importance")
 def q_gbt_importance(spark, sf_dir):
-    """M2 + M15: refit MAIN on all sampled rows with a fixed size, importance share by group."""
+    """M2 + M15: refit MAIN on all sampled rows with its early-stopped size, importance share by group."""
     df, cols = _model_frame(spark, sf_dir)
-    model = Mo.fit_gbt(df, "target_bin", "w_main", None, {"maxIter": 10})
+    model = Mo.refit_gbt(df, "target_bin", "w_main", Mo.fit_gbt(df, "target_bin", "w_main", "is_val"))
     rows = Mo.importance_by_group(model, cols)
     imp = spark.createDataFrame(rows, "feature string, grp string, importance double")
     tot = imp.agg(F.sum("importance").alias("_t"))

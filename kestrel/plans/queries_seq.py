@@ -121,6 +121,24 @@ def q_pooling(spark, sf_dir):
     return Q.masked_mean_pool(emb, "label", "embedding")
 
 
+POOL_MASK_SQL = """
+WITH x AS (SELECT label, vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) - 1 AS dim FROM embeddings),
+m AS (SELECT *, CAST((dim + vec_id) % 3 <> 0 AS DOUBLE) AS m FROM x)
+SELECT CAST(label AS BIGINT) AS label, CAST(dim AS BIGINT) AS dim,
+  (round(CAST(sum(m * CAST(x AS DOUBLE)) / greatest(sum(m), 1) AS DOUBLE) * 1000000) / 1000000 + 0.0) AS mean
+FROM m GROUP BY label, dim
+"""
+
+
+@register("pooling_masked", POOL_MASK_SQL)
+def q_pooling_masked(spark, sf_dir):
+    """Q6 with an array mask: one weight per vector and dimension."""
+    emb = read_table(spark, sf_dir, "embeddings")
+    emb = emb.withColumn("keep", F.transform("embedding", lambda x, i: (F.pmod(i + F.col("vec_id"), F.lit(3)) != 0)
+                                             .cast("int")))
+    return Q.masked_mean_pool(emb, "label", "embedding", "keep")
+
+
 # Q7 ---------------------------------------------------------------------------
 NTXENT_SQL = """
 WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v, floor(vec_id / 128) AS batch_id
@@ -172,6 +190,19 @@ def q_val_split(spark, sf_dir):
         "event_id", "is_val", "in_train_part")
 
 
+REFIT_SQL = with_base("SELECT CAST(event_id AS BIGINT) AS event_id FROM sm WHERE train_target_raw <> -1 OR event_id % 3 = 0", """
+sm AS (SELECT * FROM t WHERE period = 'train' AND (train_target_raw <> -1 OR (
+         (event_ts >= TIMESTAMP '2024-01-17 00:00:00' AND (event_id * 1000003 + customer_id * 7919 + 42) % 5 = 0)
+         OR (event_ts < TIMESTAMP '2024-01-17 00:00:00' AND (event_id * 1000003 + customer_id * 7919 + 59) % 15 = 0))))""")
+
+
+@register("refit_sample", REFIT_SQL)
+def q_refit_sample(spark, sf_dir):
+    """L2: the second-stage sample of the refit."""
+    from kestrel.operators.sampling import refit_sample
+    return refit_sample(fixture_timeline(spark, sf_dir, by_customer=False)).select("event_id")
+
+
 # S3, J1, U1, U3 ---------------------------------------------------------------
 DEDUP_SQL = with_base("""
 SELECT CAST(event_id AS BIGINT) AS event_id, period, CAST(customer_id AS BIGINT) AS customer_id FROM (

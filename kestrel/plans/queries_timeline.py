@@ -579,3 +579,35 @@ def q_target_encoding(spark, sf_dir):
         "y_red", (F.col("train_target_raw") == 1).cast("double"))
     df = target_encoding(tl, "mcc_code_i", target="y_red", alpha=10.0, name="te_mcc_code_i")
     return df.select("event_id", "te_mcc_code_i")
+
+
+# --------------------------------------------------------------------------
+# null_flags (P14) and median_fill (P18, A8: exact median)
+
+from kestrel.functions.parse import NULL_DEVICE_COLS  # noqa: E402
+
+NULL_FLAGS_SQL = with_base("SELECT event_id, " + ", ".join(
+    [_i(f"{c} = -1", f"null_{c}") for c in NULL_DEVICE_COLS]
+    + [_i(" + ".join(f"CAST({c} = -1 AS INTEGER)" for c in NULL_DEVICE_COLS), "null_device_count")]) + " FROM t")
+
+
+@register("null_flags", NULL_FLAGS_SQL)
+def q_null_flags(spark, sf_dir):
+    """The ten missing-device flags and their sum."""
+    from kestrel.functions.parse import null_pattern_columns
+    flags = null_pattern_columns()
+    return fixture_timeline(spark, sf_dir, by_customer=False).withColumns(flags).select("event_id", *flags)
+
+
+MEDIAN_SQL = with_base("SELECT event_id, " + _d("coalesce(amt, (SELECT median(amt) FROM t))", "amt") + ", "
+                       + _d("coalesce(b, (SELECT median(b) FROM m))", "battery") + " FROM m", extra_ctes="""
+m AS (SELECT *, CASE WHEN battery_pct >= 0 THEN battery_pct END AS b FROM t)""")
+
+
+@register("median_fill", MEDIAN_SQL)
+def q_median_fill(spark, sf_dir):
+    """Nulls filled with the exact median of their column."""
+    from kestrel.operators.priors import fill_with_median
+    tl = fixture_timeline(spark, sf_dir, by_customer=False).select(
+        "event_id", "amt", F.when(F.col("battery_pct") >= 0, F.col("battery_pct")).alias("battery"))
+    return fill_with_median(tl, ["amt", "battery"])
