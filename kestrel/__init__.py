@@ -3,7 +3,7 @@
 Subpackages: ``sources`` (inputs, timeline, sinks), ``functions`` (per-row
 expressions, window specs), ``operators`` (the feature blocks and
 algorithms), ``plans`` (assembled pipelines and the registered queries),
-``streaming`` (intentionally empty: the reference has no streaming path).
+``llm`` (training-data operators; nothing else imports it).
 """
 
 __version__ = "0.1.0"
