@@ -4,7 +4,8 @@ A byte goes if a 100-byte string that covers it also starts earlier.  Only the
 first 100 bytes of a suffix matter, so names are fingerprints of bounded
 prefixes; ranks of whole suffixes are never needed.
 
-1. Blocks: documents in order of id, cut into blocks of a few MB.
+1. Blocks: documents in order of id, cut into blocks of a few MB.  A document
+   whose whole text occurred before goes as a whole and takes no part in the rest.
 2. Sample: positions whose residue modulo 57 lies in a difference cover of 8
    residues.  For any two positions there is a shift under 57 that takes both into
    the sample, so a repeat of 100 bytes at (p, q) contains a repeat of 44 bytes at
@@ -40,16 +41,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kestrel.llm.common import cut, ship
-from kestrel.llm.hashing import prefix_sums, windows
+from kestrel.llm.common import cut, release, ship, tidy
+from kestrel.llm.hashing import distinct, prefix_sums, windows
 
 LENGTH = 100
 #: A difference cover modulo 57; every difference occurs, each non-zero one once.
 MODULUS, COVER = 57, (0, 1, 3, 13, 32, 36, 43, 52)
 SEED_LENGTH = LENGTH - MODULUS + 1
 #: Bytes of text a block, and fingerprints a name range, at about.
-BLOCK_BYTES = 8 << 20
-RANGE_NAMES = 4 << 20
+BLOCK_BYTES = 4 << 20
+RANGE_NAMES = 2 << 20
 #: Bits of a sampled name beyond those that choose its range; a chance match only costs a check.
 NAME_BITS = 32
 
@@ -58,46 +59,71 @@ _IN_COVER[list(COVER)] = True
 
 
 def pack(sorted_values: np.ndarray) -> bytes:
-    """Sorted distinct 64-bit numbers as compressed byte planes of their differences."""
+    """Sorted distinct 64-bit numbers as differences: low bytes as they are, high bytes compressed.
+
+    The low bytes of a difference are noise; the byte planes above the mean hold little.
+    """
     d = np.diff(sorted_values, prepend=np.uint64(0))
-    return zstandard.ZstdCompressor(level=1).compress(d.view(np.uint8).reshape(-1, 8).T.tobytes())
+    mean = int(sorted_values[-1]) // len(d) + 1
+    low = min(7, max(0, mean.bit_length() - 1) // 8)
+    planes = d.view(np.uint8).reshape(-1, 8)
+    high = zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes[:, low:].T).data)
+    return bytes([low]) + len(d).to_bytes(4, "little") + planes[:, :low].tobytes() + high
 
 
 def unpack(data: bytes) -> np.ndarray:
-    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
-    return np.cumsum(np.ascontiguousarray(raw.reshape(8, -1).T).view(np.uint64).ravel(), dtype=np.uint64)
+    low, n = data[0], int.from_bytes(data[1:5], "little")
+    planes = np.zeros((n, 8), np.uint8)
+    planes[:, :low] = np.frombuffer(data, np.uint8, n * low, 5).reshape(n, low)
+    high = zstandard.ZstdDecompressor().decompress(data[5 + n * low:])
+    planes[:, low:] = np.frombuffer(high, np.uint8).reshape(8 - low, n).T
+    return np.cumsum(planes.view(np.uint64).ravel(), dtype=np.uint64)
+
+
+#: Sampled positions of a document of up to so many bytes; longer ones are sampled by residue.
+_SAMPLED = np.flatnonzero(np.tile(_IN_COVER, 20_000))
 
 
 class Block:
-    """Bytes of consecutive documents with the window arithmetic of both rounds."""
+    """Bytes of consecutive documents with the window arithmetic of both rounds.
 
-    def __init__(self, data: np.ndarray, sizes: np.ndarray):
+    dead: places of documents that repeat an earlier document as a whole; they take no part.
+    """
+
+    def __init__(self, data: np.ndarray, sizes: np.ndarray, dead: list[int] | None):
         self.data, self.sizes = data, sizes
         self.ends = np.cumsum(sizes)
+        self.dead = np.zeros(len(sizes), bool)
+        self.dead[dead or []] = True
         self.sums = prefix_sums(data)
 
-    def starts(self, length: int) -> np.ndarray:
-        """Positions with ``length`` bytes left in their document, as a mask."""
-        ok = np.ones(len(self.data), bool)
-        for e, n in zip(self.ends.tolist(), self.sizes.tolist()):
-            ok[max(e - n, e - length + 1):e] = False
-        return ok
-
     def sample(self) -> np.ndarray:
-        first = np.repeat(self.ends - self.sizes, self.sizes)
-        at = np.flatnonzero(_IN_COVER[(np.arange(len(self.data)) - first) % MODULUS])
-        return at[self.starts(SEED_LENGTH)[at]]
+        """Sampled positions with ``SEED_LENGTH`` bytes left in their document."""
+        parts = [np.zeros(0, np.int64)]
+        for e, n, dead in zip(self.ends.tolist(), self.sizes.tolist(), self.dead.tolist()):
+            last = n - SEED_LENGTH + 1
+            if dead or last <= 0:
+                continue
+            if last > 20_000 * MODULUS:
+                own = np.flatnonzero(np.resize(_IN_COVER, last))
+            else:
+                own = _SAMPLED[:np.searchsorted(_SAMPLED, last)]
+            parts.append(own + (e - n))
+        return np.concatenate(parts)
 
     def names(self, at: np.ndarray) -> np.ndarray:
         return windows(self.sums, at, SEED_LENGTH)
 
     def candidates(self, sampled: np.ndarray, twice: np.ndarray) -> np.ndarray:
         """Window starts with a repeated sampled name among their first positions."""
-        near = np.zeros(len(self.data) + 1, np.int32)
         hit = sampled[twice]
-        np.add.at(near, np.maximum(hit - MODULUS + 1, 0), 1)
-        np.add.at(near, hit + 1, -1)
-        return np.flatnonzero((np.cumsum(near[:-1]) > 0) & self.starts(LENGTH))
+        n = len(self.data)
+        near = np.bincount(np.maximum(hit - MODULUS + 1, 0), minlength=n + 1).astype(np.int32)
+        near -= np.bincount(hit + 1, minlength=n + 1).astype(np.int32)
+        ok = np.cumsum(near[:-1], dtype=np.int32) > 0
+        for e, m, dead in zip(self.ends.tolist(), self.sizes.tolist(), self.dead.tolist()):
+            ok[e - m if dead else max(e - m, e - LENGTH + 1):e] = False
+        return np.flatnonzero(ok)
 
     def window_names(self, at: np.ndarray) -> np.ndarray:
         return windows(self.sums, at, LENGTH)
@@ -113,8 +139,10 @@ def _texts_to_blocks(docs: DataFrame, id_col: str, text_col: str, carry: list[st
     ordered = ordered.select(F.spark_partition_id().cast("long").alias("p"), "row", "t")
     schema = T.StructType([
         T.StructField("block", T.LongType()), T.StructField("rows", T.ArrayType(ordered.schema["row"].dataType)),
-        T.StructField("sizes", T.ArrayType(T.IntegerType())), T.StructField("data", T.BinaryType())])
+        T.StructField("sizes", T.ArrayType(T.IntegerType())), T.StructField("digests", T.ArrayType(T.BinaryType())),
+        T.StructField("data", T.BinaryType())])
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list = []
         kind = None
@@ -124,11 +152,12 @@ def _texts_to_blocks(docs: DataFrame, id_col: str, text_col: str, carry: list[st
         part = 0
 
         def block() -> pa.RecordBatch:
-            data = zstandard.ZstdCompressor(level=1).compress(b"".join(parts))
+            data = zstandard.ZstdCompressor(level=3).compress(b"".join(parts))
+            digests = [hashlib.blake2b(x, digest_size=16).digest() for x in parts]
             return pa.RecordBatch.from_arrays(
                 [pa.array([(part << 24) + serial], pa.int64()), pa.array([held], pa.list_(kind)),
-                 pa.array([sizes], pa.list_(pa.int32())), pa.array([data], pa.binary())],
-                names=schema.names)
+                 pa.array([sizes], pa.list_(pa.int32())), pa.array([digests], pa.list_(pa.binary())),
+                 pa.array([data], pa.binary())], names=schema.names)
 
         for batch in batches:
             kind = batch.column("row").type
@@ -148,12 +177,12 @@ def _texts_to_blocks(docs: DataFrame, id_col: str, text_col: str, carry: list[st
 
 def _open(row: dict) -> Block:
     raw = zstandard.ZstdDecompressor().decompress(row["data"])
-    return Block(np.frombuffer(raw, np.uint8), np.array(row["sizes"], np.int64))
+    return Block(np.frombuffer(raw, np.uint8), np.array(row["sizes"], np.int64), row["dead"])
 
 
 def _send(block: int, names: np.ndarray, bits: int, low: int) -> Iterator[tuple[int, int, bytes]]:
     """Sorted distinct names of a block, cut into 2 ** bits ranges; ``low`` bits are dropped."""
-    u = np.unique(names >> np.uint64(low))
+    u = distinct(names >> np.uint64(low))
     shift = np.uint64(64 - low - bits)
     cuts = np.searchsorted(u, np.arange((1 << bits) + 1, dtype=np.uint64) << shift) if bits else [0, len(u)]
     if bits:
@@ -214,6 +243,15 @@ def _sampled_twice(b: Block, low: int, marks: list[dict] | None) -> tuple[np.nda
     return at, (marked | here)[back]
 
 
+def _whole_copies(blocks: DataFrame) -> DataFrame:
+    """(block, dead): places of documents whose whole text is that of an earlier one."""
+    place = F.struct("block", "k")
+    docs = blocks.select("block", F.posexplode("digests").alias("k", "digest"))
+    first = docs.groupBy("digest").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
+    later = docs.join(first, "digest").where(place != F.col("first"))
+    return later.groupBy("block").agg(F.collect_list("k").alias("dead"))
+
+
 def _spans(starts: np.ndarray) -> list[list[int]]:
     """Maximal runs covered by windows at sorted ``starts``."""
     if not len(starts):
@@ -234,6 +272,8 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     total = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     n_blocks = max(1, math.ceil(total / BLOCK_BYTES))
     blocks = cut(_texts_to_blocks(docs, id_col, text_col, carry or [id_col], n_blocks))
+    release(docs.sparkSession)
+    blocks = blocks.join(_whole_copies(blocks), "block", "left").select("block", "rows", "sizes", "data", "dead")
     n_ranges = _ranges(int(total * len(COVER) / MODULUS))
     low = 64 - NAME_BITS - n_ranges
     fields = "range int, block long, data binary"
@@ -243,6 +283,7 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         return pa.RecordBatch.from_arrays([pa.array(c[0], pa.int32()), pa.array(c[1], pa.int64()),
                                            pa.array(c[2], pa.binary())], names=["range", "block", "data"])
 
+    @tidy
     def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
@@ -251,9 +292,10 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     # blocks are few and large: one to a batch
     twice = _judge(blocks.mapInArrow(sampled, fields), later=False)
-    marked = blocks.join(twice, "block", "left").select("block", "rows", "sizes", "data", "marks")
+    marked = blocks.join(twice, "block", "left").select("block", "rows", "sizes", "data", "dead", "marks")
     second = _ranges(total // 4)
 
+    @tidy
     def remaining(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
@@ -270,6 +312,7 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     schema = T.StructType([T.StructField("row", blocks.schema["rows"].dataType.elementType),
                            *[T.StructField(n, t) for n, t, _ in tail]])
 
+    @tidy
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             held = batch.column("rows")
@@ -285,7 +328,7 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 out_rows = []
                 for k, (e, n) in enumerate(zip(b.ends.tolist(), b.sizes.tolist())):
                     own = b.data[e - n:e]
-                    spans = _spans(at[where[k]:where[k + 1]] - (e - n))
+                    spans = [[0, n]] if b.dead[k] and n >= LENGTH else _spans(at[where[k]:where[k + 1]] - (e - n))
                     keep = np.ones(n, bool)
                     for x, y in spans:
                         keep[x:y] = False
@@ -295,7 +338,7 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 cols = [pa.array(c, t) for c, (_, _, t) in zip(zip(*out_rows), tail)]
                 yield pa.RecordBatch.from_arrays([held[j].values, *cols], names=schema.names)
 
-    done = both.select("block", "rows", "sizes", "data", "marks", "later").mapInArrow(finish, schema)
+    done = both.select("block", "rows", "sizes", "data", "dead", "marks", "later").mapInArrow(finish, schema)
     return done if real else done.select("row.*", *[n for n, _, _ in tail])
 
 
@@ -307,6 +350,7 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     others = [c for c in docs.columns if c != text_col]
     found = find_repeats(docs, id_col, text_col, others or [id_col], real=True)
 
+    @tidy
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             text = [x.decode("utf-8", "ignore") for x in b.column("kept").to_pylist()]
