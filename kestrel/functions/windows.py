@@ -43,11 +43,6 @@ def wr(seconds: int, key: str = CUSTOMER, time_col: str = "ets") -> WindowSpec:
     return Window.partitionBy(key).orderBy(time_col).rangeBetween(-seconds, -1)
 
 
-def prev_count(*keys: str) -> Column:
-    """Number of earlier rows of the customer sharing ``keys`` (row_number - 1)."""
-    return F.row_number().over(wk(*keys)) - 1
-
-
 def since(ts_now: Column, ts_prev: Column, missing: int = -1) -> Column:
     """Whole seconds between two epoch-second columns; ``missing`` when no previous."""
     return F.when(ts_prev.isNotNull(), ts_now - ts_prev).otherwise(F.lit(missing))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,12 +17,14 @@ BASE_COLS = ["customer_id", "event_id", "event_dttm", "event_type_nm", "event_de
 
 def read_parts(spark: SparkSession, paths: list[str], cols: list[str] = BASE_COLS,
                with_part: bool = False) -> DataFrame:
-    """S1 + S2: one projected scan over several part files (Catalyst prunes columns;
-    the optional ``part_id`` comes from the file name)."""
-    df = spark.read.parquet(*paths).select(*cols)
-    if with_part:
-        df = df.withColumn("part_id", F.input_file_name())
-    return df
+    """S1 + S2: one projected scan over several parts (Catalyst prunes columns).
+
+    ``part_id`` is the place of the part in ``paths``, however many files it has.
+    """
+    if not with_part:
+        return spark.read.parquet(*paths).select(*cols)
+    parts = [spark.read.parquet(p).select(*cols, F.lit(k).alias("part_id")) for k, p in enumerate(paths)]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def period_union(pretrain: DataFrame, train: DataFrame, pretest: DataFrame,

@@ -152,3 +152,31 @@ def test_split_velocity_matches_windows_with_hot_customer(tl, bucket_rows):
         e = e | (F.col(c).isNull() != F.col(c + "_s").isNull())
         cond = e if cond is None else cond | e
     assert j.count() == a.count() and j.filter(cond).count() == 0
+
+
+def test_plans_agree_on_null_times_long_decimals_and_large_ids(spark):
+    """Every velocity plan and both rolling forms, on rows that used to tell them apart."""
+    from kestrel.operators.rolling import COUNT_WINDOWS, SUM_WINDOWS, rolling_features
+    from kestrel.plans.velocity import velocity_table, velocity_table_split
+
+    rows = [(1 + k % 3, 2**63 - 1 - k, None if k % 5 == 0 else 1_000_000 + 600 * (k // 2), 0.000000001 * (k + 1) + k % 4)
+            for k in range(60)]
+    tl = spark.createDataFrame(rows, "customer_id long, event_id long, ets long, amt_abs double")
+    tl = tl.withColumns({"event_ts": F.timestamp_seconds("ets"), "period": F.lit("train"),
+                         "mcc_code_i": (F.col("event_id") % 2).cast("int"), "phone_voip_call_state": F.lit(1),
+                         "tz_changed": F.lit(1)})
+    plans = [velocity_table(tl), velocity_table_split(tl), velocity_table_split(tl, bucket_rows=5)]
+    a, b, c = (sorted(map(tuple, p.collect())) for p in plans)
+    assert a == b == c and len(a) == 60
+    null_ids = {r[1] for r in rows if r[2] is None}
+    assert all(r[4] == 0 and r[5] == 0 and r[6] == 0.0 for r in a if r[0] in null_ids)
+    cols = ["event_id", *[n for n, _ in COUNT_WINDOWS + SUM_WINDOWS]]
+    frame, delta = (sorted(map(tuple, rolling_features(tl, m).select(*cols).collect())) for m in ("frame", "delta"))
+    assert frame == delta and all(sum(r[1:]) == 0 for r in frame if r[0] in null_ids)
+
+
+def test_many_reds_in_one_category(spark):
+    from kestrel.operators.profiling import red_concentration
+    tr = spark.range(3_000).selectExpr("cast(id % 7 AS int) AS mcc_code_i", "'RED' AS cls")
+    got = {r["top_n"]: (r["cum_red"], round(r["share_pct"], 6)) for r in red_concentration(tr).collect()}
+    assert got[1] == (429, 14.3) and got[50] == (3000, 100.0)

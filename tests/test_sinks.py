@@ -35,3 +35,21 @@ def test_template_join_completeness(spark):
     sinks.write_submission(out, os.path.join(d, "sub"))
     back = spark.read.option("header", True).csv(os.path.join(d, "sub"))
     assert back.count() == 3 and "alpha" in back.columns
+
+
+def test_parts_of_several_files(spark):
+    from kestrel.sources.union import read_parts
+    d = tempfile.mkdtemp(prefix="kestrel-parts-")
+    for k, n in enumerate((30, 50)):
+        spark.range(n).withColumnRenamed("id", "event_id").repartition(4).write.parquet(os.path.join(d, f"p{k}"))
+    paths = [os.path.join(d, f"p{k}") for k in range(2)]
+    got = read_parts(spark, paths, ["event_id"], with_part=True).groupBy("part_id").count().collect()
+    assert {r["part_id"]: r["count"] for r in got} == {0: 30, 1: 50}
+    assert read_parts(spark, paths, ["event_id"]).columns == ["event_id"]
+
+
+def test_stage_is_read_with_pruned_columns(spark):
+    from kestrel.sources.sinks import stage
+    s = stage(spark.range(10).selectExpr("id", "id * 2 AS b", "'x' AS c"), "test")
+    df = s.select("b")
+    assert "ReadSchema: struct<b:bigint>" in df._jdf.queryExecution().executedPlan().toString() and df.count() == 10
