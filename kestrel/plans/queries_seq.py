@@ -69,6 +69,15 @@ def q_sequences(spark, sf_dir):
                        *_seq_strings(seqs, _FIELDS))
 
 
+@register("sequences_last20", SEQUENCES_SQL.replace("r <= 500", "r <= 20"))
+def q_sequences_last20(spark, sf_dir):
+    """Q1 with a limit that the customers of the fixture exceed."""
+    seqs = Q.last_n_sequences(Q.sequence_source(raw_events(spark, sf_dir)), 20).withColumn(
+        "amt_log_seq", F.transform("amt_log_seq", lambda x: F.round(x * 1e6, 0).cast("long")))
+    return seqs.select("customer_id", "total_events", F.size("etype_seq").alias("seq_len"),
+                       *_seq_strings(seqs, _FIELDS))
+
+
 def _h(view: int) -> str:
     return f"customer_id * 7919 + {view * 104729 + Q.SEED}"
 
@@ -105,6 +114,24 @@ def q_subsequences(spark, sf_dir):
                     F.aggregate("etype_v1_mask", F.lit(0), lambda a, x: a + x).alias("mask_sum"))
 
 
+_views_at = SUBSEQ_SQL.rindex("\nFROM (SELECT customer_id,\n        et[")
+_views_from = SUBSEQ_SQL.rindex("SELECT customer_id, ", 0, _views_at)
+PADDING_SQL = (SUBSEQ_SQL[:_views_from] + """
+SELECT customer_id,
+  array_to_string(list_concat(e1, list_transform(range(0, n - len(e1)), lambda i: 0)), ',') AS padded,
+  array_to_string(list_concat(list_transform(e1, lambda x: 1), list_transform(range(0, n - len(e1)), lambda i: 0)), ',') AS mask
+FROM (SELECT *, max(len(e1)) OVER (PARTITION BY floor(customer_id / 64)) AS n """ + SUBSEQ_SQL[_views_at:] + ")")
+
+
+@register("padding", PADDING_SQL)
+def q_padding(spark, sf_dir):
+    """Q4: contents of the padded lists and masks."""
+    v = Q.subsequence_pairs(Q.shift_clip(_spark_seqs(spark, sf_dir)), ["etype", "mcc"])
+    v = Q.pad_batch(v, "etype_v1", "len_v1")
+    return v.select("customer_id", *[F.array_join(F.transform(f"etype_v1_{c}", lambda x: x.cast("string")), ",").alias(c)
+                                     for c in ("padded", "mask")])
+
+
 # Q6 ---------------------------------------------------------------------------
 POOL_SQL = """
 SELECT CAST(label AS BIGINT) AS label, CAST(dim AS BIGINT) AS dim,
