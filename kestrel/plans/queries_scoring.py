@@ -283,3 +283,37 @@ def q_rank_blend(spark, sf_dir):
                   F.avg(0.6 * F.col("r_a") + 0.4 * F.col("r_b")).alias("mean_blend"),
                   F.count(F.lit(1)).alias("n"))
 
+
+
+# --------------------------------------------------------------------------
+# refit_submission: entry C after the models (M6, M9, M10, M13, J8, J9) as one plan on stored scores
+
+def _stored(seed: str) -> dict[str, str]:
+    return {"s_main": f"((event_id * 37 + {seed}) % 101) / 101", "s_recent": f"((event_id * 31 + {seed}) % 97) / 97",
+            "s_prod": f"((event_id * 29 + 3 * {seed}) % 89) / 89", "s_fb": f"((event_id * 17 + 5 * {seed}) % 83) / 83"}
+
+
+REFIT_SUBMISSION_SQL = with_base("SELECT event_id, " + _d(
+    "CASE WHEN hist THEN 0.7 * r_cb + 0.3 * r_fb ELSE r_cb END", "predict") + " FROM rr", """
+sd AS (SELECT event_id, customer_id, """ + ", ".join(
+    f"{v.replace(' / ', ' / CAST(')} AS DOUBLE) AS {k}" for k, v in _stored("seed").items()) + """
+  FROM t, (SELECT unnest([42, 123, 777]) AS seed) k WHERE period = 'test'),
+mn AS (SELECT event_id, customer_id, avg(s_main) AS s_main, avg(s_recent) AS s_recent, avg(s_prod) AS s_prod, avg(s_fb) AS s_fb
+  FROM sd GROUP BY event_id, customer_id),
+bl AS (SELECT *, round(0.35 * s_main + 0.2 * s_recent + 0.45 * s_prod, 9) AS cb, round(s_fb, 9) AS fb FROM mn),
+rr AS (SELECT event_id, customer_id IN (SELECT customer_id FROM lab) AS hist,
+    (rank() OVER (ORDER BY cb) - 1 + (count(*) OVER (PARTITION BY cb) + 1) / 2.0) / count(*) OVER () AS r_cb,
+    (rank() OVER (ORDER BY fb) - 1 + (count(*) OVER (PARTITION BY fb) + 1) / 2.0) / count(*) OVER () AS r_fb FROM bl)
+""")
+
+
+@register("refit_submission", REFIT_SUBMISSION_SQL)
+def q_refit_submission(spark, sf_dir):
+    """Seed means, blend, ranks, injection and submission of stored per-seed scores."""
+    from kestrel.plans.refit import SEEDS, submission
+    from kestrel.sources.fixture import labels_from_raw, raw_events
+    test = fixture_timeline(spark, sf_dir, by_customer=False).filter(F.col("period") == "test").select(
+        "event_id", "customer_id")
+    scored_ = test.withColumn("seed", F.explode(F.array(*[F.lit(s) for s in SEEDS]))).selectExpr(
+        "event_id", "customer_id", "seed", *[f"{v} AS {k}" for k, v in _stored("seed").items()])
+    return submission(scored_, labels_from_raw(raw_events(spark, sf_dir)), test.select("event_id"), (0.35, 0.2, 0.45), 0.3)
