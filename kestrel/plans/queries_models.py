@@ -8,8 +8,11 @@ from pyspark.sql import functions as F
 
 from kestrel.operators import models as Mo
 from kestrel.operators import scoring as S
-from kestrel.plans.catalog import register
+from kestrel.plans import queries_features  # noqa: F401  (registers the oracles of the blocks)
+from kestrel.plans.catalog import ORACLES, register
 from kestrel.plans.features import build_features, cut
+from kestrel.plans.oracle import with_base
+from kestrel.plans.queries_timeline import WC, _d, _i
 from kestrel.sources.timeline import fixture_timeline
 
 
@@ -23,6 +26,40 @@ def q_features(spark, sf_dir):
     return _features(spark, sf_dir)
 
 
+#: Queries whose oracles cover the build's columns block by block.
+_BLOCKS = ("parse_rows", "cust_counts", "cust_lags", "cust_amounts", "cust_session_day", "markov", "moving_avg",
+           "feedback", "rolling", "device", "interactions", "prior_join")
+_PROFILE = ("txn_count", "amt_mean", "amt_std", "amt_median", "amt_max", "amt_p95", "n_unique_mcc", "hour_mean",
+            "avg_daily_txns")
+
+FEATURES_META_SQL = with_base("SELECT event_id, customer_id, " + ", ".join([
+    _i("target", "target"), _i("idx", "cust_event_idx"), _i("pets", "prev_ets"), _d("pamt", "prev_amt"),
+    _i("coalesce(pses, -1)", "prev_session_id"),
+    _i("period = 'train' AND train_target_raw = 1", "is_red_lbl"),
+    _i("period = 'train' AND train_target_raw = 0", "is_yellow_lbl"),
+    _i("period = 'train' AND train_target_raw IN (0, 1)", "is_labeled_fb"),
+    _i("""period = 'train' AND train_target_raw = -1 AND (
+      (event_ts >= TIMESTAMP '2024-01-17 00:00:00' AND (event_id * 1000003 + customer_id * 7919 + 42) % 5 = 0)
+      OR (event_ts < TIMESTAMP '2024-01-17 00:00:00' AND (event_id * 1000003 + customer_id * 7919 + 59) % 15 = 0))""",
+       "keep_green")]) + " FROM l", f"""
+l AS (SELECT *, row_number() OVER ({WC}) AS idx, lag(ets) OVER ({WC}) AS pets, lag(amt) OVER ({WC}) AS pamt,
+        lag(session_id) OVER ({WC}) AS pses FROM t)""")
+
+FEATURES_SQL = (
+    "SELECT b.* EXCLUDE (" + ", ".join(f"profile_{c}" for c in _PROFILE) + "), "
+    + ", ".join(f"coalesce(profile_{c}, 0) AS profile_{c}" for c in _PROFILE)
+    + f" FROM (SELECT * FROM ({FEATURES_META_SQL}) JOIN ({ORACLES['null_flags']}) n USING (event_id) "
+    + " ".join(f"JOIN (SELECT * {'EXCLUDE (null_device_count) ' if k == 'parse_rows' else ''}FROM ({ORACLES[k]})) USING (event_id)"
+               for k in _BLOCKS)
+    + f" LEFT JOIN ({ORACLES['profile']}) USING (customer_id)) b")
+
+
+@register("features_checked", FEATURES_SQL)
+def q_features_checked(spark, sf_dir):
+    """Every column of the full build but the two raw times, against the oracles of all blocks."""
+    return _features(spark, sf_dir).drop("event_ts", "event_date")
+
+
 def _model_frame(spark, sf_dir):
     from kestrel.operators.sampling import random_day_validation
     df = random_day_validation(_features(spark, sf_dir))
