@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import cut, ship
+from kestrel.llm.common import cut, ship, tidy
 
 K = 5
 EVERY = 50
@@ -177,6 +177,7 @@ def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, shard: int = SHARD
             "dim", "shard", "block", "q_ids", "q_vecs", "kth", "ids", "vecs")
 
     def run(bound_only: bool):
+        @tidy
         def inner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             last, tree, ids, v = None, None, None, None
             for batch in batches:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import ship
+from kestrel.llm.common import ship, tidy
 
 #: Tags that end a text block.
 BLOCK_TAGS = frozenset(
@@ -246,6 +246,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     tree = train()
     kind = pages.schema[id_col].dataType.simpleString()
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             text = [main_text(p, tree) for p in b.column("h").to_pylist()]

@@ -25,10 +25,12 @@ Repeated rows get equal scores.  Other columns are ignored.
 
 from __future__ import annotations
 
+import array
 import functools
 import itertools
 import math
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
@@ -37,15 +39,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import ship
+from kestrel.llm.common import ship, tidy
 from kestrel.llm.hashing import shingle_sets
 
 
 
 #: Toxic documents that the classifier is fitted on, at most, and clean ones for each.
-SAMPLE, CLEAN = 3000, 2
-#: Clean texts added to those that have a feature, and the least weight of a feature.
-DOUBT, LEAST_WEIGHT = 4.0, 1.5
+SAMPLE, CLEAN = 2000, 2
+#: Features that chance may bring in, at most; clean texts added to those that have a
+#: feature; least weight of a feature.
+FALSE_FEATURES, DOUBT, LEAST_WEIGHT = 1.0, 4.0, 1.5
 #: Features that the classifier keeps, at most.
 FEATURES = 4000
 THRESHOLD = 0.7
@@ -82,6 +85,7 @@ def trigram_counts(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     """Character trigrams of all texts: an array of 61 ** 3 counts."""
     ship(docs.sparkSession)
 
+    @tidy
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(_N ** 3, np.int64)
         for batch in batches:
@@ -90,7 +94,7 @@ def trigram_counts(docs: DataFrame, text_col: str = "text") -> np.ndarray:
                 points = np.frombuffer("  ".join(["", *texts[a:a + 200], ""]).lower().encode(
                     "utf-32-le", "replace"), np.uint32)
                 c = _CLASS[points]
-                c = c[(c[:-1] | c[1:]).nonzero()[0]] if len(c) > 1 else c  # one border between words
+                c = np.append(c[(c[:-1] | c[1:]).nonzero()[0]], 0)  # one border between words
                 if len(c) > 2:
                     total += np.bincount((c[:-2] * _N + c[1:-1]) * _N + c[2:], minlength=_N ** 3)
         at = total.nonzero()[0]
@@ -179,7 +183,7 @@ class Restorer:
             return (t,)
         got = self.known.get(token)
         if got is None:
-            if len(self.known) > 200_000:
+            if len(self.known) > 100_000:
                 self.known.clear()
             t = _JUNK.sub("", _HIDDEN.sub("", token))
             u = t.lstrip("\"'([{«“„").rstrip(_EDGE)  # a leading ! or 1 may stand for a letter
@@ -285,24 +289,33 @@ def train(rows: list[tuple[int, str, list[int]]]) -> tuple[float | None, dict[st
     toxic, clean = ([w.split(" ") for y, w, _ in rows if y == k] for k in (1, 0))
     if not toxic or not clean:
         return None, {}
-    cluster = _clusters([least for y, _, least in rows if y == 1])
-    members = Counter(cluster)
-    n1, n0 = len(members), len(clean)
-    held: dict[str, set[int]] = {}
-    for c, x in zip(cluster, toxic):
-        for f in counted(x):
-            held.setdefault(f, set()).add(c)
+    clusters: dict[int, list[list[str]]] = {}
+    for k, x in zip(_clusters([least for y, _, least in rows if y == 1]), toxic):
+        clusters.setdefault(k, []).append(x)
+    n1, n0 = len(clusters), len(clean)
+
+    def groups() -> Iterator[set[str]]:
+        return (set().union(*map(counted, x)) for x in clusters.values())
+
     least = 3 if n1 > 3 else 2
-    t = {f: len(g) for f, g in held.items() if len(g) >= least}
-    tested = max(1, len(held))
-    del held
+    # hashed counts first: few features are frequent enough to be kept by name
+    buckets = array.array("l", bytes(8 << 22))
+    for x in groups():
+        for f in x:
+            buckets[zlib.crc32(f.encode("utf-8", "replace")) & 0x3FFFFF] += 1
+    tested = max(1, sum(1 for k in buckets if k))
+    t = Counter()
+    for x in groups():
+        t.update(f for f in x if buckets[zlib.crc32(f.encode("utf-8", "replace")) & 0x3FFFFF] >= least)
+    del buckets
+    t = {f: k for f, k in t.items() if k >= least}
     c = Counter()
     for x in clean:
         c.update(f for f in counted(x) if f in t)
     share, out = n1 / (n1 + n0), {}
     for f, n in t.items():
         weight = math.log((n + 0.5) / (n1 + 1)) - math.log((c[f] + DOUBT) / (n0 + 1))
-        if weight >= LEAST_WEIGHT and n / (n + c[f]) > share and _chance(n, n + c[f], share) * tested <= 1:
+        if weight >= LEAST_WEIGHT and n / (n + c[f]) > share and _chance(n, n + c[f], share) * tested <= FALSE_FEATURES:
             out[f] = weight
     # a prefix that a longer feature explains would only add words that are no part of it
     explained = {f[0] + g[:k] for f in out for g in [f[1:].lstrip("=")] for k in range(4, len(g) + 1)
@@ -316,6 +329,7 @@ def fit(docs: DataFrame, labels: DataFrame, counts: np.ndarray, sample: int = SA
     """Intercept (None: nothing to learn from) and weights of features."""
     ship(docs.sparkSession)
 
+    @tidy
     def restored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         r = Restorer(counts)
         for b in batches:
@@ -352,7 +366,7 @@ class Scorer:
         for t, n in tokens.items():
             got = known.get(t)
             if got is None:
-                if len(known) > 500_000:
+                if len(known) > 200_000:
                     known.clear()
                 got = known[t] = self._evidence(self.restorer.word(t))
             if got:
@@ -380,6 +394,7 @@ def score(docs: DataFrame, counts: np.ndarray, intercept: float | None, weights:
     ship(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(counts, intercept, weights)
         for batch in batches:
@@ -398,6 +413,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, thresho
     intercept, weights = fit(docs, labels, counts, sample, id_col, text_col)
     at = docs.columns.index(text_col)
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(counts, intercept, weights)
         for batch in batches:

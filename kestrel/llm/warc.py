@@ -32,7 +32,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import cut, ship
+from kestrel.llm.common import cut, ship, tidy
 from kestrel.session import checkpoint_dir
 
 ROLL = 32 << 20
@@ -158,6 +158,7 @@ def write_archives(records: DataFrame, folder: str, date: str = DATE) -> DataFra
     """Write records; returns the manifest (path, records, bytes), kept in the checkpoint folder."""
     ship(records.sparkSession)
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, path = open_folder(folder)
         out, name, n, size = None, "", 0, 0
@@ -193,6 +194,7 @@ def read_archives(manifest: DataFrame, folder: str, payload: bool = False) -> Da
               ("record_type", pa.string()), ("refers_to", pa.int64()), ("url", pa.string())] + (
         [("payload", pa.binary())] if payload else [])
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, _ = open_folder(folder)
 
