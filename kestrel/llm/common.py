@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kestrel.llm import hashing
 from kestrel.session import checkpoint_dir
 
 #: What separates words: space and the five ASCII control spaces.
@@ -72,24 +73,49 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 BATCH_ROWS, BATCH_BYTES = 2000, 16 << 20
 
 
+#: What a worker keeps from task to task: module -> function that forgets it.
+FORGET: dict[str, Callable[[], None]] = {}
+
+
 def tidy(run: Callable) -> Callable:
     """A batch function whose worker gives its free memory back when a task ends.
 
-    Workers live on for the tasks and stages to come, next to other workers.
+    Workers live on for the tasks and stages to come, next to other workers.  One
+    that turns to another operator forgets what it kept for the last.
     """
     @functools.wraps(run)
     def inner(*args):
+        for module, forget in FORGET.items():
+            if module != run.__module__:
+                forget()
         try:
             yield from run(*args)
         finally:
-            gc.collect()
-            pa.default_memory_pool().release_unused()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-            if trim is not None:
-                trim(0)
+            give_back()
+    return inner
+
+
+def tidy_group(run: Callable) -> Callable:
+    """The same for a function of one group."""
+    @functools.wraps(run)
+    def inner(key, group):
+        try:
+            return run(key, group)
+        finally:
+            give_back()
     return inner
 
 
+def give_back() -> None:
+    """Return free memory of this Python process to the machine."""
+    hashing.forget()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors, once per application, and bound the batches."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))

@@ -39,6 +39,11 @@ class _Powers:
 _powers = _Powers()
 
 
+def forget() -> None:
+    """Drop the powers; they are computed again where needed."""
+    _powers.__init__()
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A seeded permutation of the 64-bit numbers."""
     x = x ^ (x >> np.uint64(33))

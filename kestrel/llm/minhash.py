@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import cut, ship, tidy
+from kestrel.llm.common import cut, ship, tidy, tidy_group
 from kestrel.llm.components import components
 from kestrel.llm.hashing import mix, shingle_sets
 
@@ -191,6 +191,7 @@ def _rest(members: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
     rows = every.unionByName(minor).unionByName(centre)
     wanted = cut(texts.join(m.select("id").distinct(), "id", "left_semi"))
 
+    @tidy_group
     def run(key: tuple, g: pa.Table) -> pa.Table:
         ids, comp = (g.column(c).to_pylist() for c in ("id", "component"))
         mine = g.column("mine").to_pylist()

@@ -27,16 +27,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import ship
+from kestrel.llm.common import FORGET, ship, tidy
+from kestrel.llm.hashing import chunks
 
 MARK = "▁"
 WIDE = 48
 #: Units that a worker remembers in each of two generations; a unit used in the
 #: younger one outlives the older.
-REMEMBERED = 300_000
+REMEMBERED = 150_000
+#: Bytes of text encoded at a time, at about.
+GROUP = 1 << 20
 _CHAR = 1 << 16  #: symbols from here on are characters without a piece of their own
 _NONE = np.int64(1) << 40
 _UNIT = re.compile(f"{MARK}+[^{MARK}]*")
@@ -76,7 +80,7 @@ class Vocabulary:
         self.pairs = pairs
         keys = np.array(sorted(pairs), np.int64)
         self._table(keys, np.array([pairs[k][0] << 17 | pairs[k][1] for k in keys.tolist()], np.int64))
-        self.code = np.arange(0x110000, dtype=np.int64) + _CHAR
+        self.code = np.arange(0x110000, dtype=np.int32) + _CHAR
         for c, s in self.symbol.items():
             self.code[ord(c)] = s
         self.known: dict[str, tuple[int, str, str]] = {}
@@ -189,7 +193,7 @@ class Vocabulary:
             for a in range(0, len(rows), 20_000):
                 part = rows[a:a + 20_000]
                 points = np.frombuffer("".join(units[k] for k in part).encode("utf-32-le"), np.uint32)
-                self._agenda_rows(self.code[points].reshape(len(part), n), np.array(part), out)
+                self._agenda_rows(self.code[points].astype(np.int64).reshape(len(part), n), np.array(part), out)
         return [self._ids(x) for x in out]
 
     def units(self, text: str) -> list[str]:
@@ -244,6 +248,7 @@ class Vocabulary:
 
 
 _loaded: dict[str, Vocabulary] = {}
+FORGET[__name__] = _loaded.clear
 
 
 def vocabulary(model_path: str) -> Vocabulary:
@@ -253,17 +258,6 @@ def vocabulary(model_path: str) -> Vocabulary:
     return _loaded[model_path]
 
 
-def _groups(texts: list[str], limit: int = 4_000_000) -> Iterator[tuple[int, int]]:
-    a = n = 0
-    for k, t in enumerate(texts):
-        n += len(t)
-        if n >= limit:
-            yield a, k + 1
-            a, n = k + 1, 0
-    if a < len(texts):
-        yield a, len(texts)
-
-
 def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text",
                      digest: bool = False, check: bool = True) -> DataFrame:
     """Ids and decoded text per document, or their digests.
@@ -275,12 +269,13 @@ def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", t
     kind = docs.schema[id_col].dataType.simpleString()
     tail = "ids_sha256 string, decoded_sha256 string" if digest else "ids array<int>, decoded string"
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(model_path)
         for batch in batches:
-            texts = [t or "" for t in batch.column("t").to_pylist()]
-            for a, b in _groups(texts):
-                cut = [v.units(t) for t in texts[a:b]]
+            column = batch.column("t")
+            for a, b in chunks(pc.fill_null(pc.binary_length(column), 0).to_pylist(), GROUP):
+                cut = [v.units(t or "") for t in column.slice(a, b - a).to_pylist()]
                 v.learn({u for units in cut for u in units}, check)
                 known, rows = v.known, []
                 for units in cut:

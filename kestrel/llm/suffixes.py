@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kestrel.llm.common import cut, release, ship, tidy
+from kestrel.llm.common import cut, release, ship, tidy, tidy_group
 from kestrel.llm.hashing import distinct, prefix_sums, windows
 
 LENGTH = 100
@@ -203,6 +203,7 @@ def _judge(sent: DataFrame, later: bool) -> DataFrame:
     One range at a time: its names are concatenated and sorted once.
     """
 
+    @tidy_group
     def run(key: tuple, group: pa.Table) -> pa.Table:
         blocks = np.array(group.column("block").to_pylist(), np.int64)
         order = np.argsort(blocks, kind="stable")
