@@ -112,8 +112,21 @@ def _cuts(sized: DataFrame, weights: tuple[int, ...], max_epochs: int) -> DataFr
                       F.coalesce("last", F.when(F.col("edge").isNotNull(), none)).alias("last"))
 
 
+#: Sources whose table is broadcast, at most (some 100 bytes a row).
+FEW_SOURCES = 10_000
+#: Parts that each source's rows are dealt to where the table is larger.
+SALTS = 64
+
+
 def _planned(sized: DataFrame, cuts: DataFrame, max_epochs: int) -> DataFrame:
-    rows = sized.join(cuts, sized["source"].eqNullSafe(cuts["t_source"]))
+    """Rows with their number of copies; rows and texts of a source do not meet in one task."""
+    cuts = cut(cuts)
+    same = sized["source"].eqNullSafe(cuts["t_source"])
+    if cuts.count() <= FEW_SOURCES:
+        rows = sized.join(F.broadcast(cuts), same)
+    else:
+        salted = cuts.withColumn("t_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        rows = sized.join(salted, same & (F.pmod(F.col("_key.h"), F.lit(SALTS)) == F.col("t_salt"))).drop("t_salt")
     # no edge bucket: the rest takes the whole source
     extra = F.when(F.col("last").isNull(), F.lit(1)).otherwise((F.col("_key") <= F.col("last")).cast("int"))
     copies = F.when(F.col("size") > 0, F.least(F.col("whole") + extra, F.lit(max_epochs))).otherwise(F.lit(0))

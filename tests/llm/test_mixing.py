@@ -69,3 +69,11 @@ def test_no_python_and_empty(spark):
     p = mixing.plan_mix(documents(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in p
     assert mixing.plan_mix(empty(spark)).count() == 0 and mixing.mix(empty(spark)).count() == 0
+
+
+def test_many_sources_give_the_same(spark, monkeypatch):
+    d = documents(spark)
+    few = sorted(map(str, mixing.plan_mix(d).collect()))
+    monkeypatch.setattr(mixing, "FEW_SOURCES", 1)
+    assert sorted(map(str, mixing.plan_mix(d).collect())) == few
+    assert mixing.mix(d).columns == d.columns
