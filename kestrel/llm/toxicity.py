@@ -3,11 +3,13 @@
 1. Language model: counts of character trigrams over the words of all
    documents.  The table has a fixed size (61 classes cubed), whatever the corpus.
 2. Channel: a disguised word is a lattice.  Each position offers the characters
-   it may stand for (leetspeak, look-alikes, a censored letter), a run of three or
-   more equal letters offers one, two or the run itself, and a blank between spaced
-   letters offers nothing or a word border.  Viterbi decoding finds the path with
-   the least channel cost plus language-model cost.  A word without any such
-   position has a lattice of one path and is its own restoration.
+   it may stand for (leetspeak, look-alikes, a censored letter), a mark at an end of
+   the word also nothing, a run of two equal letters one or two, a longer run also
+   itself, and a blank between spaced letters offers nothing or a word border.
+   Viterbi decoding finds the path with the least channel cost plus language-model
+   cost, whatever the length of the word.  As short words cost less, the path that
+   takes every mark for a letter and leaves runs of two is a second reading.  A word
+   without any such position has a lattice of one path and is its own restoration.
 3. Score: log likelihood ratios of restored words and their prefixes, learned from
    at most ``SAMPLE`` toxic labelled documents and ``CLEAN`` times as many clean ones
    (smallest hash of the id); near copies among the toxic ones count once, and a
@@ -77,8 +79,13 @@ def _class(c: str) -> int:
     return int(_CLASS[ord(c)])
 
 
+_CLASS_OF = {c: _class(c) for c in LETTERS}
+
 #: Costs of the channel in nats.
 _SWAP, _CENSOR, _COLLAPSE, _KEEP_RUN, _JOIN, _SPLIT = 0.5, 2.0, 0.5, 2.0, 0.2, 2.5
+_PAIR, _NOISE = 2.0, 0.5  # one letter written twice; a mark at an end that is no letter
+_ANY = [(x, _CENSOR) for x in LETTERS[:26]]
+_MARKS = 32  # marks at a word's ends of which the tables are kept
 
 
 def trigram_counts(docs: DataFrame, text_col: str = "text") -> np.ndarray:
@@ -116,56 +123,145 @@ class Channel:
         p1 = (one + 1) / (one.sum() + _N)
         p2 = (two + 20 * p1) / (two.sum(1, keepdims=True) + 20)
         p3 = (c + 20 * p2[None]) / (c.sum(2, keepdims=True) + 20)
-        self.cost = (-np.log(p3)).ravel().tolist()
+        self.array = -np.log(p3).reshape(_N * _N, _N)
+        self.cost = self.array.ravel().tolist()
+        #: For each cost of dropping a mark: states after k marks that begin a word, and least
+        #: costs and choices of k marks that end one.
+        self.heads: dict[tuple, list[dict]] = {}
+        self.tails: dict[tuple, list[tuple[np.ndarray, np.ndarray | None]]] = {}
 
     @staticmethod
-    def lattice(word: str, spaced: bool = False) -> list[list[tuple[str, float]]]:
-        """Options (text, cost) of each position of a lower-case word."""
+    def lattice(word: str, spaced: bool = False, keep: bool = False) -> list[list[tuple[str, float]]]:
+        """Options (text, cost) of each position of a lower-case word.
+
+        ``keep``: every mark that may be a letter is one, and runs of two stay.
+        """
         out: list[list[tuple[str, float]]] = []
+        solid = [i for i, c in enumerate(word) if c.isalnum()] or [len(word), -1]
+        first, last = (0, len(word)) if spaced else (solid[0], solid[-1])
         i = 0
         while i < len(word):
             c, n = word[i], 1
             while i + n < len(word) and word[i + n] == c:
                 n += 1
+            end = [("", _NOISE)] if not keep and not first <= i <= last else []
             if spaced and c == " ":
                 out.append([("", _JOIN), (" ", _SPLIT)])
-            elif c in _JOINTS and 0 < i < len(word) - 1:
-                out.append([("", _JOIN)] + ([(x, _CENSOR) for x in LETTERS[:26]] if c in _CENSORED else []))
             elif c in _CENSORED:
-                out += [[(x, _CENSOR) for x in LETTERS[:26]] for _ in range(min(n, 4))]
+                inside = [("", _JOIN)] if c in _JOINTS and not end and not keep else []
+                out += [end + inside + _ANY] * n
+            elif c in _JOINTS:
+                out.append([("", _JOIN)])
             elif c.isalpha() and c not in STANDS_FOR:
                 out.append([(c, _COLLAPSE), (c + c, _COLLAPSE), (c * n, _KEEP_RUN)] if n > 2
-                           else [(c * n, 0.0)])
+                           else [(c * n, 0.0)] + ([(c, _PAIR)] if n > 1 and not keep else []))
             else:
                 options = [(x, _SWAP) for x in STANDS_FOR.get(c, "")] or [(c, 0.0)]
-                out += [options] * (n if n < 3 else 1)
-                if n > 2:
-                    out.append([("", 0.0)] + options)
+                out.append(end + options)
+                if n > 1:
+                    out.append((end or ([] if keep and n == 2 else [("", 0.0 if n > 2 else _PAIR)])) + options)
             i += n
         return out
 
-    def decode(self, word: str, spaced: bool = False) -> str:
-        cost_of = self.cost
-        states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
-        for options in [*self.lattice(word, spaced), [(" ", 0.0)]]:
-            after: dict[tuple[int, int], tuple[float, str]] = {}
-            for (a, b), (cost, text) in states.items():
+    def _any_letter(self, states: dict, options: list[tuple[str, float]]) -> dict:
+        """States after a position that may be any letter, all letters at once."""
+        after: dict = {}
+        for x, more in options[:-26]:
+            self._step(states, x, more, after)
+        keys = sorted(states, key=lambda s: (s[1], s[0]))
+        total = self.array[[p * _N + q for p, q in keys], 1:27] + (
+            np.array([states[k][0] for k in keys]) + _CENSOR)[:, None]
+        for q, group in itertools.groupby(range(len(keys)), key=lambda i: keys[i][1]):
+            rows = list(group)
+            part = total[rows[0]:rows[-1] + 1]
+            at = part.argmin(0)
+            for x, (i, cost) in enumerate(zip(at.tolist(), part.min(0).tolist())):
+                if (q, x + 1) not in after or cost < after[q, x + 1][0]:
+                    after[q, x + 1] = (cost, (states[keys[rows[i]]][1], LETTERS[x]))
+        return after
+
+    def _step(self, states: dict, x: str, more: float, after: dict) -> None:
+        cost_of, classes = self.cost, [_CLASS_OF.get(c) or _class(c) for c in x]
+        for (p, q), (cost, path) in states.items():
+            total = cost + more
+            for k in classes:
+                total += cost_of[(p * _N + q) * _N + k]
+                p, q = q, k
+            old = after.get((p, q))
+            if old is None or total < old[0]:
+                after[p, q] = (total, (path, x) if x else path)
+
+    def decode(self, word: str, spaced: bool = False, keep: bool = False) -> str:
+        lattice = self.lattice(word, spaced, keep)
+        a, b = 0, len(lattice)
+        while a < min(len(lattice), _MARKS) and len(lattice[a]) >= 26 and lattice[a] == lattice[0]:
+            a += 1
+        while b > max(a, len(lattice) - _MARKS) and len(lattice[b - 1]) >= 26 and lattice[b - 1] == lattice[-1]:
+            b -= 1
+        # a path is (path before, text): linear in the word, paths that end are freed
+        states = self._head(lattice[0], a) if a else {(0, 0): (0.0, None)}
+        for alone, group in itertools.groupby(lattice[a:b], key=lambda o: len(o) == 1):
+            if alone:  # no choice: one step
+                run = list(group)
+                after: dict = {}
+                self._step(states, "".join(o[0][0] for o in run), sum(o[0][1] for o in run), after)
+                states = after
+                continue
+            for options in group:
+                if len(options) >= 26:
+                    states = self._any_letter(states, options)
+                    continue
+                after = {}
                 for x, more in options:
-                    p, q, total = a, b, cost + more
-                    for c in x:
-                        k = _class(c)
-                        total += cost_of[(p * _N + q) * _N + k]
-                        p, q = q, k
-                    if (p, q) not in after or total < after[p, q][0]:
-                        after[p, q] = (total, text + x)
-            states = after
-        return min(states.values())[1].strip()
+                    self._step(states, x, more, after)
+                states = after
+        if b == len(lattice):
+            cost_of = self.cost
+            path = min((v[0] + cost_of[(p * _N + q) * _N], i, v[1]) for i, ((p, q), v) in enumerate(states.items()))[2]
+            return self._text(path).strip()
+        tail = self._tail(lattice[-1], len(lattice) - b)
+        ends = tail[len(lattice) - b][0]
+        p, q = min(states, key=lambda s: states[s][0] + ends[s])
+        text = [self._text(states[p, q][1])]
+        for k in range(len(lattice) - b, 0, -1):
+            if x := int(tail[k][1][p, q]):
+                text.append(LETTERS[x - 1])
+                p, q = q, x
+        return "".join(text).strip()
+
+    @staticmethod
+    def _text(path: tuple | None) -> str:
+        out = []
+        while path:
+            path, x = path
+            out.append(x)
+        return "".join(reversed(out))
+
+    def _head(self, options: list[tuple[str, float]], k: int) -> dict:
+        """States after k positions that may be any letter, at a word's start."""
+        got = self.heads.setdefault(tuple(options[:-26]), [{(0, 0): (0.0, None)}])
+        while len(got) <= k:
+            got.append(self._any_letter(got[-1], options))
+        return got[k]
+
+    def _tail(self, options: list[tuple[str, float]], k: int) -> list[tuple[np.ndarray, np.ndarray | None]]:
+        """Least costs of k positions that may be any letter and the border after them, from every state."""
+        c = self.array.reshape(_N, _N, _N)
+        got = self.tails.setdefault(tuple(options[:-26]), [(c[:, :, 0], None)])
+        while len(got) <= k:
+            before = got[-1][0]
+            cost = c[:, :, 1:27] + before[None, :, 1:27] + _CENSOR
+            at, least = cost.argmin(2) + 1, cost.min(2)
+            for _, more in options[:-26]:  # nothing
+                at, least = np.where(before + more <= least, 0, at), np.minimum(before + more, least)
+            got.append((least, at))
+        return got
 
 
 _EDGE = ".,;:!?\"'()[]{}«»“”„…"
-_JUNK = re.compile(r"^[\W_]{2,}|[\W_]{2,}$")  # runs of marks at a word's ends are no letters
+_OPEN, _CLOSE = "\"'[{«“„", ".,;:?\"')]}«»“”„…"  # marks at a word's ends that stand for no letter
 _PLAIN = re.compile(r"[^\W\d_]+\Z")
-_RUN = re.compile(r"([^\W\d_])\1\1")
+_RUN = re.compile(r"([^\W\d_])\1")
 _SPACED = re.compile(r"(?<!\S)(?:[^\s][.,\-_]?[ \t]+){2,}[^\s](?!\S)")
 
 
@@ -178,32 +274,43 @@ class Restorer:
 
     def word(self, token: str) -> tuple[str, ...]:
         """Restored words of one blank-free lower-case token."""
-        t = token.strip(_EDGE)
+        t = token.lstrip(_OPEN).rstrip(_CLOSE)
         if _PLAIN.match(t) and not _RUN.search(t) and t.isascii():
             return (t,)
         got = self.known.get(token)
         if got is None:
             if len(self.known) > 100_000:
                 self.known.clear()
-            t = _JUNK.sub("", _HIDDEN.sub("", token))
-            u = t.lstrip("\"'([{«“„").rstrip(_EDGE)  # a leading ! or 1 may stand for a letter
-            alpha = sum(c.isalpha() for c in u)
-            odd = any(c in STANDS_FOR or c in _CENSORED or c in _JOINTS for c in u) or _RUN.search(u)
-            if odd and alpha and 2 < len(u) <= 40:
-                got = tuple({self.channel.decode(u), u} - {""}) if alpha == len(u) else (self.channel.decode(u),)
-            else:
-                got = (u,) if u else ()
-            self.known[token] = got
+            got = self.known[token] = tuple(sorted(self._readings(_HIDDEN.sub("", token).lstrip(_OPEN).rstrip(_CLOSE))))
         return got
 
-    def words(self, text: str) -> Counter:
-        """Restored words of a text and how often each occurs."""
+    def _readings(self, u: str) -> set[str]:
+        """The cheapest path, the one that takes marks for letters, and a word without marks itself."""
+        if not (any(c in STANDS_FOR or c in _CENSORED or c in _JOINTS for c in u) or _RUN.search(u)):
+            return {u} - {""}
+        out = {self.channel.decode(u)}
+        if not (plain := _PLAIN.match(u) and u.isascii()) and any(c.isalnum() or c in STANDS_FOR for c in u):
+            out.add(self.channel.decode(u, keep=True))  # marks for any letter alone say nothing
+        if plain or u.isalpha() or not any(c.isalpha() for c in u) and u.isalnum():
+            out.add(u)
+        return out - {""}
+
+    def tokens(self, text: str) -> Counter:
+        """Readings of each token of a text, joined by tabs, and how often they occur."""
         tokens = Counter(text.lower().split())
         out: Counter = Counter()
         for t, n in tokens.items():
-            for w in self.word(t):
-                out[w] += n
+            out["\t".join(self.word(t))] += n
         out.update(self.spaced(text, tokens))
+        del out[""]
+        return out
+
+    def words(self, text: str) -> Counter:
+        """Restored words of a text and how often each occurs."""
+        out: Counter = Counter()
+        for t, n in self.tokens(text).items():
+            for w in t.split("\t"):
+                out[w] += n
         return out
 
     def spaced(self, text: str, tokens: Iterable[str]) -> list[str]:
@@ -228,8 +335,9 @@ def features(word: str) -> list[str]:
 
 
 def counted(words: Iterable[str]) -> set[str]:
-    """Features of a text's words, marked 1 or 2 by whether they occur once or more often."""
-    n = Counter(f for w in words for f in features(w))
+    """Features of a text's words (readings of one word joined by tabs), marked 1 or 2 by
+    whether they occur once or more often."""
+    n = Counter(f for w in words for f in {f for x in w.split("\t") for f in features(x)})
     return {("2" if k > 1 else "1") + f for f, k in n.items()}
 
 
@@ -334,7 +442,7 @@ def fit(docs: DataFrame, labels: DataFrame, counts: np.ndarray, sample: int = SA
         r = Restorer(counts)
         for b in batches:
             texts = b.column("t").to_pylist()
-            words = [" ".join(sorted(w for w, n in r.words(t or "").items() for _ in range(min(n, 2)))) for t in texts]
+            words = [" ".join(sorted(w for w, n in r.tokens(t or "").items() for _ in range(min(n, 2)))) for t in texts]
             least = [x[:8].view(np.int64).tolist() for x in shingle_sets(texts)]
             yield pa.RecordBatch.from_arrays(
                 [b.column("toxic").cast(pa.int32()), pa.array(words, pa.string()),
@@ -370,18 +478,18 @@ class Scorer:
                     known.clear()
                 got = known[t] = self._evidence(self.restorer.word(t))
             if got:
-                hits += [(x, n) for x in got]
+                hits.append((got, n))
         if tokens and (extra := self.restorer.spaced(text, tokens)):
-            hits += [(x, 1) for x in self._evidence(extra)]
+            hits += [((x,), 1) for x in self._evidence(extra)]
         if not hits:
             return 1 / (1 + math.exp(-self.intercept))
         seen: Counter = Counter()
-        for x, n in hits:
-            for f in x:
+        for got, n in hits:
+            for f in {f for x in got for f in x}:
                 seen[f] += n
         # each word speaks through its strongest feature, each feature once
         chosen = set()
-        for x, _ in hits:
+        for x in {x for got, _ in hits for x in got}:
             keys = [("2" if seen[f] > 1 else "1") + f for f in x]
             chosen.add(max(keys, key=lambda k: (self.weights.get(k, 0.0), k)))
         z = self.intercept + sum(self.weights.get(k, 0.0) for k in sorted(chosen))

@@ -94,3 +94,38 @@ def test_learns_rare_roots_and_keeps_clean_documents(spark):
     got = {x["doc_id"]: x["predicted"] for x in toxicity.toxicity(d, lab).where("held_out").collect()}
     assert sum(got[i] == labels[i][1] for i in got) >= 0.97 * len(got)
     assert not any(p for i, p in got.items() if not labels[i][1])
+
+
+@pytest.mark.parametrize("disguised,word", [
+    ("a$$", "ass"), ("@$$hole", "asshole"), ("sh!+", "shit"), ("!diot", "idiot"), ("@$$", "ass"), ("455", "ass"),
+    ("idi" + "o" * 40 + "t", "idiot"), ("iiddiioott", "idiot"), ("idioot", "idiot"), ("$tup1d***", "stupid")])
+def test_no_position_is_settled_before_decoding(restorer, disguised, word):
+    assert word in restorer.words("it is " + disguised + " and")
+
+
+def test_marks_are_as_many_positions_as_letters_and_words_of_any_length_are_decoded(restorer):
+    ch = restorer.channel
+    assert len(ch.lattice("f" + "*" * 7 + "k")) == 9
+    assert len(ch.decode("m****n", keep=True)) == 6
+    assert any(w.startswith("idiotidiot") for w in restorer.words(".".join("idiot" * 20)))
+    assert len(ch.decode("a1" * 20_000)) == 40_000
+
+
+def test_any_letter_positions_agree_with_all_paths(restorer):
+    import itertools
+    ch = restorer.channel
+
+    def cost(path):
+        p = q = 0
+        total = 0.0
+        for x, c in [*path, (" ", 0.0)]:
+            total += c
+            for s in x:
+                k = toxicity._class(s)
+                total += ch.cost[(p * 61 + q) * 61 + k]
+                p, q = q, k
+        return total
+
+    for w in ("m*r*n", "s#t", "ab**", "iidd"):
+        best = min(itertools.product(*ch.lattice(w)), key=cost)
+        assert ch.decode(w) == "".join(x for x, _ in best).strip()
