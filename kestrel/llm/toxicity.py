@@ -5,7 +5,9 @@
 2. Channel: a disguised word is a lattice.  Each position offers the characters
    it may stand for (leetspeak, look-alikes, a censored letter), a mark at an end of
    the word also nothing, a run of two equal letters one or two, a longer run also
-   itself, and a blank between spaced letters offers nothing or a word border.
+   itself, and a blank between spaced letters or a mark inside a token offers nothing
+   or a word border.  Other punctuation cuts a token, and what stands between
+   the marks of a token is also read on its own.
    Viterbi decoding finds the path with the least channel cost plus language-model
    cost, whatever the length of the word.  As short words cost less, the path that
    takes every mark for a letter and leaves runs of two is a second reading.  A word
@@ -32,6 +34,7 @@ import functools
 import itertools
 import math
 import re
+import unicodedata
 import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
@@ -145,19 +148,20 @@ class Channel:
             while i + n < len(word) and word[i + n] == c:
                 n += 1
             end = [("", _NOISE)] if not keep and not first <= i <= last else []
+            border = [] if keep or spaced or c.isalnum() else [(" ", _SPLIT)]
             if spaced and c == " ":
                 out.append([("", _JOIN), (" ", _SPLIT)])
             elif c in _CENSORED:
-                inside = [("", _JOIN)] if c in _JOINTS and not end and not keep else []
+                inside = [] if end or keep else [("", _JOIN)] * (c in _JOINTS) + border
                 out += [end + inside + _ANY] * n
             elif c in _JOINTS:
-                out.append([("", _JOIN)])
+                out.append([("", _JOIN)] + (border if first < i < last else []))
             elif c.isalpha() and c not in STANDS_FOR:
                 out.append([(c, _COLLAPSE), (c + c, _COLLAPSE), (c * n, _KEEP_RUN)] if n > 2
                            else [(c * n, 0.0)] + ([(c, _PAIR)] if n > 1 and not keep else []))
             else:
                 options = [(x, _SWAP) for x in STANDS_FOR.get(c, "")] or [(c, 0.0)]
-                out.append(end + options)
+                out.append((end or border) + options)
                 if n > 1:
                     out.append((end or ([] if keep and n == 2 else [("", 0.0 if n > 2 else _PAIR)])) + options)
             i += n
@@ -261,6 +265,11 @@ class Channel:
 _EDGE = ".,;:!?\"'()[]{}«»“”„…"
 _OPEN, _CLOSE = "\"'[{«“„", ".,;:?\"')]}«»“”„…"  # marks at a word's ends that stand for no letter
 _PLAIN = re.compile(r"[^\W\d_]+\Z")
+#: Marks that a lattice reads, and all others that are no part of a word (accents are).
+_MARK = "".join(c for c in dict.fromkeys([*STANDS_FOR, *_CENSORED, *_JOINTS]) if not c.isalnum())
+_BETWEEN = re.compile(f"[{re.escape(_MARK)}]+")
+_ACCENTS = "".join(c for c in map(chr, range(0x20000)) if unicodedata.category(c)[0] == "M")
+_CUT = re.compile(f"[^\\w{re.escape(_MARK + _ACCENTS)}]+")
 _RUN = re.compile(r"([^\W\d_])\1")
 _SPACED = re.compile(r"(?<!\S)(?:[^\s][.,\-_]?[ \t]+){2,}[^\s](?!\S)")
 
@@ -281,14 +290,20 @@ class Restorer:
         if got is None:
             if len(self.known) > 100_000:
                 self.known.clear()
-            got = self.known[token] = tuple(sorted(self._readings(_HIDDEN.sub("", token).lstrip(_OPEN).rstrip(_CLOSE))))
+            got = self.known[token] = tuple(sorted(set().union(
+                *(self._readings(u) for u in _CUT.split(_HIDDEN.sub("", token).lstrip(_OPEN).rstrip(_CLOSE)) if u))))
         return got
 
     def _readings(self, u: str) -> set[str]:
-        """The cheapest path, the one that takes marks for letters, and a word without marks itself."""
+        """The words of the cheapest path, the path that takes marks for letters, a word without
+        marks itself, and what stands between marks."""
         if not (any(c in STANDS_FOR or c in _CENSORED or c in _JOINTS for c in u) or _RUN.search(u)):
             return {u} - {""}
-        out = {self.channel.decode(u)}
+        out = set(self.channel.decode(u).split())
+        if len(parts := [x for x in _BETWEEN.split(u) if x]) > 1:
+            for x in parts:
+                if len(x) > 2:  # shorter words have no features
+                    out |= self._readings(x)
         if not (plain := _PLAIN.match(u) and u.isascii()) and any(c.isalnum() or c in STANDS_FOR for c in u):
             out.add(self.channel.decode(u, keep=True))  # marks for any letter alone say nothing
         if plain or u.isalpha() or not any(c.isalpha() for c in u) and u.isalnum():

@@ -129,3 +129,16 @@ def test_any_letter_positions_agree_with_all_paths(restorer):
     for w in ("m*r*n", "s#t", "ab**", "iidd"):
         best = min(itertools.product(*ch.lattice(w)), key=cost)
         assert ch.decode(w) == "".join(x for x, _ in best).strip()
+
+
+@pytest.mark.parametrize("token", [
+    "stop.idiot", "you...idiot", "total-idiot", "you,idiot", "you/idiot", "you—idiot", "stop!idiot", "you|idiot",
+    "you_idiot", "idiot's", "(you):idiot", "you.1d10t", "such-an-idiooot,really"])
+def test_words_glued_by_marks_are_read_on_their_own(restorer, token):
+    assert "idiot" in restorer.words("it is " + token + " and")
+
+
+def test_marks_inside_a_token_may_be_borders_and_accents_cut_no_word(restorer):
+    assert all((" ", toxicity._SPLIT) in restorer.channel.lattice(f"stop{c}idiot")[4] for c in ".-_*~'!")
+    assert "loser" in restorer.words("a lo-ser")
+    assert restorer.words("cafés") == {"cafés": 1}
