@@ -139,3 +139,69 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   NOT base_failed AND NOT ({' OR '.join(_rule(*x) for x in RULES)}) AS kept
 FROM b
 """
+
+
+def _field(c: str, value: str | None = None) -> str:
+    v = value or f"CAST({c} AS VARCHAR)"
+    return f"CASE WHEN {c} IS NULL THEN '-' ELSE octet_length(encode({v})) || ':' || {v} END"
+
+
+def _leaf(n_chars: str) -> str:
+    return "sha256(" + " || ".join([_field("doc_id"), _field("source"), _field("lang"), _field("n_chars", n_chars),
+                                    _field("text")]) + ")"
+
+
+#: crc32 of the decimal id, bit by bit: each byte, then eight shifts.
+_CRC = """(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(1, length(i) + 1),
+      lambda k: CAST(ord(substr(i, k, 1)) AS BIGINT))),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), list_transform(range(0, 8), lambda z: CAST(z AS BIGINT))),
+      lambda x, y: xor(x >> 1, CASE WHEN x & 1 = 1 THEN CAST(3988292384 AS BIGINT) ELSE 0 END))))"""
+
+_FOLD = """CASE WHEN f.idx % 2 = 1 THEN sha256(s.h || f.h) WHEN s.h IS NULL THEN sha256(f.h) ELSE sha256(f.h || s.h) END"""
+
+
+def _tree(name: str, source: str) -> str:
+    """All levels of the trees over ``source`` (g, idx, n, h)."""
+    return f"""
+{name}(g, level, idx, n, h) AS (
+  SELECT g, 0, idx, n, h FROM {source}
+  UNION ALL
+  SELECT g, level + 1, idx // 2, (n + 1) // 2, p FROM (
+    SELECT g, level, idx, n,
+      sha256(h || coalesce(lead(h) OVER (PARTITION BY g ORDER BY idx), '')) AS p FROM {name} WHERE n > 1)
+  WHERE idx % 2 = 0)"""
+
+
+def _folded(name: str, source: str, tree: str) -> str:
+    """Paths of ``source`` (k, g, idx, h) up their tree, with the siblings met on the way."""
+    return f"""
+{name}(k, g, level, idx, h, proof) AS (
+  SELECT k, g, 0, idx, h, '' FROM {source}
+  UNION ALL
+  SELECT f.k, f.g, f.level + 1, f.idx // 2, {_FOLD}, f.proof || coalesce(s.h, '')
+  FROM {name} f JOIN {tree} o ON o.g = f.g AND o.level = f.level AND o.idx = f.idx AND o.n > 1
+  LEFT JOIN {tree} s ON s.g = f.g AND s.level = f.level AND s.idx = xor(f.idx, 1))"""
+
+
+MERKLE = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, lang, dense_rank() OVER (ORDER BY lang NULLS FIRST) AS g, {_leaf('CAST(n_chars AS VARCHAR)')} AS h,
+    {_leaf('CAST(n_chars + 1 AS VARCHAR)')} AS other, coalesce(CAST(doc_id AS VARCHAR), '') AS i FROM documents),
+c AS (SELECT * EXCLUDE (i), doc_id IS NOT NULL AND xor({_CRC}, CAST(4294967295 AS BIGINT)) % 7 = 0 AS bad FROM d),
+p AS (
+  SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, h) - 1 AS idx,
+    count(*) OVER (PARTITION BY g) AS n, row_number() OVER () AS k FROM c),
+{_tree('a', 'p')},
+r AS (SELECT g, h FROM a WHERE n = 1),
+q AS (SELECT 1 AS g, row_number() OVER (ORDER BY g) - 1 AS idx, count(*) OVER () AS n, h, g AS k FROM r),
+{_tree('b', 'q')},
+e AS (SELECT k, g, idx, CASE WHEN bad THEN other ELSE h END AS h FROM p),
+{_folded('f', 'e', 'a')},
+t AS (SELECT k, g, h, proof FROM f QUALIFY row_number() OVER (PARTITION BY k ORDER BY level DESC) = 1),
+u AS (SELECT t.k, 1 AS g, q.idx, t.h FROM t JOIN q ON q.k = t.g),
+{_folded('v', 'u', 'b')},
+w AS (SELECT k, h, proof FROM v QUALIFY row_number() OVER (PARTITION BY k ORDER BY level DESC) = 1)
+SELECT p.doc_id, p.h AS leaf, r.h AS subroot, z.h AS root, sha256(t.proof || w.proof) AS proof_sha256,
+  w.h AS folded_root, w.h = z.h AS verified
+FROM p JOIN r ON r.g = p.g JOIN t ON t.k = p.k JOIN w ON w.k = p.k JOIN b z ON z.n = 1
+"""

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kestrel.llm import (
-    balltree, chat, maintext, minhash, mixing, oracles, pieces, quality, suffixes, toxicity, warc)
+    balltree, chat, maintext, merkle, minhash, mixing, oracles, pieces, quality, suffixes, toxicity, warc)
 from kestrel.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -100,3 +100,9 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept")
+
+
+@query("op11_merkle_manifest", oracles.MERKLE)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle manifest of all documents; proofs of all rows, checked against rows changed on purpose."""
+    return merkle.digest(merkle.manifest(table(spark, sf_dir, "documents")))
