@@ -205,3 +205,26 @@ SELECT p.doc_id, p.h AS leaf, r.h AS subroot, z.h AS root, sha256(t.proof || w.p
   w.h AS folded_root, w.h = z.h AS verified
 FROM p JOIN r ON r.g = p.g JOIN t ON t.k = p.k JOIN w ON w.k = p.k JOIN b z ON z.n = 1
 """
+
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+LEXICAL = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS k, doc_id, regexp_extract_all({_LOWER}, '{_TERM}') AS w FROM documents),
+n AS (SELECT k, doc_id, len(w) AS n FROM d WHERE len(w) > 0),
+t AS (SELECT k, t, count(*) AS tf FROM (SELECT k, unnest(w) AS t FROM d) GROUP BY k, t),
+f AS (SELECT t, count(*) AS df FROM t GROUP BY t),
+c AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM n),
+m AS (SELECT k, doc_id, 100 - 90 + ((90 * n * n_docs) // n_terms) AS m FROM n, c),
+q AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all({_LOWER}, '{_TERM}')) AS t FROM benchmark),
+w AS (
+  SELECT item_id, t, CAST(floor(1000 * ln((2 * n_docs + 2) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM q JOIN f USING (t), c),
+s AS (
+  SELECT item_id, k, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM w JOIN t USING (t) JOIN m USING (k) GROUP BY item_id, k, doc_id)
+SELECT item_id, CAST(row_number() OVER r AS INTEGER) AS rank, doc_id, score FROM s WHERE score > 0
+WINDOW r AS (PARTITION BY item_id ORDER BY score DESC, doc_id)
+QUALIFY row_number() OVER r <= 10
+"""

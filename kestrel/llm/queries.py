@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kestrel.llm import (
-    balltree, chat, maintext, merkle, minhash, mixing, oracles, pieces, quality, suffixes, toxicity, warc)
+    balltree, chat, lexical, maintext, merkle, minhash, mixing, oracles, pieces, quality, suffixes, toxicity, warc)
 from kestrel.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -106,3 +106,9 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Merkle manifest of all documents; proofs of all rows, checked against rows changed on purpose."""
     return merkle.digest(merkle.manifest(table(spark, sf_dir, "documents")))
+
+
+@query("op13_lexical_search", oracles.LEXICAL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 best of all documents for every benchmark item."""
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
