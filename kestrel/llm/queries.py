@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kestrel.llm import (
-    balltree, chat, lexical, maintext, merkle, minhash, mixing, oracles, pieces, quality, suffixes, toxicity, warc)
+    balltree, chat, lexical, linequality, maintext, merkle, minhash, mixing, oracles, pieces, quality, suffixes, toxicity, warc)
 from kestrel.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -108,6 +108,12 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.digest(merkle.manifest(table(spark, sf_dir, "documents")))
 
 
+@query("op12_line_quality")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents; labels of four fifths of the ids teach."""
+    return linequality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query("op13_lexical_search", oracles.LEXICAL)
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 10 best of all documents for every benchmark item."""
