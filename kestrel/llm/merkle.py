@@ -33,6 +33,8 @@ from kestrel.session import checkpoint_dir
 
 #: Fields of a leaf, in order.
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
+#: Groups whose roots and proofs (about 1 KB each) are sent to all tasks; more of them are joined by shuffle.
+GROUPS = 10_000
 #: Levels of a tree that one exchange builds: a task collects 2^STEP digests a block.
 STEP = 8
 
@@ -202,7 +204,9 @@ def proofs(leaves: DataFrame, group: str, row_id: str, keep: list[str] = ()) ->
     up = high.join(root, "g").select(
         F.col("_g").alias("g"), F.col("digest").alias("subroot"), F.col("idx").alias("g_idx"), F.col("n").alias("g_n"),
         F.col("depth").alias("g_depth"), F.col("segment").alias("g_segment"), "root")
-    return low.drop("level").join(_saved(up), "g")
+    up = _saved(up)
+    # few groups hold many rows each: those must not meet by group
+    return low.drop("level").join(F.broadcast(up) if up.count() <= GROUPS else up, "g")
 
 
 def manifest(docs: DataFrame, group: str = "lang", row_id: str = "doc_id", fields: tuple[str, ...] = FIELDS,
