@@ -10,7 +10,7 @@ operator per spec.  "Prior" aggregates exclude the current row; ties in
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from kestrel.functions.parse import safe_ratio
@@ -223,8 +223,8 @@ def _session_day_derived() -> list[dict[str, Column]]:
     return [d1, d2]
 
 
-def _moving_avg_windows() -> dict[str, Column]:
-    w = wc()
+def moving_avg_windows(w: WindowSpec) -> dict[str, Column]:
+    """Means over the rows before, in the order of ``w``."""
     out = {}
     for n in MOVING_AVG_N:
         fr = last_n(w, n)
@@ -234,6 +234,10 @@ def _moving_avg_windows() -> dict[str, Column]:
     return out
 
 
+def _moving_avg_windows() -> dict[str, Column]:
+    return moving_avg_windows(wc())
+
+
 def _moving_avg_derived() -> list[dict[str, Column]]:
     return [{"amt_momentum": F.coalesce(F.col("amt_avg_5"), F.lit(0.0))
              - F.coalesce(F.col("amt_avg_50"), F.lit(0.0))}]
@@ -297,24 +301,32 @@ ALL_BLOCKS = ("counts", "lag", "amount", "session_day", "markov", "moving_avg",
 _NEEDS_INDEX = ("amount", "session_day", "feedback")
 
 
+def derived_columns(blocks: tuple[str, ...]) -> list[dict[str, Column]]:
+    """Per-row projections over the window columns of ``blocks``, to be applied in order."""
+    derived: list[dict[str, Column]] = []
+    if "counts" not in blocks and any(b in blocks for b in _NEEDS_INDEX):
+        derived += _index_derived()
+    if "markov" in blocks and "lag" not in blocks:
+        derived.append({"prev_mcc_code_i": F.coalesce(F.col("_lag_mcc"), F.lit(-1))})
+    for b in ALL_BLOCKS:
+        if b in blocks and b in _BLOCKS:
+            derived += _BLOCKS[b][1]()
+    return derived
+
+
 def customer_features(tl: DataFrame, blocks: tuple[str, ...] = ALL_BLOCKS) -> DataFrame:
     """Customer block (W, F): one exchange on ``customer_id``, one Sort + Window
     per distinct window spec, then per-row projections."""
     wins: dict[str, Column] = {}
-    derived: list[dict[str, Column]] = []
     if "counts" not in blocks and any(b in blocks for b in _NEEDS_INDEX):
         wins.update(_index_windows())
-        derived += _index_derived()
     if "markov" in blocks and "lag" not in blocks:
         wins["_lag_mcc"] = F.lag("mcc_code_i", 1).over(wc())
-        derived.append({"prev_mcc_code_i": F.coalesce(F.col("_lag_mcc"), F.lit(-1))})
     for b in ALL_BLOCKS:
         if b in blocks and b in _BLOCKS:
-            w, d = _BLOCKS[b]
-            wins.update(w())
-            derived += d()
+            wins.update(_BLOCKS[b][0]())
     df = tl.withColumns(wins)
-    for d in derived:
+    for d in derived_columns(blocks):
         df = df.withColumns(d)
     if "markov" in blocks:
         df = df.withColumns(_markov_windows())

@@ -59,15 +59,21 @@ def customer_profiles(pretrain: DataFrame) -> DataFrame:
     q_idx = F.round((n - 1) * PROFILE_QUANTILE, 0) + 1
     r = F.col("_r")
     prof = ranked.groupBy("customer_id").agg(
-        F.count(F.lit(1)).alias("profile_txn_count"),
-        F.avg(amt).alias("profile_amt_mean"),
-        F.stddev_samp(amt).alias("_std"),
+        *profile_aggregates(),
         F.avg(F.when((r == lo) | (r == hi), amt)).alias("profile_amt_median"),
-        F.max(amt).alias("profile_amt_max"),
-        F.max(F.when(r == q_idx, amt)).alias("profile_amt_p95"),
-        F.countDistinct("mcc_code_i").alias("profile_n_unique_mcc"),
-        F.avg("hour").alias("_hour"),
-    )
+        F.max(F.when(r == q_idx, amt)).alias("profile_amt_p95"))
+    return profile_columns(prof)
+
+
+def profile_aggregates() -> list[Column]:
+    """The profile's aggregates that need no order."""
+    amt = F.col("amt")
+    return [F.count(F.lit(1)).alias("profile_txn_count"), F.avg(amt).alias("profile_amt_mean"),
+            F.stddev_samp(amt).alias("_std"), F.max(amt).alias("profile_amt_max"),
+            F.countDistinct("mcc_code_i").alias("profile_n_unique_mcc"), F.avg("hour").alias("_hour")]
+
+
+def profile_columns(prof: DataFrame) -> DataFrame:
     return prof.select(
         "customer_id", "profile_txn_count", "profile_amt_mean",
         F.coalesce("_std", F.lit(0.0)).alias("profile_amt_std"),

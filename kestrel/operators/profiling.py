@@ -360,13 +360,12 @@ def sharing_precedes_label(tl: DataFrame) -> DataFrame:
     pc = v.groupBy("device_fp_i", "customer_id").agg(
         F.min(F.struct("ets", "event_id")).alias("_first"),
         F.min(F.when(is_red, F.col("ets"))).alias("first_red"))
-    w = Window.partitionBy("device_fp_i").orderBy("_first")
-    pc = pc.withColumns({"_r": F.row_number().over(w),
-                         "_n": F.count(F.lit(1)).over(Window.partitionBy("device_fp_i"))})
-    firsts = pc.groupBy("device_fp_i").agg(
-        F.min(F.when(F.col("_r") == 1, F.col("_first.ets"))).alias("_t1"),
-        F.min(F.when(F.col("_r") == 2, F.col("_first.ets"))).alias("_t2"))
-    j = pc.filter((F.col("_n") >= 2) & F.col("first_red").isNotNull()).join(firsts, "device_fp_i")
-    other_first = F.when(F.col("_r") == 1, F.col("_t2")).otherwise(F.col("_t1"))
+    # the two smallest first uses of a device as two aggregates with partial minima
+    one = pc.groupBy("device_fp_i").agg(F.min(F.struct("_first", "customer_id")).alias("_a"), F.count(F.lit(1)).alias("_n"))
+    one = one.where(F.col("_n") >= 2)
+    rest = pc.join(one, "device_fp_i").where(~F.col("customer_id").eqNullSafe(F.col("_a.customer_id")))
+    two = rest.groupBy("device_fp_i").agg(F.min("_first.ets").alias("_t2"))
+    j = pc.filter(F.col("first_red").isNotNull()).join(one, "device_fp_i").join(two, "device_fp_i")
+    other_first = F.when(F.col("customer_id").eqNullSafe(F.col("_a.customer_id")), F.col("_t2")).otherwise(F.col("_a._first.ets"))
     j = j.withColumn("_prec", (other_first < F.col("first_red")).cast("double"))
     return j.agg(F.count(F.lit(1)).alias("n_assoc"), (100.0 * F.avg("_prec")).alias("pct_sharing_first"))

@@ -38,5 +38,5 @@ def register(name: str, oracle: str | None = None):
 def _load_all() -> None:
     # Importing the query modules fills the registries.
     from kestrel.plans import (  # noqa: F401
-        queries_eda, queries_features, queries_models, queries_scoring, queries_seq,
+        queries_eda, queries_features, queries_hot, queries_models, queries_scoring, queries_seq,
         queries_timeline)

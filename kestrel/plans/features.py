@@ -27,9 +27,11 @@ from kestrel.functions.parse import (amount_columns, calendar_columns, null_patt
                                      risk_flag_columns)
 from kestrel.operators import customer as C
 from kestrel.operators.device import device_features
-from kestrel.operators.priors import attach_priors, attach_profiles, customer_profiles, prior_source
+from kestrel.operators.priors import attach_priors, attach_profiles, prior_source
+from kestrel.operators.hot import FRAME_ROWS, customer_split, profile_block, rolling_split
 from kestrel.operators.rolling import profile_ratio_columns, rolling_features
 from kestrel.operators.sampling import training_columns
+from kestrel.operators.split import by_rows
 from kestrel.sources.sinks import stage
 from kestrel.sources.timeline import dedup_by_event
 
@@ -54,12 +56,18 @@ def interaction_columns() -> dict:
 _WINDOW_INPUTS = {"hour", "event_date", "amt_abs"}
 
 
-def timeline_block(tl: DataFrame, rolling_method: str = "frame") -> DataFrame:
-    """Customer (W, F) and rolling (R) features, one customer partitioning."""
+def timeline_block(tl: DataFrame, rolling_method: str = "frame", frame_rows: int = FRAME_ROWS) -> DataFrame:
+    """Customer (W, F) and rolling (R) features.
+
+    Customers of up to ``frame_rows`` rows share one customer partitioning; longer
+    ones, counted first, take the split plans of ``operators.hot``.
+    """
     late = {**calendar_columns(), **amount_columns(), **risk_flag_columns()}
     late = {k: v for k, v in late.items() if k not in _WINDOW_INPUTS and k in tl.columns}
-    df = C.customer_features(tl.drop(*late))
-    df = rolling_features(df, method=rolling_method, live=F.col("period") != "pretrain")
+    live = F.col("period") != "pretrain"
+    df = by_rows(tl.drop(*late), ["customer_id"], frame_rows,
+                 lambda d: rolling_features(C.customer_features(d), method=rolling_method, live=live),
+                 lambda d: rolling_split(customer_split(d, bucket_rows=frame_rows), live, frame_rows))
     return df.withColumns(late)
 
 
@@ -92,7 +100,7 @@ def build_features(tl: DataFrame, *, rolling_method: str = "frame", checkpoint:
     rows = timeline_block(tl, rolling_method).filter(F.col("is_train_sample") | F.col("is_test"))
     # the rows are partitioned by customer already: only the device columns move
     rows = cut(rows.join(dev, ["customer_id", "event_id"], "left").withColumns(interaction_columns()), checkpoint)
-    prof = customer_profiles(tl.filter(F.col("period") == "pretrain"))
+    prof = profile_block(tl.filter(F.col("period") == "pretrain"))
     rows = attach_profiles(rows, prof).withColumns(profile_ratio_columns())
     src = prior_source(tl) if prior_border == "default" else prior_source(tl, prior_border)
     rows = attach_priors(rows, src)

@@ -81,6 +81,7 @@ def r6(expr: str) -> str:
 #: The fixture's variants as replacements of raw columns (see ``kestrel.sources.fixture.vary``).
 VARIANTS = {
     "dense": "SELECT * REPLACE (CAST(floor(customer_id / 10.0) AS BIGINT) AS customer_id) FROM raw0",
+    "hot": "SELECT * REPLACE (CASE WHEN event_id % 3 = 0 THEN 1 ELSE customer_id END AS customer_id) FROM raw0",
     "bad": "SELECT * REPLACE (CASE WHEN event_id % 7 = 0 THEN 'bad' ELSE event_dttm END AS event_dttm) FROM raw0",
     "dup": "SELECT * FROM raw0 UNION ALL SELECT * REPLACE ('pretest' AS period) FROM raw0 WHERE period = 'test'",
 }

@@ -6,8 +6,7 @@ from pyspark.sql import functions as F
 
 from kestrel.plans.catalog import register
 from kestrel.plans.oracle import on_variant, r6, with_base
-from kestrel.plans.velocity import (velocity_table,
-                                    velocity_table_split)
+from kestrel.plans.velocity import velocity_block, velocity_table, velocity_table_split
 from kestrel.sources.timeline import fixture_timeline
 
 # --------------------------------------------------------------------------
@@ -50,7 +49,7 @@ r AS (
 @register("velocity", VELOCITY_SQL)
 def q_velocity(spark, sf_dir):
     """Flagship per-event velocity table; customers above the task bound are split by time."""
-    return velocity_table_split(fixture_timeline(spark, sf_dir))
+    return velocity_block(fixture_timeline(spark, sf_dir))
 
 
 @register("velocity_split", VELOCITY_SQL)

@@ -97,3 +97,12 @@ def velocity_table_split(tl: DataFrame, bucket_rows: int | None = None,
         since(F.col("_t"), F.col("_prev_t")).alias("sec_since_prev_event"),
         "cnt_1h", "cnt_24h", F.col("_s24").cast("double").alias("amt_sum_24h"),
         safe_ratio(c1.cast("double"), c24, c24 > 0).alias("burst_ratio_1h_24h"))
+
+
+def velocity_block(tl: DataFrame, bucket_rows: int | None = None) -> DataFrame:
+    """Customers of up to ``bucket_rows`` rows by plain windows, the others by the split stream."""
+    from kestrel.operators.prefix import BUCKET_ROWS
+    from kestrel.operators.split import by_rows
+    rows = bucket_rows or BUCKET_ROWS
+    slim = tl.select("customer_id", "event_id", "period", "event_ts", "ets", "amt_abs", "mcc_code_i")
+    return by_rows(slim, ["customer_id"], rows, velocity_table, lambda df: velocity_table_split(df, rows))

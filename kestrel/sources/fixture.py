@@ -85,9 +85,12 @@ def _null_unless(cond: Column, value: Column) -> Column:
 
 
 def vary(raw: DataFrame, variant: str | None) -> DataFrame:
-    """Harder inputs: ``dense`` customers, ``bad`` times, ``dup`` licate events of two periods."""
+    """Harder inputs: ``dense`` customers, ``bad`` times, ``dup`` licate events of two periods,
+    a ``hot`` customer with a third of all events."""
     if variant == "dense":
         return raw.withColumn("customer_id", F.floor(F.col("customer_id") / 10))
+    if variant == "hot":
+        return raw.withColumn("customer_id", F.when(F.col("event_id") % 3 == 0, F.lit(1)).otherwise(F.col("customer_id")))
     if variant == "bad":
         return raw.withColumn("event_dttm", F.when(F.col("event_id") % 7 == 0, F.lit("bad"))
                               .otherwise(F.col("event_dttm")))

@@ -11,7 +11,9 @@ from conftest import SF001
 @pytest.fixture(scope="module")
 def tl(spark):
     from kestrel.sources.timeline import fixture_timeline
-    return fixture_timeline(spark, SF001).cache()
+    df = fixture_timeline(spark, SF001).cache()
+    yield df
+    df.unpersist()  # other modules look at plans over the same rows
 
 
 def _hot(tl):

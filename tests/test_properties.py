@@ -32,6 +32,7 @@ def test_truncation_does_not_change_the_past(spark):
     full = _rows(_feats(tl).join(tl.filter(F.col("ets") <= cut).select("event_id"), "event_id"))
     part = _rows(_feats(tl.filter(F.col("ets") <= cut)))
     assert full.keys() == part.keys() and len(full) > 100
+    tl.unpersist()
     assert full == part
 
 
