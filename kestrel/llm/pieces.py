@@ -9,8 +9,9 @@ another character, so no merge crosses a unit (checked when the model loads).
 Units of up to ``WIDE`` characters are merged many at a time: every row of a
 matrix of symbols pops the head of its own agenda in each step, which is the
 order of the scalar agenda row by row.  Longer units use a heap.  Every unit
-not yet known to the worker is compared with the sentencepiece library, one
-call per Arrow batch; a difference ends the job.
+not yet known to the worker is encoded by the sentencepiece library too, and its ids are
+decoded by it, one call each per group of texts; a difference ends the job.  Units are decoded from their
+ids; only a decoded text that is not the unit itself has to be kept.
 
 Nulls and edge cases: a null or empty text has no ids and decodes to the empty
 text.  Characters that the vocabulary lacks become byte pieces.  Texts of any
@@ -22,6 +23,7 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import itertools
 import re
 from collections.abc import Iterator
 
@@ -38,9 +40,9 @@ MARK = "▁"
 WIDE = 48
 #: Units that a worker remembers in each of two generations; a unit used in the
 #: younger one outlives the older.
-REMEMBERED = 150_000
+REMEMBERED = 300_000
 #: Bytes of text encoded at a time, at about.
-GROUP = 1 << 20
+GROUP = 1 << 21
 _CHAR = 1 << 16  #: symbols from here on are characters without a piece of their own
 _NONE = np.int64(1) << 40
 _UNIT = re.compile(f"{MARK}+[^{MARK}]*")
@@ -65,7 +67,9 @@ class Vocabulary:
         byte = {int(self.text[i][3:5], 16): i for i in range(n) if sp.is_byte(i)}
         self.byte_id = [byte.get(b, self.unknown) for b in range(256)]
         self.byte_of = {i: b for b, i in byte.items()}
-        self.last_special = max([self.unknown, *self.control, *self.byte_of])
+        #: ids whose text depends on their neighbours; a byte under 128 is a character by itself
+        self.open = {self.unknown, *self.control, *(i for b, i in byte.items() if b >= 128)}
+        self.shown = [chr(self.byte_of[i]) if i in self.byte_of else t.replace(MARK, " ") for i, t in enumerate(self.text)]
         order = {s: r for r, s in enumerate(sorted({sp.get_score(i) for i in plain}, reverse=True))}
         self.symbol = {}  # character -> symbol
         for t in self.id:
@@ -83,8 +87,12 @@ class Vocabulary:
         self.code = np.arange(0x110000, dtype=np.int32) + _CHAR
         for c, s in self.symbol.items():
             self.code[ord(c)] = s
-        self.known: dict[str, tuple[int, str, str]] = {}
-        self.older: dict[str, tuple[int, str, str]] = {}
+        #: unit -> its ids, comma between them; the text of a unit's ids where it is not the unit
+        self.known: dict[str, str] = {}
+        self.older: dict[str, str] = {}
+        self.changed: dict[str, str] = {}
+        self.decimal = [str(i) for i in range(n)]
+        self.shown_size = np.array([len(t) for t in self.shown], dtype=np.int64)
 
     def _symbol(self, t: str) -> int | None:
         return self.symbol.get(t) if len(t) == 1 else self.id.get(t)
@@ -221,7 +229,7 @@ class Vocabulary:
         return "".join(out).replace(MARK, " ")
 
     def decode(self, ids: list[int]) -> str:
-        t = self.pieces_text(ids)
+        t = "".join(map(self.shown.__getitem__, ids)) if self.open.isdisjoint(ids) else self.pieces_text(ids)
         return t[1:] if t.startswith(" ") else t
 
     def learn(self, units: set[str], check: bool) -> None:
@@ -235,16 +243,48 @@ class Vocabulary:
                     self.known[u] = self.older[u]
             new = [u for u in new if u not in self.known]
         ids = self.encode_units(new)
+        if not new:
+            return
+        texts = self._texts(new, ids)
         if check:
             rows = [k for k, u in enumerate(new) if u != MARK]
             theirs = self.library.encode([new[k].replace(MARK, " ")[1:] for k in rows], num_threads=1)
             bad = [new[k] for k, x in zip(rows, theirs) if ids[k] != x]
+            if self.library.decode(list(itertools.chain.from_iterable(ids))) != "".join(texts)[1:]:
+                bad += [u for u, x, t in zip(new, ids, texts) if self.library.decode(x) != t[1:]] or new
             if bad:
                 raise ValueError(f"{len(bad)} units differ from the sentencepiece library: {bad[:3]!r}")
-        for u, x in zip(new, ids):
-            # a piece that is no byte stands for its own characters
-            text = u.replace(MARK, " ") if min(x) > self.last_special else self.pieces_text(x)
-            self.known[u] = (len(x), ",".join(map(str, x)), text)
+        decimal = self.decimal.__getitem__
+        self.known.update(zip(new, [",".join(map(decimal, x)) for x in ids]))
+        for u, t in zip(new, texts):
+            if t != u.replace(MARK, " "):
+                if len(self.changed) > REMEMBERED:
+                    self.known = {k: v for k, v in self.known.items() if k in units}
+                    self.older, self.changed = {}, {k: v for k, v in self.changed.items() if k in self.known}
+                self.changed[u] = t
+
+    def _texts(self, units: list[str], ids: list[list[int]]) -> list[str]:
+        """Text of every unit's ids, its first mark as a space; all plain units in one look-up."""
+        plain = [k for k, x in enumerate(ids) if self.open.isdisjoint(x)]
+        flat = np.fromiter(itertools.chain.from_iterable(ids[k] for k in plain), np.int64)
+        whole = "".join(map(self.shown.__getitem__, flat.tolist()))
+        first = np.concatenate([[0], np.cumsum([len(ids[k]) for k in plain])]).astype(np.int64)
+        at = np.concatenate([[0], np.cumsum(self.shown_size[flat])])[first].tolist()
+        out: list = [None] * len(units)
+        for k, a, b in zip(plain, at, at[1:]):
+            out[k] = whole[a:b]
+        return [self.pieces_text(ids[k]) if t is None else t for k, t in enumerate(out)]
+
+    def ids_of(self, units: list[str]) -> str:
+        """Ids of a text's units, all of them known, comma between them."""
+        known = self.known
+        return ",".join([known[u] for u in units])
+
+    def text_of(self, units: list[str]) -> str:
+        """Text of the ids of these units."""
+        if self.changed.keys().isdisjoint(units):
+            return "".join(units).replace(MARK, " ")[1:]
+        return "".join([self.changed.get(u) or u.replace(MARK, " ") for u in units])[1:]
 
 
 _loaded: dict[str, Vocabulary] = {}
@@ -277,11 +317,10 @@ def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", t
             for a, b in chunks(pc.fill_null(pc.binary_length(column), 0).to_pylist(), GROUP):
                 cut = [v.units(t or "") for t in column.slice(a, b - a).to_pylist()]
                 v.learn({u for units in cut for u in units}, check)
-                known, rows = v.known, []
+                rows = []
                 for units in cut:
-                    got = [known[u] for u in units]
-                    ids, text = ",".join([g[1] for g in got]), "".join([g[2] for g in got])[1:]
-                    n = sum([g[0] for g in got])
+                    ids, text = v.ids_of(units), v.text_of(units)
+                    n = ids.count(",") + 1 if ids else 0
                     if digest:
                         rows.append((n, hashlib.sha256(ids.encode()).hexdigest(),
                                      hashlib.sha256(text.encode("utf-8")).hexdigest()))

@@ -58,3 +58,28 @@ def test_memory_of_units_is_bounded(voc, monkeypatch):
     for k in range(20):
         voc.learn({f"▁w{k}x{j}" for j in range(30)}, True)
         assert len(voc.known) <= 110 and f"▁w{k}x3" in voc.known
+
+
+def test_differences_from_the_library_end_the_job(voc, monkeypatch):
+    """A wrong encoding and a wrong decoding are both found, unit by unit."""
+    fresh = pieces.Vocabulary(MODEL)
+    monkeypatch.setattr(fresh, "_texts", lambda units, ids: [" other" for _ in units])
+    with pytest.raises(ValueError, match="differ"):
+        fresh.learn({"▁decoded"}, True)
+    fresh = pieces.Vocabulary(MODEL)
+    monkeypatch.setattr(fresh, "encode_units", lambda units: [[300] for _ in units])
+    with pytest.raises(ValueError, match="differ"):
+        fresh.learn({"▁encoded"}, True)
+    fresh.learn({"▁encoded"}, False)
+    assert fresh.ids_of(["▁encoded"] * 2) == "300,300" and fresh.text_of(["▁encoded"]) == fresh.pieces_text([300])[1:]
+
+
+def test_units_that_decode_to_something_else(voc, monkeypatch):
+    """Characters that no piece has come back from their bytes; a control piece has no text."""
+    monkeypatch.setattr(voc, "encode_units", lambda units: [[1, 300] if u == "▁s" else pieces.Vocabulary.encode_units(voc, [u])[0]
+                                                            for u in units])
+    voc.learn({"▁s", "▁漢🙂", "▁a\n"}, False)
+    assert voc.changed["▁s"] == voc.pieces_text([1, 300]) and "▁漢🙂" not in voc.changed
+    assert voc.text_of(["▁a\n", "▁s", "▁漢🙂"]) == "a\n" + voc.changed["▁s"] + " 漢🙂"
+    voc.known.clear()
+    voc.changed.clear()
