@@ -2,7 +2,9 @@
 
 Environment: ``BENCH_SF_DIR`` (default /root/testdata/sf0.1), ``BENCH_CPUS``
 (default 8).  Each query is executed in full with the ``noop`` sink (no
-collect).  Shuffle bytes and spill per query come from Spark's event log,
+collect).  Beside the headline blocks (whose sum is the metric) it reports the
+split plans on a timeline where one customer has a third of all events, and
+how the blocks' seconds grow from the next smaller tables (``growth``: power of the events).  Shuffle bytes and spill per query come from Spark's event log,
 written to a fresh scratch folder (no UI, no REST).
 """
 
@@ -10,6 +12,7 @@ from __future__ import annotations
 
 import glob
 import json
+import math
 import os
 import sys
 import tempfile
@@ -28,11 +31,11 @@ def _blocks():
     from kestrel.operators.rolling import rolling_features
     from kestrel.operators.scoring import average_precision, average_rank
     from kestrel.plans.features import build_features
-    from kestrel.plans.velocity import velocity_table, velocity_table_split
+    from kestrel.plans.velocity import velocity_block, velocity_table, velocity_table_split
 
     live = F.col("period") != "pretrain"
     return {
-        "velocity": lambda tl: velocity_table_split(tl),
+        "velocity": lambda tl: velocity_block(tl),
         "velocity_split": lambda tl: velocity_table_split(tl),
         "velocity_windows": lambda tl: velocity_table(tl),
         "customer_block": lambda tl: C.customer_features(tl),
@@ -51,6 +54,42 @@ def _blocks():
     }
 
 
+def _hot_blocks():
+    """Split plans over the ``hot`` variant, customers of over 5,000 events split."""
+    from pyspark.sql import functions as F
+
+    from kestrel.operators import hot
+    from kestrel.plans.velocity import velocity_block
+
+    live = F.col("period") != "pretrain"
+    return {
+        "velocity_hot": lambda tl: velocity_block(tl, 5_000),
+        "customer_hot": lambda tl: hot.customer_block(tl, bucket_rows=5_000),
+        "rolling_hot": lambda tl: hot.rolling_block(hot.customer_block(tl, ("lag",), 5_000), live=live, frame_rows=5_000),
+    }
+
+
+def _run(spark, blocks, timeline, label=""):
+    secs = {}
+    for name, fn in blocks.items():
+        spark.sparkContext.setJobGroup(name + label, name + label)
+        t0 = time.time()
+        fn(timeline()).write.format("noop").mode("overwrite").save()
+        secs[name] = round(time.time() - t0, 3)
+        print(f"[bench] {name}{label}: {secs[name]}s", file=sys.stderr, flush=True)
+    return secs
+
+
+def _smaller(sf_dir: str) -> str | None:
+    """The tables of a tenth of the size, where there are any."""
+    top, name = os.path.split(sf_dir)
+    try:
+        path = os.path.join(top, f"sf{float(name.removeprefix('sf')) / 10:g}")
+    except ValueError:
+        return None
+    return path if os.path.isdir(path) else None
+
+
 def _metrics_from_log(log_dir: str) -> dict[str, dict[str, int]]:
     stage_group: dict[int, str] = {}
     out: dict[str, dict[str, int]] = {}
@@ -93,16 +132,18 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     from kestrel.sources.timeline import fixture_timeline
 
-    tl = fixture_timeline(spark, sf_dir)
-    n_events = tl.count()  # warm-up (JVM, codegen) and the event count
-    secs = {}
-    for name, fn in _blocks().items():
-        spark.sparkContext.setJobGroup(name, name)
-        t0 = time.time()
-        df = fn(fixture_timeline(spark, sf_dir))
-        df.write.format("noop").mode("overwrite").save()
-        secs[name] = round(time.time() - t0, 3)
-        print(f"[bench] {name}: {secs[name]}s", file=sys.stderr, flush=True)
+    blocks = _blocks()
+    n_events = fixture_timeline(spark, sf_dir).count()
+    small = _smaller(sf_dir)
+    growth = {}
+    if small:  # also the warm-up (JVM, codegen) of every block
+        n_small = fixture_timeline(spark, small).count()
+        _run(spark, blocks, lambda: fixture_timeline(spark, small), " (warm-up)")
+        growth = _run(spark, blocks, lambda: fixture_timeline(spark, small), " (small)")
+    secs = _run(spark, blocks, lambda: fixture_timeline(spark, sf_dir))
+    growth = {k: round(math.log(max(secs[k], 0.001) / max(v, 0.001)) / math.log(n_events / n_small), 3)
+              for k, v in growth.items()} if small and n_events > n_small else {}
+    hot = _run(spark, _hot_blocks(), lambda: fixture_timeline(spark, sf_dir, by_customer=False, variant="hot"))
     spark.sparkContext.setJobGroup("rows", "rows")
     spark.stop()
     metrics = _metrics_from_log(log_dir)
@@ -115,7 +156,7 @@ def main() -> None:
         "events_per_sec": {k: round(n_events / v, 1) for k, v in secs.items() if v > 0},
         "shuffle_bytes": {k: v["shuffle_bytes"] for k, v in metrics.items() if k in secs},
         "spill_bytes": {k: v["spill_bytes"] for k, v in metrics.items() if k in secs},
-        "cpus": int(cpus),
+        "growth": growth, "hot_customer_sec": hot, "cpus": int(cpus),
     }))
 
 

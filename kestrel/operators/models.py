@@ -12,7 +12,7 @@ is distributed; nothing is converted to pandas.
 
 from __future__ import annotations
 
-from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler, Word2Vec
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -22,13 +22,14 @@ from kestrel.operators.priors import fill_with_median
 from kestrel.operators.sampling import red_given_susp_weight
 from kestrel.operators.scoring import logit, product_score
 
-# GBT defaults scaled for local runs (the source used up to
-# 5000 iterations on a GPU); refit uses max(300, best) there, max(min_iter, best) here.
-DEFAULT_PARAMS = {"maxIter": 20, "maxDepth": 4, "stepSize": 0.1, "seed": 42}
-#: Least number of trees of a refit (the source uses 300 at its full size).
-REFIT_LEAST = 10
-RG_PARAMS = {"maxIter": 20, "maxDepth": 3, "stepSize": 0.05, "seed": 42}
+# Boosting limits of the source; early stopping ends a fit long before.
+MAX_TREES = 5000
+#: Least number of trees of a refit.
+REFIT_LEAST = 300
+DEFAULT_PARAMS = {"maxIter": MAX_TREES, "maxDepth": 4, "stepSize": 0.1, "seed": 42}
+RG_PARAMS = {"maxIter": MAX_TREES, "maxDepth": 3, "stepSize": 0.05, "seed": 42}
 
+# Column groups of the feature frame.
 CAT_COLS = ["event_type_nm", "event_desc", "channel_indicator_type", "channel_indicator_sub_type",
             "currency_iso_cd", "mcc_code_i", "pos_cd", "timezone", "operating_system_type",
             "phone_voip_call_state", "web_rdp_connection", "developer_tools_i", "compromised_i",
@@ -94,24 +95,35 @@ def fit_gbt(df: DataFrame, label: str, weight: str | None, val_col: str | None,
 
 def refit_gbt(df: DataFrame, label: str, weight: str | None, fitted, params: dict | None = None,
               features: str = "features", least: int = REFIT_LEAST):
-    """M2: refit on all rows with ``max(least, best)`` trees, best = the early-stopped size of ``fitted``."""
-    size = max(least, fitted.getNumTrees)
+    """M2: refit on all rows with ``max(least, best)`` trees, best = the early-stopped size of ``fitted`` (a model or a number)."""
+    size = max(least, fitted if isinstance(fitted, int) else fitted.getNumTrees)
     return fit_gbt(df, label, weight, None, dict(params or {}, maxIter=size), features)
 
 
-def fit_family(df: DataFrame, val_col: str = "is_val") -> dict:
-    """M1, M3: MAIN, RECENT, SUSP, RED-given-SUSP and FEEDBACK models."""
+def fit_family(df: DataFrame, val_col: str = "is_val", trees: int = MAX_TREES) -> dict:
+    """M1, M3: MAIN, RECENT, SUSP, RED-given-SUSP and FEEDBACK models of at most ``trees`` trees."""
+    p = {"maxIter": trees}
     lab = df.filter(F.col("train_target_raw") != -1).withColumn("w_rg", red_given_susp_weight())
     susp = df.withColumn("y_susp", F.col("y_susp").cast("double"))
     return {
-        "main": fit_gbt(df, "target_bin", "w_main", val_col),
-        "recent": fit_gbt(df.filter(F.col("in_recent")), "target_bin", "w_main", val_col),
-        "susp": fit_gbt(susp, "y_susp", "w_susp", val_col),
-        "rg": fit_gbt(lab, "target_bin", "w_rg", val_col, RG_PARAMS),
-        "fb": fit_gbt(df, "target_bin", "w_main", val_col, None, "features_fb"),
+        "main": fit_gbt(df, "target_bin", "w_main", val_col, p),
+        "recent": fit_gbt(df.filter(F.col("in_recent")), "target_bin", "w_main", val_col, p),
+        "susp": fit_gbt(susp, "y_susp", "w_susp", val_col, p),
+        "rg": fit_gbt(lab, "target_bin", "w_rg", val_col, dict(RG_PARAMS, **p)),
+        "fb": fit_gbt(df, "target_bin", "w_main", val_col, p, "features_fb"),
     }
 
 
+def save_family(models: dict, path: str) -> None:
+    """Fitted models under their names, to be scored or refitted by a later run."""
+    for name, model in models.items():
+        model.write().overwrite().save(f"{path}/{name}")
+
+
+def load_family(path: str, names: tuple[str, ...] = ("main", "recent", "susp", "rg", "fb")) -> dict:
+    return {name: GBTClassificationModel.load(f"{path}/{name}") for name in names}
+
+
 def score_family(models: dict, df: DataFrame) -> DataFrame:
     """M4, M5: logit scores of all models and the product score."""
     for name, model in models.items():

@@ -154,20 +154,33 @@ def with_halo(df: DataFrame, keys: list[str], index: str, n: int, carried: list[
     return both.withColumns(columns(w)).where("_own").drop("_hb", "_own")
 
 
-def by_rows(df: DataFrame, keys: list[str], limit: int, few: Callable[[DataFrame], DataFrame],
-            many: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """``few`` for keys of up to ``limit`` rows and ``many`` for the others, one plan a key.
+def long_keys(df: DataFrame, keys: list[str], limit: int) -> DataFrame | None:
+    """The keys of more than ``limit`` rows, as ``_long_<key>``; None if there are none.
 
-    Both plans must give the same rows; the limit is a bound on one task's work.
-    There are at most rows / limit long keys.  Without any, ``df`` goes through
-    ``few`` with its partitioning and nothing else.
+    There are at most rows / limit of them; only the key columns are read.
     """
     long = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit)
     long = long.select(*[F.col(k).alias(f"_long_{k}") for k in keys])
-    if long.isEmpty():
-        return few(df)
+    return None if long.isEmpty() else long
+
+
+def parted(df: DataFrame, keys: list[str], long: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of all other keys, and those of the long ones; a null key is a key."""
     cond = F.lit(True)
     for k in keys:
         cond = cond & df[k].eqNullSafe(long[f"_long_{k}"])
-    a, b = few(df.join(long, cond, "left_anti")), many(df.join(long, cond, "left_semi"))
-    return a.unionByName(b)
+    return df.join(long, cond, "left_anti"), df.join(long, cond, "left_semi")
+
+
+def by_rows(df: DataFrame, keys: list[str], limit: int, few: Callable[[DataFrame], DataFrame],
+            many: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``few`` for keys of up to ``limit`` rows and ``many`` for the others, one plan a key.
+
+    Both plans must give the same rows; the limit is a bound on one task's work.
+    Without long keys, ``df`` goes through ``few`` with its partitioning and nothing else.
+    """
+    long = long_keys(df, keys, limit)
+    if long is None:
+        return few(df)
+    short, rest = parted(df, keys, long)
+    return few(short).unionByName(many(rest))

@@ -2,10 +2,11 @@
 
 Exchange budget, in order:
 
-1. timeline: one hash exchange on ``customer_id`` (labels co-partitioned);
-2. customer block W/F and the rolling block R in that same partitioning
+1. timeline: labels joined by (customer, event), so that no customer meets in one task; staged
+   in buckets of ``customer_id`` with a folder for each period (one exchange), long customers apart;
+2. customer block W/F and the rolling block R read the buckets without an exchange
    (rolling counts only non-pretrain rows through conditional aggregates,
-   so no filter / re-shuffle is needed between them);
+   so no filter / re-shuffle is needed between them); long customers are split by time;
 3. device block D on a slim 12-column projection of every event (two-level
    prefix scan, partitioned by (device, hour bucket)), joined back to the
    sampled rows on ``event_id``;
@@ -31,8 +32,8 @@ from kestrel.operators.priors import attach_priors, attach_profiles, prior_sourc
 from kestrel.operators.hot import FRAME_ROWS, customer_split, profile_block, rolling_split
 from kestrel.operators.rolling import profile_ratio_columns, rolling_features
 from kestrel.operators.sampling import training_columns
-from kestrel.operators.split import by_rows
-from kestrel.sources.sinks import stage
+from kestrel.operators.split import by_rows, long_keys, parted
+from kestrel.sources.sinks import bucketed_stage, stage
 from kestrel.sources.timeline import dedup_by_event
 
 
@@ -62,13 +63,38 @@ def timeline_block(tl: DataFrame, rolling_method: str = "frame", frame_rows: int
     Customers of up to ``frame_rows`` rows share one customer partitioning; longer
     ones, counted first, take the split plans of ``operators.hot``.
     """
+    return by_rows(tl, ["customer_id"], frame_rows, lambda d: _short(d, rolling_method), lambda d: _long(d, frame_rows))
+
+
+def _without_late(tl: DataFrame, plan) -> DataFrame:
+    """``plan`` over the columns that windows read; the other per-row columns come after it."""
     late = {**calendar_columns(), **amount_columns(), **risk_flag_columns()}
     late = {k: v for k, v in late.items() if k not in _WINDOW_INPUTS and k in tl.columns}
-    live = F.col("period") != "pretrain"
-    df = by_rows(tl.drop(*late), ["customer_id"], frame_rows,
-                 lambda d: rolling_features(C.customer_features(d), method=rolling_method, live=live),
-                 lambda d: rolling_split(customer_split(d, bucket_rows=frame_rows), live, frame_rows))
-    return df.withColumns(late)
+    return plan(tl.drop(*late), F.col("period") != "pretrain").withColumns(late)
+
+
+def _short(tl: DataFrame, rolling_method: str) -> DataFrame:
+    return _without_late(tl, lambda d, live: rolling_features(C.customer_features(d), method=rolling_method, live=live))
+
+
+def _long(tl: DataFrame, rows: int) -> DataFrame:
+    return _without_late(tl, lambda d, live: rolling_split(customer_split(d, bucket_rows=rows), live, rows))
+
+
+def _customer_stage(tl: DataFrame, rolling_method: str, frame_rows: int) -> tuple[DataFrame, DataFrame]:
+    """The staged timeline, and the customer and rolling features read from it.
+
+    Customers of up to ``frame_rows`` rows are bucketed, so that their windows and profiles need no
+    further exchange; longer ones are staged without buckets and split by time.
+    """
+    key = ["customer_id"]
+    long = long_keys(tl, key, frame_rows)
+    if long is None:
+        tl = bucketed_stage(tl, "timeline", *key, "period")
+        return tl, _short(tl, rolling_method)
+    short, rest = parted(tl, key, long)
+    short, rest = bucketed_stage(short, "timeline", *key, "period"), stage(rest, "long", "period")
+    return short.unionByName(rest), _short(short, rolling_method).unionByName(_long(rest, frame_rows))
 
 
 def cut(df: DataFrame, enabled: bool) -> DataFrame:
@@ -95,9 +121,11 @@ def build_features(tl: DataFrame, *, rolling_method: str = "frame", checkpoint:
     if dedup:
         tl = dedup_by_event(tl)
     if checkpoint:
-        tl = stage(tl, "timeline")
+        tl, rows = _customer_stage(tl, rolling_method, FRAME_ROWS)
+    else:
+        rows = timeline_block(tl, rolling_method)
     dev = device_features(tl, scope=device_scope, materialize=False)
-    rows = timeline_block(tl, rolling_method).filter(F.col("is_train_sample") | F.col("is_test"))
+    rows = rows.filter(F.col("is_train_sample") | F.col("is_test"))
     # the rows are partitioned by customer already: only the device columns move
     rows = cut(rows.join(dev, ["customer_id", "event_id"], "left").withColumns(interaction_columns()), checkpoint)
     prof = profile_block(tl.filter(F.col("period") == "pretrain"))

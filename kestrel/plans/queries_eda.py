@@ -339,6 +339,12 @@ def q_merchant_signal(spark, sf_dir):
     return E.merchant_signal(_tr(spark, sf_dir))
 
 
+@register("merchant_signal_any", MERCHANT_SQL.replace("red / n > 3 *", "red / n > 1 *"))
+def q_merchant_signal_any(spark, sf_dir):
+    """G4 with factor 1: all event descriptions above the baseline (the fixture has none above 3x)."""
+    return E.merchant_signal(_tr(spark, sf_dir), factor=1.0)
+
+
 # G5 ---------------------------------------------------------------------------
 DEVCOV_SQL = with_base("SELECT period, cls, " + ", ".join([
     _i("count(*)", "n"), _d("100.0 * avg(CAST(device_fp_i <> -100100001 AS DOUBLE))", "pct_valid")])

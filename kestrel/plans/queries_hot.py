@@ -35,7 +35,7 @@ _BLOCKS = {
 def _block(name: str, sql: str, blocks: tuple[str, ...], variant: str):
     @register(f"{name}_{variant}", on_variant(sql, variant))
     def query(spark, sf_dir):
-        df = hot.customer_block(fixture_timeline(spark, sf_dir, variant=variant), blocks, LIMIT)
+        df = hot.customer_block(fixture_timeline(spark, sf_dir, by_customer=False, variant=variant), blocks, LIMIT)
         return df.select(*QUERIES[name](spark, sf_dir).columns)
     query.__doc__ = f"The {name} features where customers of over {LIMIT} events are split; {variant} variant."
 
@@ -49,7 +49,7 @@ def _rolling(variant: str):
     @register(f"rolling_split_{variant}", on_variant(QF.ROLLING_SQL, variant))
     def query(spark, sf_dir):
         live = F.col("period") != "pretrain"
-        df = hot.customer_block(fixture_timeline(spark, sf_dir, variant=variant), ("lag",), LIMIT)
+        df = hot.customer_block(fixture_timeline(spark, sf_dir, by_customer=False, variant=variant), ("lag",), LIMIT)
         df = hot.rolling_block(df, live=live, frame_rows=LIMIT)
         return df.filter(live).select("event_id", *QF._ROLL_COLS)
     query.__doc__ = f"R1-R7, linear and split for customers of over {LIMIT} events; {variant} variant."
@@ -69,7 +69,7 @@ def q_profile_hot(spark, sf_dir):
 @register("target_encoding_hot", on_variant(QT.TARGET_ENCODING_SQL, "hot"))
 def q_target_encoding_hot(spark, sf_dir):
     """F6 by split groups; hot variant."""
-    tl = fixture_timeline(spark, sf_dir, variant="hot").withColumn(
+    tl = fixture_timeline(spark, sf_dir, by_customer=False, variant="hot").withColumn(
         "y_red", (F.col("train_target_raw") == 1).cast("double"))
     df = hot.target_encoding_split(tl, "mcc_code_i", target="y_red", bucket_rows=LIMIT, name="te_mcc_code_i")
     return df.select("event_id", "te_mcc_code_i")
@@ -78,4 +78,4 @@ def q_target_encoding_hot(spark, sf_dir):
 @register("velocity_hot", on_variant(QT.VELOCITY_SQL, "hot"))
 def q_velocity_hot(spark, sf_dir):
     """The velocity table, each customer by its own plan; hot variant."""
-    return velocity_block(fixture_timeline(spark, sf_dir, variant="hot"), LIMIT)
+    return velocity_block(fixture_timeline(spark, sf_dir, by_customer=False, variant="hot"), LIMIT)

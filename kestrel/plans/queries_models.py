@@ -17,7 +17,7 @@ from kestrel.sources.timeline import fixture_timeline
 
 
 def _features(spark, sf_dir):
-    return build_features(fixture_timeline(spark, sf_dir))
+    return build_features(fixture_timeline(spark, sf_dir, by_customer=False))
 
 
 @register("features")
@@ -60,25 +60,37 @@ def q_features_checked(spark, sf_dir):
     return _features(spark, sf_dir).drop("event_ts", "event_date")
 
 
-def _model_frame(spark, sf_dir):
+#: Trees of the registered queries: enough to check that the parts fit together on the test tables.
+#: The operators' own defaults are the source's limits.
+TREES, LEAST = 20, 10
+
+
+def _prepared(spark, sf_dir):
+    """Sampled train and test rows, imputed by the training part and assembled; and the feature names."""
     from kestrel.operators.sampling import random_day_validation
     df = random_day_validation(_features(spark, sf_dir))
-    train = df.filter(F.col("is_train_sample") & (F.col("in_train_part") | F.col("is_val")))
-    cols = Mo.feature_columns(train, with_feedback=True)
-    prepared = Mo.prepare(train, cols, train_ref=train.filter(F.col("in_train_part")))
+    known = F.col("is_train_sample") & (F.col("in_train_part") | F.col("is_val"))
+    df = df.filter(known | F.col("is_test"))
+    cols = Mo.feature_columns(df, with_feedback=True)
+    prepared = Mo.prepare(df, cols, train_ref=df.filter(F.col("is_train_sample") & F.col("in_train_part")))
     prepared = prepared.withColumn("is_val", F.col("is_val").cast("boolean"))
     # boosting makes one pass per tree: train from a materialised frame
-    frame = cut(prepared.select("event_id", "customer_id", "train_target_raw", "target_bin", "in_recent",
-                                "w_main", "w_susp", "y_susp", "is_val", "features", "features_fb"), True)
+    frame = cut(prepared.select("event_id", "customer_id", "train_target_raw", "target_bin", "in_recent", "w_main", "w_susp",
+                                "y_susp", "is_val", "is_test", "is_train_sample", "features", "features_fb"), True)
     return frame, [c for c in cols if c not in Mo.FB_COLS]
 
 
+def _model_frame(spark, sf_dir):
+    frame, cols = _prepared(spark, sf_dir)
+    return frame.filter(F.col("is_train_sample")), cols
+
+
 @register("gbt_scores")
 def q_gbt_scores(spark, sf_dir):
     """The five weighted GBTs with early stopping, validation scores, the
     product score, the searched blend, and the injection of the feedback ranks."""
     df, _ = _model_frame(spark, sf_dir)
-    val = cut(Mo.score_family(Mo.fit_family(df), df.filter(F.col("is_val"))).drop("features", "features_fb"), True)
+    val = cut(Mo.score_family(Mo.fit_family(df, trees=TREES), df.filter(F.col("is_val"))).drop("features", "features_fb"), True)
     w, _ = S.search_blend(val, "target_bin", ["s_main", "s_recent", "s_prod"])
     val = val.withColumn("s_blend", S.linear_blend(list(w), [F.col("s_main"), F.col("s_recent"), F.col("s_prod")]))
     val = S.average_rank(S.average_rank(val, "s_blend", "r_cb"), "s_fb", "r_fb")
@@ -93,7 +105,7 @@ def q_gbt_scores(spark, sf_dir):
 def q_gbt_importance(spark, sf_dir):
     """M2 + M15: refit MAIN on all sampled rows with its early-stopped size, importance share by group."""
     df, cols = _model_frame(spark, sf_dir)
-    model = Mo.refit_gbt(df, "target_bin", "w_main", Mo.fit_gbt(df, "target_bin", "w_main", "is_val"))
+    model = Mo.refit_gbt(df, "target_bin", "w_main", Mo.fit_gbt(df, "target_bin", "w_main", "is_val", {"maxIter": TREES}), least=LEAST)
     rows = Mo.importance_by_group(model, cols)
     imp = spark.createDataFrame(rows, "feature string, grp string, importance double")
     tot = imp.agg(F.sum("importance").alias("_t"))
@@ -116,3 +128,49 @@ def q_w2v_embeddings(spark, sf_dir):
     return out.select("event_id", "customer_id",
                       F.array_join(F.transform("embedding", lambda x: F.round(x, 3).cast("string")),
                                    ",").alias("embedding"))
+
+
+@register("refit_run")
+def q_refit_run(spark, sf_dir):
+    """Entry C on fitted models (L2, M2-M6, M8-M11, M13, S7, S8, J8, J9): five models fitted and kept, blend and
+    alpha searched, customer vectors written and read, fifteen refits on the second-stage sample, submission."""
+    import uuid
+
+    from kestrel.operators import sequences as Q
+    from kestrel.plans.refit import first_stage, second_stage
+    from kestrel.session import checkpoint_dir
+    from kestrel.sources.fixture import labels_from_raw, raw_events
+    from kestrel.sources.sinks import write_embeddings
+    root = f"{checkpoint_dir(spark).rstrip('/')}/run-{uuid.uuid4().hex}"
+    frame, cols = _prepared(spark, sf_dir)
+    train, test = frame.filter(F.col("is_train_sample")), frame.filter(F.col("is_test"))
+    first_stage(train, root, cols, vector_size=8, trees=5)
+    raw = raw_events(spark, sf_dir)
+    write_embeddings(Mo.word2vec_embeddings(Q.last_n_sequences(Q.sequence_source(raw)), size=8), f"{root}/vectors")
+    return second_stage(spark, root, train, test, labels_from_raw(raw), test.select("event_id"), least=3)
+
+
+VECTORS_SQL = with_base("SELECT event_id, customer_id, " + ", ".join([
+    _i("coalesce(len(v.embedding), (SELECT max(len(embedding)) FROM embeddings))", "size"),
+    _d("coalesce(CAST(v.embedding[1] AS DOUBLE), 0)", "first"),
+    _d("coalesce(CAST(v.embedding[len(v.embedding)] AS DOUBLE), 0)", "last")])
+    + " FROM t LEFT JOIN embeddings v ON v.vec_id = t.customer_id WHERE period = 'test'")
+
+
+@register("vectors_joined", VECTORS_SQL)
+def q_vectors_joined(spark, sf_dir):
+    """S8 + Q8: the given vectors written as customers' vectors, read back and joined to the test events."""
+    import uuid
+
+    from kestrel.session import checkpoint_dir
+    from kestrel.sources.fixture import read_table
+    from kestrel.sources.sinks import read_embeddings, write_embeddings
+    path = f"{checkpoint_dir(spark).rstrip('/')}/vectors-{uuid.uuid4().hex}"
+    given = read_table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("customer_id"), "embedding")
+    write_embeddings(given, path)
+    size = given.agg(F.max(F.size("embedding"))).first()[0]
+    test = fixture_timeline(spark, sf_dir, by_customer=False).filter(F.col("period") == "test")
+    out = Mo.join_embeddings(test.select("event_id", "customer_id"), read_embeddings(spark, path), size)
+    return out.select("event_id", "customer_id", F.size("embedding").alias("size"),
+                      F.element_at("embedding", 1).cast("double").alias("first"),
+                      F.element_at("embedding", -1).cast("double").alias("last"))

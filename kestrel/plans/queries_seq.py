@@ -114,6 +114,23 @@ def q_subsequences(spark, sf_dir):
                     F.aggregate("etype_v1_mask", F.lit(0), lambda a, x: a + x).alias("mask_sum"))
 
 
+EPOCH_VIEWS_SQL = with_base("SELECT customer_id, " + ", ".join([
+    _i("epoch", "epoch"), _i("view", "view"), _i("st", "start"), "array_to_string(mcc_seq[st + 1 : st + 16], ',') AS mcc"]) + f"""
+FROM (SELECT customer_id, mcc_seq, epoch, view, CASE WHEN len(mcc_seq) > 16 THEN
+        CAST('0x' || substr(md5('{Q.SEED}:' || epoch || ':' || customer_id || ':' || view), 1, 8) AS BIGINT) % (len(mcc_seq) - 16)
+        ELSE 0 END AS st
+      FROM sq, (SELECT unnest(range(0, 3)) AS epoch), (SELECT unnest(range(1, 3)) AS view))
+""", SEQ_SRC)
+
+
+@register("epoch_views", EPOCH_VIEWS_SQL)
+def q_epoch_views(spark, sf_dir):
+    """Q3 by a counter-based generator: two random 16-long slices per customer in each of three passes."""
+    v = Q.epoch_views(_spark_seqs(spark, sf_dir), epochs=3, fields=["mcc"], sub_len=16)
+    return v.select("customer_id", "epoch", "view", "start",
+                    F.array_join(F.transform("mcc_seq", lambda x: x.cast("string")), ",").alias("mcc"))
+
+
 _views_at = SUBSEQ_SQL.rindex("\nFROM (SELECT customer_id,\n        et[")
 _views_from = SUBSEQ_SQL.rindex("SELECT customer_id, ", 0, _views_at)
 PADDING_SQL = (SUBSEQ_SQL[:_views_from] + """

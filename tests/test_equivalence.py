@@ -182,3 +182,51 @@ def test_many_reds_in_one_category(spark):
     tr = spark.range(3_000).selectExpr("cast(id % 7 AS int) AS mcc_code_i", "'RED' AS cls")
     got = {r["top_n"]: (r["cum_red"], round(r["share_pct"], 6)) for r in red_concentration(tr).collect()}
     assert got[1] == (429, 14.3) and got[50] == (3000, 100.0)
+
+
+def test_epoch_views_are_uniform_and_independent(spark):
+    """Starts fill their range evenly, and views, epochs and customers do not follow one another."""
+    from kestrel.operators import sequences as Q
+    n, room = 4000, 20
+    seqs = spark.range(n).select(F.col("id").alias("customer_id"), F.sequence(F.lit(0), F.lit(room + 9)).alias("mcc_seq"))
+    got = {(r["customer_id"], r["epoch"], r["view"]): r for r in Q.epoch_views(seqs, 2, fields=["mcc"], sub_len=10).collect()}
+    assert len(got) == 4 * n and all(r["mcc_seq"] == list(range(r["start"], r["start"] + 10)) for r in got.values())
+    starts = {k: np.array([got[(c, *k)]["start"] for c in range(n)]) for k in ((0, 1), (0, 2), (1, 1), (1, 2))}
+    for x in starts.values():
+        counts = np.bincount(x, minlength=room)
+        assert len(counts) == room and ((counts - n / room) ** 2).sum() / (n / room) < 45  # chi-square, 19 degrees
+        assert abs(np.corrcoef(x[1:], x[:-1])[0, 1]) < 0.07
+    for a in starts:
+        for b in starts:
+            if a < b:
+                assert abs(np.corrcoef(starts[a], starts[b])[0, 1]) < 0.07
+                assert len(set((starts[a] - starts[b]).tolist())) > room  # no constant shift
+    short = spark.createDataFrame([(1, [5, 6])], "customer_id long, mcc_seq array<int>")
+    assert {(r["start"], tuple(r["mcc_seq"])) for r in Q.epoch_views(short, 2, fields=["mcc"]).collect()} == {(0, (5, 6))}
+
+
+def test_production_sampling_hash(tl):
+    """L1: the kept negatives are those that xxHash64 of (event, customer, seed) picks, computed apart from Spark."""
+    import struct
+
+    import xxhash
+
+    from kestrel.sources import fixture
+    from kestrel.sources.timeline import SEED, sample_flags
+
+    def mixed(event, customer, seed):
+        h = xxhash.xxh64(struct.pack("<q", event), seed=42).intdigest()
+        h = xxhash.xxh64(struct.pack("<q", customer), seed=h).intdigest()
+        h = xxhash.xxh64(struct.pack("<i", seed), seed=h).intdigest()
+        return h - (1 << 64) if h >= 1 << 63 else h
+
+    base = tl.select("event_id", "customer_id", "period", "target", "event_ts")
+    rows = sample_flags(base, hash_kind="xxhash").collect()
+    border = fixture.NEG_SAMPLE_BORDER
+    for r in rows:
+        negative = r["period"] == "train" and r["target"] is None
+        late = str(r["event_ts"]) >= border
+        n, seed = (5, SEED) if late else (15, SEED + 17)
+        assert r["keep_green"] == (negative and mixed(r["event_id"], r["customer_id"], seed) % n == 0)
+    kept = sum(r["keep_green"] for r in rows)
+    assert 10 < kept < len(rows) / 4

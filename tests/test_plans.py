@@ -41,3 +41,19 @@ def test_scan_prunes_columns(spark):
     # the events scan reads only the columns the plan uses
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint," in p or \
         "event_id,ts,user_id" in p.replace(" ", "")
+
+
+def test_no_customer_exchange_after_the_stage(spark):
+    """Windows and profiles over the bucketed stage shuffle nothing by customer; a period reads its own folder."""
+    from pyspark.sql import functions as F
+
+    from kestrel.operators import customer as C
+    from kestrel.operators.priors import customer_profiles
+    from kestrel.sources.sinks import bucketed_stage
+    from kestrel.sources.timeline import fixture_timeline
+    tl = fixture_timeline(spark, SF001, by_customer=False)
+    staged = bucketed_stage(tl, "test", "customer_id", "period", 4)
+    assert staged.columns == tl.columns and staged.count() == tl.count()
+    assert "Exchange" not in _plan(C.customer_features(staged))
+    p = _plan(customer_profiles(staged.filter(F.col("period") == "pretrain")))
+    assert "Exchange hashpartitioning(customer_id" not in p and "PartitionFilters: [isnotnull(period" in p

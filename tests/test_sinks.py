@@ -16,9 +16,12 @@ def test_stage_config_embedding_roundtrip(spark):
     # an existing stage is reused unless forced
     sinks.write_stage(df.limit(1), p)
     assert spark.read.parquet(p).count() == 2
-    sinks.write_config(spark, {"best_w": [0.35, 0.0, 0.65], "alpha": 0.3}, os.path.join(d, "cfg"))
-    assert sinks.read_config(spark, os.path.join(d, "cfg"))["alpha"] == 0.3
+    cfg = sinks.RunConfig(0.35, 0.0, 0.65, 0.3, [42, 123], {"main": 7}, ["a", "b"], 8)
+    sinks.write_config(spark, cfg, os.path.join(d, "cfg"))
+    assert sinks.read_config(spark, os.path.join(d, "cfg")) == cfg
     sinks.write_embeddings(df, os.path.join(d, "emb"))
+    assert {r["customer_id"]: list(r["embedding"]) for r in sinks.read_embeddings(spark, os.path.join(d, "emb")).collect()} == {
+        1: [0.5, 1.5], 2: [2.0, 0.0]}
     assert spark.read.parquet(os.path.join(d, "emb")).schema["embedding"].dataType.simpleString() == "array<float>"
 
 
@@ -53,3 +56,40 @@ def test_stage_is_read_with_pruned_columns(spark):
     s = stage(spark.range(10).selectExpr("id", "id * 2 AS b", "'x' AS c"), "test")
     df = s.select("b")
     assert "ReadSchema: struct<b:bigint>" in df._jdf.queryExecution().executedPlan().toString() and df.count() == 10
+
+
+def test_unfinished_or_incomplete_config_is_an_error(spark):
+    from kestrel.sources import sinks
+    d = os.path.join(tempfile.mkdtemp(prefix="kestrel-cfg-"), "cfg")
+    with pytest.raises(FileNotFoundError):
+        sinks.read_config(spark, d)
+    sinks.write_config(spark, sinks.RunConfig(0.35, 0.0, 0.65, None, [42], {}, [], 8), d)
+    with pytest.raises(ValueError):
+        sinks.read_config(spark, d)
+
+
+def test_killed_stage_is_written_anew_and_a_finished_one_is_kept(spark):
+    """Kill and resume: a folder without _SUCCESS is no stage; inputs and parameters name the stage."""
+    from kestrel.sources import sinks
+    d = tempfile.mkdtemp(prefix="kestrel-cache-")
+    source = os.path.join(d, "in")
+    spark.range(10).write.parquet(source)
+    built = []
+
+    def run(params):
+        def build():
+            built.append(params)
+            return spark.read.parquet(source).selectExpr(f"id * {params['k']} AS x")
+        return sinks.cached_stage(spark, d, "times", [source], params, build)
+
+    def total(df):
+        return df.agg(F.sum("x")).first()[0]
+
+    path = f"{d}/times-{sinks.fingerprint(spark, [source], {'k': 2})}"
+    spark.range(1000).selectExpr("id AS x").write.parquet(path)  # what a killed run left
+    os.remove(os.path.join(path, "_SUCCESS"))
+    assert not sinks.stage_exists(spark, path) and total(run({"k": 2})) == 90 and len(built) == 1
+    assert total(run({"k": 2})) == 90 and len(built) == 1  # kept
+    assert total(run({"k": 3})) == 135 and len(built) == 2  # other parameters
+    spark.range(1).selectExpr("id + 100 AS id").write.mode("append").parquet(source)
+    assert total(run({"k": 2})) == 290 and len(built) == 3  # other inputs

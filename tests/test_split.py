@@ -102,3 +102,13 @@ def test_last_row_and_group_values_cross_borders(spark):
         assert got[t]["n"] == (len(before) or None) and got[t]["same"] == (len(same) or None)
         assert got[t]["late"] == (max(same) if same else None)
         assert (got[t]["prev"]["v"] if before else got[t]["prev"]) == (f"v{t - 1}" if before else None)
+
+
+def test_staged_build_with_and_without_long_customers(spark):
+    """The build's customer and rolling features are the same wherever the limit lies."""
+    from kestrel.plans.features import _customer_stage, timeline_block
+    from kestrel.sources.timeline import fixture_timeline
+    tl = fixture_timeline(spark, SF001, by_customer=False, variant="hot")
+    whole, rows = _customer_stage(tl, "frame", 100)
+    assert whole.count() == tl.count() and whole.columns == tl.columns
+    assert differences(timeline_block(tl), rows) == set()
