@@ -89,6 +89,10 @@ _SWAP, _CENSOR, _COLLAPSE, _KEEP_RUN, _JOIN, _SPLIT = 0.5, 2.0, 0.5, 2.0, 0.2, 2
 _PAIR, _NOISE = 2.0, 0.5  # one letter written twice; a mark at an end that is no letter
 _ANY = [(x, _CENSOR) for x in LETTERS[:26]]
 _MARKS = 32  # marks at a word's ends of which the tables are kept
+#: A stretch of letters that stand for themselves, none of them twice in a row.
+_STRETCH = re.compile(f"(?:([{LETTERS}])(?!\\1))+")
+#: Characters that a lattice has a choice for.
+_CHOICE = re.compile("[" + re.escape("".join(STANDS_FOR) + _CENSORED + _JOINTS) + "]")
 
 
 def trigram_counts(docs: DataFrame, text_col: str = "text") -> np.ndarray:
@@ -140,10 +144,16 @@ class Channel:
         ``keep``: every mark that may be a letter is one, and runs of two stay.
         """
         out: list[list[tuple[str, float]]] = []
-        solid = [i for i, c in enumerate(word) if c.isalnum()] or [len(word), -1]
-        first, last = (0, len(word)) if spaced else (solid[0], solid[-1])
+        first, last = 0, len(word)
+        if not spaced:
+            first = next((i for i, c in enumerate(word) if c.isalnum()), len(word))
+            last = next((i for i in range(len(word) - 1, -1, -1) if word[i].isalnum()), -1)
         i = 0
         while i < len(word):
+            if stretch := _STRETCH.match(word, i):  # no choice: one position
+                out.append([(stretch.group(), 0.0)])
+                i = stretch.end()
+                continue
             c, n = word[i], 1
             while i + n < len(word) and word[i + n] == c:
                 n += 1
@@ -186,6 +196,14 @@ class Channel:
 
     def _step(self, states: dict, x: str, more: float, after: dict) -> None:
         cost_of, classes = self.cost, [_CLASS_OF.get(c) or _class(c) for c in x]
+        if len(states) == 1 and not after:  # one path in, one path out
+            ((p, q), (total, path)), = states.items()
+            total += more
+            for k in classes:
+                total += cost_of[(p * _N + q) * _N + k]
+                p, q = q, k
+            after[p, q] = (total, (path, x) if x else path)
+            return
         for (p, q), (cost, path) in states.items():
             total = cost + more
             for k in classes:
@@ -220,6 +238,9 @@ class Channel:
                     self._step(states, x, more, after)
                 states = after
         if b == len(lattice):
+            if len(states) == 1:
+                (_, path), = states.values()
+                return self._text(path).strip()
             cost_of = self.cost
             path = min((v[0] + cost_of[(p * _N + q) * _N], i, v[1]) for i, ((p, q), v) in enumerate(states.items()))[2]
             return self._text(path).strip()
@@ -297,7 +318,7 @@ class Restorer:
     def _readings(self, u: str) -> set[str]:
         """The words of the cheapest path, the path that takes marks for letters, a word without
         marks itself, and what stands between marks."""
-        if not (any(c in STANDS_FOR or c in _CENSORED or c in _JOINTS for c in u) or _RUN.search(u)):
+        if not (_CHOICE.search(u) or _RUN.search(u)):
             return {u} - {""}
         out = set(self.channel.decode(u).split())
         if len(parts := [x for x in _BETWEEN.split(u) if x]) > 1:
@@ -474,12 +495,15 @@ class Scorer:
     def __init__(self, counts: np.ndarray, intercept: float | None, weights: dict[str, float]):
         self.restorer, self.intercept, self.weights = Restorer(counts), intercept, weights
         self.plain = {f[1:] for f in weights}
+        #: first three letters of the words that have a known feature
+        self.begins = {f[1:4] if f[0] == "=" else f[:3] for f in self.plain}
         self.known: dict[str, tuple[tuple[str, ...], ...]] = {}
 
     def _evidence(self, words: Iterable[str]) -> tuple[tuple[str, ...], ...]:
         """The known features of each word that has any."""
-        found = (tuple(f for f in features(w) if f in self.plain) for w in words)
-        return tuple(x for x in found if x)
+        near = [w for w in words if w[:3] in self.begins]
+        found = [tuple([f for f in features(w) if f in self.plain]) for w in near]
+        return tuple([x for x in found if x])
 
     def score(self, text: str | None) -> float:
         if self.intercept is None:
