@@ -51,6 +51,8 @@ SEED_LENGTH = LENGTH - MODULUS + 1
 #: Bytes of text a block, and fingerprints a name range, at about.
 BLOCK_BYTES = 4 << 20
 RANGE_NAMES = 2 << 20
+#: Bytes of documents that go back to Spark in one batch, at about.
+SLICE_BYTES = 1 << 20
 #: Bits of a sampled name beyond those that choose its range; a chance match only costs a check.
 NAME_BITS = 32
 
@@ -262,12 +264,29 @@ def _spans(starts: np.ndarray) -> list[list[int]]:
     return np.stack([starts[new], starts[last] + LENGTH], 1).tolist()
 
 
+def _repeats(b: Block, low: int, row: dict) -> np.ndarray:
+    """Starts of the windows that repeat an earlier one, from both rounds' bits."""
+    at = b.candidates(*_sampled_twice(b, low, row["marks"]))
+    _, marked, back = _flags(b.window_names(at), 0, row["later"])
+    repeat = np.ones(len(at), bool)
+    _, first = np.unique(back, return_index=True)
+    repeat[first] = marked if len(marked) else False
+    return at[repeat]
+
+
+def _without(own: np.ndarray, spans: list[list[int]]) -> bytes:
+    """The bytes outside the spans."""
+    cuts = [0, *(x for span in spans for x in span), len(own)]
+    return b"".join([own[x:y].tobytes() for x, y in zip(cuts[::2], cuts[1::2])])
+
+
 def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 carry: list[str] | None = None, real: bool = False) -> DataFrame:
+                 carry: list[str] | None = None, real: bool = False, texts: bool = False) -> DataFrame:
     """Per document: the columns of ``carry`` (the id), n_bytes, n_removed, n_spans, kept_sha256.
 
     real=True: carried columns in a struct ``row``, the removed spans (start, end in
-    bytes) and the bytes kept instead of their digest.
+    bytes) and the bytes kept instead of their digest.  texts=True: the carried columns
+    in ``row`` and the kept text only; a character that loses some bytes goes with them.
     """
     ship(docs.sparkSession)
     total = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
@@ -287,7 +306,8 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     @tidy
     def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for j in range(len(batch)):
+                row = batch.slice(j, 1).drop_columns(["rows"]).to_pylist()[0]
                 b = _open(row)
                 yield out(list(_send(row["block"], b.names(b.sample()), n_ranges, low)))
 
@@ -299,7 +319,8 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     @tidy
     def remaining(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for j in range(len(batch)):
+                row = batch.slice(j, 1).drop_columns(["rows"]).to_pylist()[0]
                 b = _open(row)
                 at = b.candidates(*_sampled_twice(b, low, row["marks"]))
                 yield out(list(_send(row["block"], b.window_names(at), second, 0)))
@@ -310,37 +331,40 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             ("n_spans", T.LongType(), pa.int64())]
     tail += [("spans", T.ArrayType(T.ArrayType(T.LongType())), pa.list_(pa.list_(pa.int64()))),
              ("kept", T.BinaryType(), pa.binary())] if real else [("kept_sha256", T.StringType(), pa.string())]
+    if texts:
+        tail = [("text", T.StringType(), pa.string())]
     schema = T.StructType([T.StructField("row", blocks.schema["rows"].dataType.elementType),
                            *[T.StructField(n, t) for n, t, _ in tail]])
 
     @tidy
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            held = batch.column("rows")
-            for j, row in enumerate(batch.drop_columns(["rows"]).to_pylist()):
+            for j in range(len(batch)):  # one block in memory at a time
+                held = batch.column("rows")[j].values
+                row = batch.slice(j, 1).drop_columns(["rows"]).to_pylist()[0]
                 b = _open(row)
-                at = b.candidates(*_sampled_twice(b, low, row["marks"]))
-                u, marked_, back = _flags(b.window_names(at), 0, row["later"])
-                repeat = np.ones(len(at), bool)
-                _, first = np.unique(back, return_index=True)
-                repeat[first] = marked_ if len(marked_) else False
-                at = at[repeat]
+                at = _repeats(b, low, row)
+                b.sums = None
                 where = np.searchsorted(at, np.concatenate([[0], b.ends]))
-                out_rows = []
+                first = size = 0
+                out_rows: list[list] = []
                 for k, (e, n) in enumerate(zip(b.ends.tolist(), b.sizes.tolist())):
                     own = b.data[e - n:e]
                     spans = [[0, n]] if b.dead[k] and n >= LENGTH else _spans(at[where[k]:where[k + 1]] - (e - n))
-                    keep = np.ones(n, bool)
-                    for x, y in spans:
-                        keep[x:y] = False
-                    kept = own[keep].tobytes()
-                    out_rows.append([n, n - len(kept), len(spans),
-                                     *([spans, kept] if real else [hashlib.sha256(kept).hexdigest()])])
-                cols = [pa.array(c, t) for c, (_, _, t) in zip(zip(*out_rows), tail)]
-                yield pa.RecordBatch.from_arrays([held[j].values, *cols], names=schema.names)
+                    kept = _without(own, spans)
+                    if texts:
+                        out_rows.append([kept.decode("utf-8", "ignore")])
+                    else:
+                        out_rows.append([n, n - len(kept), len(spans),
+                                         *([spans, kept] if real else [hashlib.sha256(kept).hexdigest()])])
+                    size += n
+                    if size > SLICE_BYTES or k == len(b.sizes) - 1:
+                        cols = [pa.array(c, t) for c, (_, _, t) in zip(zip(*out_rows), tail)]
+                        yield pa.RecordBatch.from_arrays([held.slice(first, len(out_rows)), *cols], names=schema.names)
+                        first, size, out_rows = k + 1, 0, []
 
     done = both.select("block", "rows", "sizes", "data", "dead", "marks", "later").mapInArrow(finish, schema)
-    return done if real else done.select("row.*", *[n for n, _, _ in tail])
+    return done if real or texts else done.select("row.*", *[n for n, _, _ in tail])
 
 
 def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -349,14 +373,5 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     A character that loses some of its bytes goes with them.
     """
     others = [c for c in docs.columns if c != text_col]
-    found = find_repeats(docs, id_col, text_col, others or [id_col], real=True)
-
-    @tidy
-    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            text = [x.decode("utf-8", "ignore") for x in b.column("kept").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(text, pa.string())], names=["row", "text"])
-
-    schema = T.StructType([found.schema["row"], T.StructField("text", T.StringType())])
-    out = found.select("row", "kept").mapInArrow(decode, schema)
+    out = find_repeats(docs, id_col, text_col, others or [id_col], texts=True)
     return out.select(*[F.col("text").alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns])
