@@ -53,6 +53,25 @@ def cut(df: DataFrame) -> DataFrame:
     return out
 
 
+#: Spark's own setting: a query's shuffle files go when it ends.
+_FREE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def cut_and_free(df: DataFrame) -> DataFrame:
+    """``cut`` for large frames: the shuffle files that led to ``df`` are dropped at once.
+
+    ``df`` must not be used again afterwards; whoever does pays for its shuffles anew.
+    """
+    spark = df.sparkSession
+    checkpoint_dir(spark)
+    before = spark.conf.get(_FREE)
+    spark.conf.set(_FREE, "true")
+    try:
+        return df.select("*").checkpoint()
+    finally:
+        spark.conf.set(_FREE, before)
+
+
 def release(spark: SparkSession) -> None:
     """Collect the driver's garbage, so that the cleaner sees which shuffles nobody can read again.
 

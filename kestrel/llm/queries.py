@@ -48,7 +48,7 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_suffix_dedup", oracles.SUFFIX)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of all documents that repeat a 100-byte string which starts earlier."""
-    return suffixes.find_repeats(table(spark, sf_dir, "documents"))
+    return suffixes.find_repeats(table(spark, sf_dir, "documents"), apart=True)
 
 
 def sentencepiece_model() -> str:

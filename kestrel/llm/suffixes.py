@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kestrel.llm.common import cut, release, ship, tidy, tidy_group
+from kestrel.llm.common import cut, cut_and_free, release, ship, tidy, tidy_group
 from kestrel.llm.hashing import distinct, prefix_sums, windows
 
 LENGTH = 100
@@ -281,17 +281,21 @@ def _without(own: np.ndarray, spans: list[list[int]]) -> bytes:
 
 
 def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 carry: list[str] | None = None, real: bool = False, texts: bool = False) -> DataFrame:
+                 carry: list[str] | None = None, real: bool = False, texts: bool = False,
+                 apart: bool = False) -> DataFrame:
     """Per document: the columns of ``carry`` (the id), n_bytes, n_removed, n_spans, kept_sha256.
 
     real=True: carried columns in a struct ``row``, the removed spans (start, end in
     bytes) and the bytes kept instead of their digest.  texts=True: the carried columns
     in ``row`` and the kept text only; a character that loses some bytes goes with them.
+    apart=True: each round is a job of its own that keeps its bitmaps and drops what it shuffled; the blocks
+    are dealt out once a round, but only one round's data lie on the disks at a time.
     """
+    done_with = cut_and_free if apart else (lambda df: df)
     ship(docs.sparkSession)
     total = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     n_blocks = max(1, math.ceil(total / BLOCK_BYTES))
-    blocks = cut(_texts_to_blocks(docs, id_col, text_col, carry or [id_col], n_blocks))
+    blocks = (cut_and_free if apart else cut)(_texts_to_blocks(docs, id_col, text_col, carry or [id_col], n_blocks))
     release(docs.sparkSession)
     blocks = blocks.join(_whole_copies(blocks), "block", "left").select("block", "rows", "sizes", "data", "dead")
     n_ranges = _ranges(int(total * len(COVER) / MODULUS))
@@ -312,7 +316,7 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 yield out(list(_send(row["block"], b.names(b.sample()), n_ranges, low)))
 
     # blocks are few and large: one to a batch
-    twice = _judge(blocks.mapInArrow(sampled, fields), later=False)
+    twice = done_with(_judge(blocks.mapInArrow(sampled, fields), later=False))
     marked = blocks.join(twice, "block", "left").select("block", "rows", "sizes", "data", "dead", "marks")
     second = _ranges(total // 4)
 
@@ -325,7 +329,7 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 at = b.candidates(*_sampled_twice(b, low, row["marks"]))
                 yield out(list(_send(row["block"], b.window_names(at), second, 0)))
 
-    later = _judge(marked.mapInArrow(remaining, fields), later=True)
+    later = done_with(_judge(marked.mapInArrow(remaining, fields), later=True))
     both = marked.join(later.withColumnRenamed("marks", "later"), "block", "left")
     tail = [("n_bytes", T.LongType(), pa.int64()), ("n_removed", T.LongType(), pa.int64()),
             ("n_spans", T.LongType(), pa.int64())]

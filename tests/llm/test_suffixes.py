@@ -89,3 +89,14 @@ def test_spans_of_real_output(spark):
     d = spark.createDataFrame([(1, t), (2, "new " + t + " end")], "doc_id long, text string")
     r = {x["row"]["doc_id"]: x for x in suffixes.find_repeats(d, real=True).collect()}
     assert r[2]["spans"] == [[4, 4 + len(t)]] and bytes(r[2]["kept"]) == b"new  end" and r[1]["spans"] == []
+
+
+def test_rounds_kept_apart_and_texts(spark, monkeypatch):
+    """Each round as a job of its own gives the same rows; the text mode gives the kept bytes as text, in slices."""
+    monkeypatch.setattr(suffixes, "SLICE_BYTES", 300)
+    d = spark.createDataFrame(corpus(), "doc_id long, text string")
+    one = sorted(map(tuple, suffixes.find_repeats(d).collect()))
+    assert one == sorted(map(tuple, suffixes.find_repeats(d, apart=True).collect()))
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+    real = {r["row"]["doc_id"]: bytes(r["kept"]).decode("utf-8", "ignore") for r in suffixes.find_repeats(d, real=True).collect()}
+    assert real == {r["row"]["doc_id"]: r["text"] for r in suffixes.find_repeats(d, texts=True).collect()}
