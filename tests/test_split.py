@@ -112,3 +112,36 @@ def test_staged_build_with_and_without_long_customers(spark):
     whole, rows = _customer_stage(tl, "frame", 100)
     assert whole.count() == tl.count() and whole.columns == tl.columns
     assert differences(timeline_block(tl), rows) == set()
+
+
+def test_tasks_are_bounded_by_rows_not_by_the_session(spark):
+    from kestrel.plans.features import STAGE_ROWS, task_buckets
+    from kestrel.session import apply_engine_conf
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
+    apply_engine_conf(spark)
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "4m"
+    assert int(spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum")) >= 500
+    assert task_buckets(spark, 36_000_000) * STAGE_ROWS >= 36_000_000
+    assert task_buckets(spark, 0) == task_buckets(spark, 4000) == 1
+
+
+def test_a_hot_key_learns_its_time_range_in_parts(spark):
+    from pyspark.sql import functions as F
+
+    from kestrel.operators.prefix import time_buckets
+    df = spark.range(600).select(F.lit(1).alias("k"), F.when(F.col("id") % 7 > 0, F.col("id")).alias("ets"))
+    out = time_buckets(df.hint("merge"), ["k"], "ets", "b", 50, None)
+    assert "_h_part" in out._jdf.queryExecution().optimizedPlan().toString()
+    rows = out.collect()
+    assert len(rows) == 600 and out.columns == ["k", "ets", "b"]
+    assert all((r.b == -1) == (r.ets is None) for r in rows)
+    timed = sorted((r.ets, r.b) for r in rows if r.ets is not None)
+    assert [b for _, b in timed] == sorted(b for _, b in timed) and len({b for _, b in timed}) > 5
+
+
+def test_packed_keeps_every_column_and_adds_one_word_to_null_rows(spark):
+    from kestrel.operators.split import packed
+    df = spark.createDataFrame([(1, 2, "x", None)], "a int, b int, c string, d int")
+    out = packed(df, ["b"])
+    assert out.columns == ["b", "_row"] and out.select("b", "_row.*").columns == ["b", "a", "c", "d"]
+    assert out.select("_row.c").first()[0] == "x"
