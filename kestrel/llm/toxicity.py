@@ -138,10 +138,11 @@ class Channel:
         self.tails: dict[tuple, list[tuple[np.ndarray, np.ndarray | None]]] = {}
 
     @staticmethod
-    def lattice(word: str, spaced: bool = False, keep: bool = False) -> list[list[tuple[str, float]]]:
+    def lattice(word: str, spaced: bool = False, keep: bool = False, stretches: bool = False) -> list[list[tuple[str, float]]]:
         """Options (text, cost) of each position of a lower-case word.
 
-        ``keep``: every mark that may be a letter is one, and runs of two stay.
+        ``keep``: every mark that may be a letter is one, and runs of two stay. ``stretches``: letters in a row
+        that have no choice are one position.
         """
         out: list[list[tuple[str, float]]] = []
         first, last = 0, len(word)
@@ -150,7 +151,7 @@ class Channel:
             last = next((i for i in range(len(word) - 1, -1, -1) if word[i].isalnum()), -1)
         i = 0
         while i < len(word):
-            if stretch := _STRETCH.match(word, i):  # no choice: one position
+            if stretch := stretches and _STRETCH.match(word, i):
                 out.append([(stretch.group(), 0.0)])
                 i = stretch.end()
                 continue
@@ -214,7 +215,7 @@ class Channel:
                 after[p, q] = (total, (path, x) if x else path)
 
     def decode(self, word: str, spaced: bool = False, keep: bool = False) -> str:
-        lattice = self.lattice(word, spaced, keep)
+        lattice = self.lattice(word, spaced, keep, True)
         a, b = 0, len(lattice)
         while a < min(len(lattice), _MARKS) and len(lattice[a]) >= 26 and lattice[a] == lattice[0]:
             a += 1
