@@ -352,7 +352,8 @@ class Restorer:
 
     def spaced(self, text: str, tokens: Iterable[str]) -> list[str]:
         """Words written letter by letter; looked for only where three different letters stand alone."""
-        if sum(len(t) <= 2 and len(t.strip(_EDGE)) == 1 for t in tokens) < 3:
+        short = [t for t in tokens if len(t) <= 2]
+        if sum(len(t.strip(_EDGE)) == 1 for t in short) < 3:
             return []
         out: set[str] = set()
         for m in _SPACED.finditer(text.lower()):
@@ -490,19 +491,47 @@ def fit(docs: DataFrame, labels: DataFrame, counts: np.ndarray, sample: int = SA
     return train([tuple(r) for r in got.orderBy("toxic", "words").collect()])
 
 
+#: A word that begins with three letters or more and may have marks at its end.
+_LETTERS_FIRST = re.compile(f"([^\\W\\d_]{{3,}})[{re.escape(_MARK)}]*\\Z")
+
+
+def heads(letters: str) -> set[str]:
+    """First four letters (all, if fewer) that a restored word may have, if its token begins with ``letters``,
+    which have no choice but how often a letter in a row is written."""
+    if letters[0] != letters[1] != letters[2] != letters[3:4]:
+        return {letters[:4]}
+    out, i = {""}, 0
+    while i < len(letters) and any(len(x) < 4 for x in out):
+        c, n = letters[i], 1
+        while i + n < len(letters) and letters[i + n] == c:
+            n += 1
+        out = {(x + c * k)[:4] for x in out for k in {n, min(n, 2), 1}}
+        i += n
+    return out
+
+
 class Scorer:
     """Scores of texts under a fitted classifier; remembers the features of each token."""
 
     def __init__(self, counts: np.ndarray, intercept: float | None, weights: dict[str, float]):
         self.restorer, self.intercept, self.weights = Restorer(counts), intercept, weights
         self.plain = {f[1:] for f in weights}
-        #: first three letters of the words that have a known feature
-        self.begins = {f[1:4] if f[0] == "=" else f[:3] for f in self.plain}
+        #: first four letters (all, if fewer) of the words that have a known feature
+        self.begins = {f[1:5] if f[0] == "=" else f[:4] for f in self.plain}
         self.known: dict[str, tuple[tuple[str, ...], ...]] = {}
+        self.quiet: set[str] = set()  # tokens without a known feature
+
+    def _may_speak(self, token: str) -> bool:
+        """False if no reading of the token can have a known feature: decoding it would tell nothing."""
+        m = _LETTERS_FIRST.match(token.lstrip(_OPEN).rstrip(_CLOSE))
+        if not m or not (letters := m.group(1)).isascii() and _CHOICE.search(letters):
+            return True
+        alone = m.end() == m.end(1)  # marks at the end may be letters
+        return any(x in self.begins or len(x) < 4 and not alone for x in heads(letters))
 
     def _evidence(self, words: Iterable[str]) -> tuple[tuple[str, ...], ...]:
         """The known features of each word that has any."""
-        near = [w for w in words if w[:3] in self.begins]
+        near = [w for w in words if w[:4] in self.begins]
         found = [tuple([f for f in features(w) if f in self.plain]) for w in near]
         return tuple([x for x in found if x])
 
@@ -510,15 +539,20 @@ class Scorer:
         if self.intercept is None:
             return 0.0
         tokens = Counter(text.lower().split()) if text else {}
-        known, hits = self.known, []
-        for t, n in tokens.items():
+        known, quiet, hits = self.known, self.quiet, []
+        for t in set(tokens).difference(quiet):
             got = known.get(t)
             if got is None:
+                got = self._evidence(self.restorer.word(t)) if self._may_speak(t) else ()
+                if not got:
+                    if len(quiet) > 200_000:
+                        quiet.clear()
+                    quiet.add(t)
+                    continue
                 if len(known) > 200_000:
                     known.clear()
-                got = known[t] = self._evidence(self.restorer.word(t))
-            if got:
-                hits.append((got, n))
+                known[t] = got
+            hits.append((got, tokens[t]))
         if tokens and (extra := self.restorer.spaced(text, tokens)):
             hits += [((x,), 1) for x in self._evidence(extra)]
         if not hits:

@@ -142,3 +142,20 @@ def test_marks_inside_a_token_may_be_borders_and_accents_cut_no_word(restorer):
     assert all((" ", toxicity._SPLIT) in restorer.channel.lattice(f"stop{c}idiot")[4] for c in ".-_*~'!")
     assert "loser" in restorer.words("a lo-ser")
     assert restorer.words("cafés") == {"cafés": 1}
+
+
+def test_words_that_cannot_have_a_known_feature_are_not_decoded(counts, monkeypatch):
+    weights = {"1=moron": 3.0, "2=moron": 3.0, "1idio": 2.0, "1=bad": 2.5, "1été": 2.0}
+    r = random.Random(4)
+    tokens = [a + "".join(r.choice(["e", "o", "oo", "d", "ll", "é", "tt", "x"]) for _ in range(r.randint(0, 5))) + b
+              for _ in range(1500) for a in ("", "mor", "iidi", "ba", "b", "\"moo", "étté", "mоr") for b in (r.choice(["", "!!", "***", ",", "$", ".&&"]),)]
+    pruned, whole = (toxicity.Scorer(counts, -1.0, weights) for _ in range(2))
+    monkeypatch.setattr(whole, "_may_speak", lambda token: True)
+    assert [pruned.score(t) for t in tokens] == [whole.score(t) for t in tokens]
+    assert len({pruned.score(t) for t in tokens}) > 2
+    decoded = []
+    monkeypatch.setattr(pruned.restorer.channel, "decode", lambda word, *a, **k: decoded.append(word) or word)
+    pruned.score("bettter queéê, lattter*** letters plain")
+    assert not decoded
+    pruned.score("moorron")
+    assert decoded
