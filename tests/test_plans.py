@@ -57,3 +57,27 @@ def test_no_customer_exchange_after_the_stage(spark):
     assert "Exchange" not in _plan(C.customer_features(staged))
     p = _plan(customer_profiles(staged.filter(F.col("period") == "pretrain")))
     assert "Exchange hashpartitioning(customer_id" not in p and "PartitionFilters: [isnotnull(period" in p
+
+
+def test_wide_rows_go_through_the_prior_joins_as_one_struct(spark):
+    from pyspark.sql import functions as F
+
+    from kestrel.operators import priors as P
+    from kestrel.session import apply_engine_conf
+    apply_engine_conf(spark)
+    keys = list(dict.fromkeys([*P.PRIOR_KEYS, *[c for pair in P.PRIOR_PAIRS for c in pair]]))
+    rows = spark.range(50).select("id", *[(F.col("id") % 3).alias(k) for k in keys],
+                                  (F.col("id") % 2).cast("int").alias("target"), *[F.rand(k).alias(f"x{k}") for k in range(80)])
+    rows = rows.checkpoint()
+    out = P.attach_priors(rows, rows.select(*keys, "target"))
+    assert out.columns[:len(rows.columns)] == rows.columns
+    assert out.select(*rows.columns).exceptAll(rows).isEmpty() and out.count() == 50
+
+    def widths(plan) -> list[int]:
+        kids = plan.children()
+        own = [plan.output().size()] if "Join" in plan.nodeName() else []
+        return own + [w for i in range(kids.size()) for w in widths(kids.apply(i))]
+
+    # some of the columns only: the struct's fields are not taken out below the joins
+    found = widths(out.drop("x1", "x2")._jdf.queryExecution().optimizedPlan())
+    assert found and max(found) < 80
