@@ -49,7 +49,7 @@ LENGTH = 100
 MODULUS, COVER = 57, (0, 1, 3, 13, 32, 36, 43, 52)
 SEED_LENGTH = LENGTH - MODULUS + 1
 #: Bytes of text a block, and fingerprints a name range, at about.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 RANGE_NAMES = 2 << 20
 #: Bytes of documents that go back to Spark in one batch, at about.
 SLICE_BYTES = 1 << 20

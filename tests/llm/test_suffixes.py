@@ -100,3 +100,9 @@ def test_rounds_kept_apart_and_texts(spark, monkeypatch):
     assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
     real = {r["row"]["doc_id"]: bytes(r["kept"]).decode("utf-8", "ignore") for r in suffixes.find_repeats(d, real=True).collect()}
     assert real == {r["row"]["doc_id"]: r["text"] for r in suffixes.find_repeats(d, texts=True).collect()}
+
+
+def test_a_block_holds_two_megabytes(spark):
+    docs = spark.createDataFrame([(i, chr(97 + i % 26) * 250_000) for i in range(20)], "doc_id long, text string")
+    blocks = suffixes._texts_to_blocks(docs, "doc_id", "text", ["doc_id"], 1).select("sizes").collect()
+    assert sum(len(b.sizes) for b in blocks) == 20 and all(sum(b.sizes) <= 2 << 20 for b in blocks)
