@@ -9,12 +9,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from kestrel.operators import customer as C
 from kestrel.operators import hot
 from kestrel.plans import queries_features as QF
 from kestrel.plans import queries_timeline as QT
 from kestrel.plans.catalog import QUERIES, register
 from kestrel.plans.oracle import on_variant
 from kestrel.plans.velocity import velocity_block
+from kestrel.sources.sinks import stage
 from kestrel.sources.timeline import fixture_timeline
 
 #: Events of a customer above which these queries split it.
@@ -45,11 +47,20 @@ for _name, (_sql, _blocks) in _BLOCKS.items():
 _block("cust_lags", QT.CUST_LAGS_SQL, ("lag",), "bad")
 
 
+#: What the lag block and the rolling windows read of the timeline; the split plans stage their rows.
+_LAG_INPUT = list(dict.fromkeys([
+    "customer_id", "event_id", "event_ts", "ets", "period", "amt", "amt_abs", "mcc_code_i", "session_id", "operating_system_type",
+    "screen_w", "timezone", "phone_voip_call_state", *[key for _, key in C.SINCE_SAME]]))
+
+
 def _rolling(variant: str):
     @register(f"rolling_split_{variant}", on_variant(QF.ROLLING_SQL, variant))
     def query(spark, sf_dir):
         live = F.col("period") != "pretrain"
-        df = hot.customer_block(fixture_timeline(spark, sf_dir, by_customer=False, variant=variant), ("lag",), LIMIT)
+        tl = fixture_timeline(spark, sf_dir, by_customer=False, variant=variant).select(*_LAG_INPUT)
+        df = hot.customer_block(tl, ("lag",), LIMIT)
+        # the block is read for the customers' sizes and for both plans: staged, with the columns of its readers
+        df = stage(df.select(*hot.ROLLED, "period"), "lags")
         df = hot.rolling_block(df, live=live, frame_rows=LIMIT)
         return df.filter(live).select("event_id", *QF._ROLL_COLS)
     query.__doc__ = f"R1-R7, linear and split for customers of over {LIMIT} events; {variant} variant."

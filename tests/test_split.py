@@ -145,3 +145,32 @@ def test_packed_keeps_every_column_and_adds_one_word_to_null_rows(spark):
     out = packed(df, ["b"])
     assert out.columns == ["b", "_row"] and out.select("b", "_row.*").columns == ["b", "a", "c", "d"]
     assert out.select("_row.c").first()[0] == "x"
+
+
+def test_rows_find_their_buckets_without_moving(spark, hard):
+    """The split plans' buckets follow time, stay near the bound, and cost no exchange of the rows."""
+    from kestrel.operators.prefix import MAX_BUCKETS, placed_buckets
+    rows = hard.select("customer_id", "ets", "event_id")
+    b = placed_buckets(rows, ["customer_id"], "ets", "_b", 60)
+    assert b.columns == ["customer_id", "ets", "event_id", "_b"] and b.count() == hard.count()
+    plan = b._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+    ties = hard.groupBy("customer_id", "ets").count().agg(F.max("count")).first()[0]
+    held = b.where("ets IS NOT NULL").groupBy("customer_id", "_b").count().agg(F.max("count")).first()[0]
+    assert hard.where("customer_id = 1").count() > 300 and held <= 60 + max(ties, 60)
+    got = sorted((r["ets"], r["_b"]) for r in b.where("customer_id = 1").collect() if r["ets"] is not None)
+    assert [x for _, x in got] == sorted(x for _, x in got) and len({x for _, x in got}) > 5
+    assert b.where("(ets IS NULL) <> (_b = -1)").isEmpty()
+    many = spark.range(3000).select(F.lit(1).alias("k"), F.col("id").alias("ets"))
+    n = placed_buckets(many, ["k"], "ets", "_b", 1).select("_b").distinct().count()
+    assert 500 < n <= MAX_BUCKETS
+
+
+def test_equal_times_and_ids_take_the_greatest_row_before(spark):
+    """A "last" over rows with equal time and id does not depend on the order they come in."""
+    from kestrel.operators.split import Group, Measure, prefix_groups
+    last = Measure("prev", "last", F.struct("ets", "event_id", "v"), "struct<ets: bigint, event_id: bigint, v: string>")
+    for order in (("b", "a"), ("a", "b")):
+        df = spark.createDataFrame([(1, 5, 7, v) for v in order] + [(1, 6, 8, "c")], "c long, ets long, event_id long, v string")
+        got = {r["v"]: r["prev"] for r in prefix_groups(df.coalesce(1), ["c"], [Group((), (last,))]).collect()}
+        assert got["a"] is None and got["b"]["v"] == "a" and got["c"]["v"] == "b"
