@@ -151,6 +151,7 @@ def test_rows_find_their_buckets_without_moving(spark, hard):
     """The split plans' buckets follow time, stay near the bound, and cost no exchange of the rows."""
     from kestrel.operators.prefix import MAX_BUCKETS, placed_buckets
     rows = hard.select("customer_id", "ets", "event_id")
+    rows = spark.createDataFrame(rows.collect(), rows.schema)  # no exchange of its own
     b = placed_buckets(rows, ["customer_id"], "ets", "_b", 60)
     assert b.columns == ["customer_id", "ets", "event_id", "_b"] and b.count() == hard.count()
     plan = b._jdf.queryExecution().executedPlan().toString()
