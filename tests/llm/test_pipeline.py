@@ -69,3 +69,13 @@ def test_rowcounts_of_registered_queries(spark):
         got = queries.QUERIES[n](spark, SF)
         assert sorted(r[0] for r in got.select(key).collect()) == sorted(r[0] for r in table.select(key).collect())
     assert suffixes.LENGTH == 100
+
+
+def test_the_driver_gives_memory_back_around_each_stage(monkeypatch):
+    calls = []
+    monkeypatch.setattr(corpus_pipeline, "release", lambda spark: calls.append("release"))
+    monkeypatch.setattr(corpus_pipeline, "give_back", lambda: calls.append("give_back"))
+    run = corpus_pipeline.settled(lambda spark, docs, sf_dir: calls.append("stage") or docs)
+    assert run(None, 7, "") == 7
+    assert calls == ["release", "give_back", "stage", "release", "give_back"]
+    assert all(hasattr(stage, "__wrapped__") for _, stage in corpus_pipeline.STAGES)
