@@ -81,3 +81,21 @@ def test_prepared_rows_are_imputed_by_all_train_rows(spark, features, monkeypatc
     assert late > gaps.where("is_train_sample AND amt = 1").count()  # so the median of all train rows is 2
     got = {r["features"][cols.index("amt")] for r in frame.where("is_test").select("features").collect()}
     assert got == {2.0}
+
+
+def test_scores_are_those_of_whole_fits(spark, features, fits):
+    from kestrel.plans.catalog import QUERIES
+    import kestrel.plans.queries_models  # noqa: F401
+    out = QUERIES["gbt_scores"](spark, "").collect()
+    known = _first_fit_ids(features)
+    assert {r["event_id"] for r in out} < known and all(0 < r["predict"] <= 1 for r in out)
+    assert [(t, v) for _, t, v in fits] == [(SOURCE_TREES, "is_val")] * 5
+    assert max(len(ids) for ids, _, _ in fits) == len(known) and all(ids <= known for ids, _, _ in fits)
+
+
+def test_training_rows_meet_in_few_partitions(spark):
+    from kestrel.operators import models as Mo
+    many = spark.range(0, 70_000, 1, 40).withColumn("x", F.col("id") * 2)
+    got = Mo.dealt(many)
+    assert got.rdd.getNumPartitions() == 3 and got.agg(F.sum("x")).first()[0] == 69_999 * 70_000
+    assert Mo.dealt(many.limit(0)).rdd.getNumPartitions() <= 1
