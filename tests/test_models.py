@@ -93,6 +93,24 @@ def test_scores_are_those_of_whole_fits(spark, features, fits):
     assert max(len(ids) for ids, _, _ in fits) == len(known) and all(ids <= known for ids, _, _ in fits)
 
 
+def test_run_is_of_whole_fits(spark, features, fits, tmp_path):
+    from kestrel.plans.catalog import QUERIES
+    import kestrel.plans.queries_models  # noqa: F401
+    folder = tmp_path / uuid.uuid4().hex
+    raw = features.where("event_ts IS NOT NULL").select(
+        "event_id", F.col("event_ts").alias("ts"), F.col("customer_id").alias("user_id"),
+        F.when(F.col("event_id") % 2 == 0, "error").otherwise("purchase").alias("event_type"),
+        F.lit(10.0).alias("value"), F.concat(F.lit('{"k": '), (F.col("event_id") % 97).cast("string"), F.lit("}")).alias("props"))
+    raw.write.parquet(f"{folder}/events.parquet")
+    out = QUERIES["refit_run"](spark, str(folder)).collect()
+    assert {r["event_id"] for r in out} == _ids(features.where("is_test"))
+    first, refits = [x for x in fits if x[2]], [x for x in fits if not x[2]]
+    assert [(t, v) for _, t, v in first] == [(SOURCE_TREES, "is_val")] * 5
+    assert [t for _, t, _ in refits] == [SOURCE_LEAST] * 15
+    sampled = features.where("is_train_sample AND (train_target_raw <> -1 OR event_id % 3 = 0)")
+    assert max((ids for ids, _, _ in refits), key=len) == _ids(sampled)
+
+
 def test_training_rows_meet_in_few_partitions(spark):
     from kestrel.operators import models as Mo
     many = spark.range(0, 70_000, 1, 40).withColumn("x", F.col("id") * 2)
