@@ -354,8 +354,8 @@ def q_features_dup(spark, sf_dir):
 @register("interactions", INTERACTIONS_SQL)
 def q_interactions(spark, sf_dir):
     """Profile-relative, profile-velocity and interaction features of the build."""
-    from kestrel.plans.features import build_features
-    df = build_features(fixture_timeline(spark, sf_dir))
+    from kestrel.plans.features import build_features, interaction_columns
+    df = build_features(fixture_timeline(spark, sf_dir), columns=tuple(interaction_columns()))
     return df.select("event_id", "amt_over_profile_mean", "amt_over_profile_p95",
                      "amt_profile_zscore", "amt_drift_5", "hour_drift", "velocity_ratio_1h",
                      "mcc_diversity_ratio", "new_device_diversity_risk",
